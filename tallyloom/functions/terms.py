@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyloom.functions.text import ColumnOrName, column, strip
+from tallyloom.functions.text import ColumnOrName, column, decode, strip
 
 # Season codes in delivered file names.
 SEASONS = {"SP": "Spring", "FA": "Fall", "SU": "Summer", "WN": "Winter"}
@@ -35,7 +35,6 @@ def season_label(path: ColumnOrName) -> Column:
     pattern = "(?i)([0-9]{6})(" + "|".join(SEASONS) + ")"
     years = F.nullif(F.regexp_extract(name, pattern, 1), F.lit(""))
     code = F.upper(F.regexp_extract(name, pattern, 2))
-    season = F.when(F.lit(False), F.lit(""))
-    for key, label in SEASONS.items():
-        season = season.when(code == key, label)
-    return F.concat(F.left(years, F.lit(4)), F.lit("-"), F.right(years, F.lit(2)), F.lit(" "), season)
+    return F.concat(
+        F.left(years, F.lit(4)), F.lit("-"), F.right(years, F.lit(2)), F.lit(" "), decode(code, SEASONS)
+    )

@@ -58,3 +58,18 @@ def other_spelled_out(definition: ColumnOrName, other: ColumnOrName) -> Column:
     return F.when(
         definition == "Other", F.concat(definition, F.lit(" - "), F.coalesce(column(other), F.lit("Unknown")))
     ).otherwise(definition)
+
+
+def decode(value: ColumnOrName, meanings: dict) -> Column:
+    """The meaning of a code, null for codes without one."""
+    value = column(value)
+    return first_match([(value == code, F.lit(meaning)) for code, meaning in meanings.items()])
+
+
+def first_match(rules: list[tuple[Column, Column]]) -> Column:
+    """The result of the first rule whose condition holds, null when none does."""
+    (condition, result), *rest = rules
+    chosen = F.when(condition, result)
+    for condition, result in rest:
+        chosen = chosen.when(condition, result)
+    return chosen
