@@ -11,6 +11,12 @@ ColumnOrName = Column | str
 # tabs, line ends and the no-break spaces that spreadsheets put into exported cells.
 WHITESPACE = "".join(chr(point) for point in range(0x3001) if chr(point).isspace())
 
+# ISO 8859-1 maps each byte to the code point of the same number, which leaves the bytes 0x80-0x9F as control
+# characters where Windows-1252 has printable ones; these two strings turn one reading into the other.
+_C1_RANGE = range(0x80, 0xA0)
+_LATIN1_CONTROLS = "".join(chr(byte) for byte in _C1_RANGE)
+_WINDOWS_CHARACTERS = "".join(bytes([byte]).decode("cp1252", errors="ignore") or chr(byte) for byte in _C1_RANGE)
+
 
 def column(value: ColumnOrName) -> Column:
     """A column from a name or a column."""
@@ -73,3 +79,8 @@ def first_match(rules: list[tuple[Column, Column]]) -> Column:
     for condition, result in rest:
         chosen = chosen.when(condition, result)
     return chosen
+
+
+def windows_text(value: Column) -> Column:
+    """Text of a Windows-1252 file that was decoded as ISO 8859-1."""
+    return F.translate(value, _LATIN1_CONTROLS, _WINDOWS_CHARACTERS)

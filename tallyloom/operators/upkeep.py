@@ -12,7 +12,7 @@ from tallyloom.functions.terms import academic_year, parse_term
 from tallyloom.operators.conditions import not_blank
 from tallyloom.operators.lookup import exclude
 
-PARTITION_COLUMN = "term_key"
+PARTITION_COLUMN = "part_key"
 NULL_KEY = "<null>"
 BLANK_KEY = "<blank>"
 
