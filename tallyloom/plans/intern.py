@@ -63,13 +63,13 @@ def cleaned(stage: DataFrame, load_date: Column | None = None, fail_on_bad_count
     read_count = count_checked if fail_on_bad_count else count_or_null
     groups = specs.intern_groups(specs.INTERN_CLEANED_FIELDS)
     counted = stage.where(not_blank("intern_count")).withColumn("reported", read_count("intern_count"))
-    keep = ["student_id", "term", "reported"]
-    slots = unpivot_groups(counted.where(F.col("reported") > 0), groups, keep, slot="intern_numb")
+    # keys are repaired before rows multiply: once per respondent
+    keyed = counted.withColumns({"stud_id": lenient_id("student_id"), "term": lenient_term("term")})
+    keep = ["stud_id", "term", "reported"]
+    slots = unpivot_groups(keyed.where(F.col("reported") > 0), groups, keep, slot="intern_numb")
     filled = slots.where(slot_reported("reported", "intern_numb") & any_not_blank(specs.INTERN_CLEANED_FIELDS))
     return filled.withColumns(
         {
-            "stud_id": lenient_id("student_id"),
-            "term": lenient_term("term"),
             "intern_len_wks": null_text(),
             "indc_intern_paid": yes_no("indc_intern_paid"),
             "intern_amt_paid": amount("intern_amt_paid"),

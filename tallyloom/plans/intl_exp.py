@@ -16,10 +16,12 @@ CLEANED_COLUMNS = (*DIRECT_COLUMNS, "load_date")
 
 def cleaned(stage: DataFrame, load_date: Column | None = None) -> DataFrame:
     """Ticked boxes, under the definition the respondent saw where there is one."""
-    ticked = unpivot_selected(stage, specs.INTL_EXPERIENCE, ["student_id", "term"])
+    # keys are repaired before rows multiply: once per respondent
+    keyed = stage.withColumns({"stud_id": lenient_id("student_id"), "term": lenient_term("term")})
+    ticked = unpivot_selected(keyed, specs.INTL_EXPERIENCE, ["stud_id", "term"])
     return ticked.select(
-        lenient_id("student_id").alias("stud_id"),
-        lenient_term("term").alias("term"),
+        "stud_id",
+        "term",
         F.col("label").alias("intl_exp_type"),
         (F.current_timestamp() if load_date is None else load_date).alias("load_date"),
     )

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from tallyloom.operators.quality import missing_columns, row_counts
 from tallyloom.operators.upkeep import create_partitioned_table, replace_partitions
@@ -66,12 +67,16 @@ def replace_terms(
     database: str,
     replaced: Iterable[str] = REPLACED_TABLES,
     include_null_key: bool = True,
+    term_of: Callable[[str], Column] = F.col,
 ) -> DataFrame:
     """Write tables into a database, replacing the rows of the stage's terms; returns the row counts.
 
     A table in `replaced` for which there are no new rows at all is cleared for those terms if it exists.
+    `term_of` must give the terms as the tables hold them: F.col for the direct variants, strict_term or
+    lenient_term for the cleaned ones.
     """
     spark = stage.sparkSession
+    keys = stage.select(term_of("term").alias("term"))
     present = []
     for name in dict.fromkeys([*replaced, *tables]):
         table = f"{database}.{name}"
@@ -82,6 +87,6 @@ def replace_terms(
         rows = tables.get(name)
         if rows is None:
             rows = spark.table(table).drop("part_key").limit(0)
-        replace_partitions(table, stage, rows, include_null_key=include_null_key)
+        replace_partitions(table, keys, rows, include_null_key=include_null_key)
         present.append(name)
     return row_counts({name: spark.table(f"{database}.{name}") for name in present})

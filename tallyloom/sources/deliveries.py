@@ -25,7 +25,8 @@ class DeliveryError(ValueError):
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
     """One row per matching file: path, file_name, modified, length. Contents are not read."""
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
+    listing = reader.load(folder)
     return listing.select(
         "path", base_name("path").alias("file_name"), F.col("modificationTime").alias("modified"), "length"
     )
@@ -47,11 +48,15 @@ def in_path_order(listing: DataFrame) -> DataFrame:
     return listing.orderBy("path")
 
 
-def guard_single(listing: DataFrame) -> DataFrame:
-    """One row: how many files were found, the path when it is exactly one, and what that means for a run."""
-    found = listing.agg(F.count("*").alias("files"), F.min("path").alias("first_path"))
+def guard_single(listing: DataFrame, *folder: str) -> DataFrame:
+    """How many files were found, the path when it is exactly one, and what that means for a run.
+
+    One row for the whole listing, or one per value of the `folder` columns. A null path is no file.
+    """
+    found = listing.groupBy(*folder).agg(F.count("path").alias("files"), F.min("path").alias("first_path"))
     verdict = F.when(F.col("files") == 0, "nothing to do").when(F.col("files") == 1, "run").otherwise("too many files")
-    return found.select("files", F.when(F.col("files") == 1, F.col("first_path")).alias("path"), verdict.alias("verdict"))
+    only = F.when(F.col("files") == 1, F.col("first_path"))
+    return found.select(*folder, "files", only.alias("path"), verdict.alias("verdict"))
 
 
 def single_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> str | None:
@@ -72,14 +77,14 @@ def survey_type(header: ColumnOrName) -> Column:
     )
 
 
-def inspect_files(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
+def inspect_files(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv") -> DataFrame:
     """One row per file: path, file_name, header, is_utf8, has_line_breaks, lines, fingerprint.
 
     A single aggregation over the raw lines, so large files are read in splits by many tasks and only one row
     per task and file is shuffled. The fingerprint is the same for files with the same lines, whatever their
     order. `has_line_breaks` tells of quoted fields that run over several lines.
     """
-    reader = spark.read if pattern is None else spark.read.option("pathGlobFilter", pattern)
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     lines = reader.text(paths).select(
         "value",
         F.col("_metadata.file_path").alias("path"),
@@ -110,19 +115,21 @@ def inspect_files(spark: SparkSession, paths: str | Sequence[str], pattern: str
 
 
 def header_names(files: DataFrame) -> DataFrame:
-    """One row per file and header name: file_name, column_name."""
+    """One row per file and header name: path, column_name."""
     plain = F.regexp_replace("header", "^\\ufeff|\"", "")
-    return files.select("file_name", F.explode(F.split(plain, ",")).alias("column_name"))
+    return files.select("path", F.explode(F.split(plain, ",")).alias("column_name"))
 
 
 def missing_from_headers(files: DataFrame, required: Iterable[str]) -> DataFrame:
-    """Required columns a file lacks, without regard to case: file_name, column_name."""
-    wanted = files.select(
-        "file_name", F.explode(F.array(*[F.lit(name) for name in required])).alias("column_name")
-    )
-    present = header_names(files).select("file_name", F.lower(F.trim("column_name")).alias("present_name"))
-    same = (wanted["file_name"] == present["file_name"]) & (F.lower(wanted["column_name"]) == present["present_name"])
-    return wanted.join(present, same, "left_anti")
+    """Required columns a file lacks, without regard to case: path, column_name.
+
+    Each file is compared with its own header row by row; nothing is shuffled.
+    """
+    plain = F.regexp_replace(F.lower("header"), "^\\ufeff|\"", "")
+    present = F.transform(F.split(plain, ","), lambda name: F.trim(name))
+    wanted = F.array(*[F.lit(name) for name in required])
+    missing = F.filter(wanted, lambda name: ~F.array_contains(present, F.lower(name)))
+    return files.select("path", F.explode(missing).alias("column_name"))
 
 
 def _decode_windows(line: str) -> Column:

@@ -7,13 +7,16 @@ remembers which files were seen.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyloom.sources.deliveries import LISTING_SCHEMA, inspect_files
-from tallyloom.sources.ingest import IngestSpec, read_deliveries
+from tallyloom.operators.upkeep import with_partition_key
+from tallyloom.plans.runs import replace_terms
+from tallyloom.sources.deliveries import LISTING_SCHEMA
+from tallyloom.sources.ingest import IngestSpec
 from tallyloom.sources.ledger import load_deliveries
 
 FILES_PER_BATCH = 200
@@ -40,23 +43,23 @@ def pick_up(
     stage_table: str,
     ledger_table: str,
     spec: IngestSpec,
-    after_load: Callable[[DataFrame], None] | None = None,
+    after_load: Callable[[DataFrame], object] | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Load all files that arrived since the last call, then stop.
 
     Each batch replaces its files' partitions in the stage, so a batch that is run again after a failure leaves
-    the same rows. `after_load` gets the batch's new stage rows and may rebuild output tables from the stage.
+    the same rows. `after_load` gets the files of the batch (path, file_name, ...) once their rows are stored.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
         paths = [row["path"] for row in batch.select("path").collect()]  # at most files_per_batch
         if not paths:
             return
-        load_deliveries(batch.sparkSession, paths, stage_table, ledger_table, spec, mode="replace")
+        files = load_deliveries(spark, paths, stage_table, ledger_table, spec, mode="replace")
         if after_load is not None:
-            after_load(read_deliveries(batch.sparkSession, inspect_files(batch.sparkSession, paths), spec))
+            after_load(files)
 
     return (
         arriving_files(spark, folder, pattern, files_per_batch)
@@ -65,3 +68,32 @@ def pick_up(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stage_of_files(spark: SparkSession, stage_table: str, files: DataFrame) -> DataFrame:
+    """The stage rows of some files; only their partitions are read."""
+    names = with_partition_key(files.select(F.col("file_name").alias("FILE_NAME")), "FILE_NAME").select("part_key")
+    return spark.table(stage_table).join(names, "part_key", "left_semi").drop("part_key")
+
+
+def rebuild_terms(
+    spark: SparkSession,
+    stage_table: str,
+    files: DataFrame,
+    build: Callable[[DataFrame], Mapping[str, DataFrame]],
+    database: str,
+    replaced: Iterable[str],
+    term_of: Callable[[str], Column] = F.col,
+) -> DataFrame:
+    """Rebuild output tables for the terms that occur in new files, from all stage rows of those terms.
+
+    Rows of the same terms that earlier files brought are part of the result, so nothing is lost when a term is
+    spread over several deliveries. `term_of` gives a term as the tables hold it (see replace_terms): spellings
+    that become the same term are rebuilt together. Returns the row counts of the tables.
+    """
+    arrived = stage_of_files(spark, stage_table, files)
+    # noted once: the stage may grow while the tables are rebuilt
+    terms = arrived.select(term_of("term").alias("new_term")).distinct().checkpoint()
+    stage = spark.table(stage_table).drop("part_key")
+    touched = stage.join(terms, term_of("term").eqNullSafe(F.col("new_term")), "left_semi")
+    return replace_terms(touched, build(touched), database, replaced, term_of=term_of)
