@@ -16,7 +16,7 @@ NO_WORDS = ("N", "NO", "FALSE", "F", "0")
 
 def is_selected(value: ColumnOrName) -> Column:
     """Whether a checkbox text counts as ticked, ignoring case and outer white space."""
-    return ~F.upper(strip(F.coalesce(column(value), F.lit("")))).isin(*NOT_SELECTED)
+    return ~F.upper(_stripped_answer(value)).isin(*NOT_SELECTED)
 
 
 def is_selected_number(value: ColumnOrName) -> Column:
@@ -27,7 +27,7 @@ def is_selected_number(value: ColumnOrName) -> Column:
 
 def option_picked(value: ColumnOrName) -> Column:
     """Whether a contact option was taken. Case matters here: only '', N and No count as refusals."""
-    return ~strip(F.coalesce(column(value), F.lit(""))).isin(*NOT_PICKED)
+    return ~_stripped_answer(value).isin(*NOT_PICKED)
 
 
 def yes_no(value: ColumnOrName) -> Column:
@@ -46,3 +46,9 @@ def yes_no_number(value: ColumnOrName) -> Column:
     return F.when(number.isNull() | F.isnan(number), F.lit(None).cast("string")).otherwise(
         F.when(number != 0, "Y").otherwise("N")
     )
+
+
+def _stripped_answer(value: ColumnOrName) -> Column:
+    """Stripped text, null as empty text. The usual answers skip the search for white space."""
+    answer = F.coalesce(column(value).cast("string"), F.lit(""))
+    return F.when(answer.isin("", "Y", "N", "1", "0"), answer).otherwise(strip(answer))
