@@ -11,7 +11,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.plans import specs
-from tallyloom.plans.schema import ANSWER_COLUMNS, STAGE_SCHEMA
+from tallyloom.plans.schema import ANSWER_COLUMNS
 from tallyloom.sources.workspace import new_folder
 
 
@@ -178,25 +178,29 @@ def derived_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.selectExpr(*[f"{sql} AS {name}" for name, sql in stage_columns().items()])
 
 
-_stored: dict[tuple[str, str], str] = {}
+_folders: dict[tuple[str, str, str], str] = {}
 
 
-def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide stage over all orders as a stored table, which is what the library works on.
+def _stored(spark: SparkSession, sf_dir: str, name: str, frame) -> DataFrame:
+    """A derived frame as a stored table, written to the shared folder the first time a session asks for it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _folders:
+        folder = new_folder(spark, name)
+        frame().write.parquet(folder)
+        _folders[key] = folder
+    return spark.read.parquet(_folders[key])
+
 
-    It is written to the shared folder the first time a session asks for it.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
-        folder = new_folder(spark, "stage")
-        derived_stage(spark, sf_dir).write.parquet(folder)
-        _stored[key] = folder
-    return spark.read.schema(STAGE_SCHEMA).parquet(_stored[key])
+def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide stage over all orders as a stored table, which is what the library works on."""
+    return _stored(spark, sf_dir, "stage", lambda: derived_stage(spark, sf_dir))
 
 
 def lookup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A lookup as a stored table."""
     source = _LOOKUP_SOURCES[name]
-    return spark.sql(LOOKUP_SQL[name].replace(f"FROM {source}", "FROM {source}"), source=table(spark, sf_dir, source))
+    sql = LOOKUP_SQL[name].replace(f"FROM {source}", "FROM {source}")
+    return _stored(spark, sf_dir, name, lambda: spark.sql(sql, source=table(spark, sf_dir, source)))
 
 
 def lookups(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from harness import carrier, duck
 from harness.case import Case
-from tallyloom.functions import count_or_null, count_truncated, strict_id
+from tallyloom.functions import academic_year, count_or_null, count_truncated, parse_term, strict_id
 from tallyloom.operators import conditions, quality, sets
 from tallyloom.operators.lookup import Lookup, lookup_join
 from tallyloom.operators.unpivot import unpivot_groups, unpivot_selected
@@ -229,11 +229,13 @@ def _table_counts(spark, sf_dir):
 
 
 def _one_row_per_term(spark, sf_dir):
-    rows = carrier.stage(spark, sf_dir).where(conditions.not_blank("term"))
-    labelled = new_term_labels(rows)
-    # the same label rows once per respondent, then folded again
-    repeated = labelled.join(rows.select(F.trim("term").try_cast("int").alias("term")), "term")
-    return sets.one_row_per(repeated, "term")
+    """Label rows derived once per respondent, folded to one per term."""
+    terms = carrier.stage(spark, sf_dir).where(conditions.not_blank("term")).select(parse_term("term").alias("term"))
+    year = academic_year("term")
+    labelled = terms.where(F.col("term").isNotNull()).select(
+        "term", year.alias("acad_year"), year.cast("string").alias("report_label")
+    )
+    return sets.one_row_per(labelled, "term")
 
 
 AGGREGATES = [

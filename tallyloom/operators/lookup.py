@@ -1,4 +1,4 @@
-"""Joining a large frame with a smaller one: lookups (left) and exclusions (left anti).
+"""Joining a large frame with a smaller one: lookups (left), exclusions (left anti), restrictions (left semi).
 
 The smaller side is broadcast only after its size has been measured. Beyond the limit the same join is done by
 a shuffle in which one hot key is spread over many tasks.
@@ -98,9 +98,29 @@ def exclude(
 
     Measures `keys` (one small job).
     """
+    return _filter_join(df, keys, condition, "left_anti", broadcast_limit, salt_by)
+
+
+def restrict(
+    df: DataFrame,
+    keys: DataFrame,
+    condition: Column,
+    broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+    salt_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows of `df` for which some row of `keys` meets the equality condition (left semi join).
+
+    Measures `keys` (one small job).
+    """
+    return _filter_join(df, keys, condition, "left_semi", broadcast_limit, salt_by)
+
+
+def _filter_join(
+    df: DataFrame, keys: DataFrame, condition: Column, how: str, broadcast_limit: int, salt_by: Sequence[str] | None
+) -> DataFrame:
     if size_in_bytes(keys) <= broadcast_limit:
-        return df.join(F.broadcast(keys), condition, "left_anti")
-    return salted_join(df, keys, condition, "left_anti", salt_by)
+        return df.join(F.broadcast(keys), condition, how)
+    return salted_join(df, keys, condition, how, salt_by)
 
 
 def salted_join(
@@ -111,7 +131,7 @@ def salted_join(
     salt_by: Sequence[str] | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left or left anti join by shuffle, for a right side that is too large to broadcast.
+    """Left, left anti or left semi join by shuffle, for a right side that is too large to broadcast.
 
     Rows are sent by (key, salt), so a key that fills a third of the table is worked on by `salts` tasks, and
     rows with a null key are spread the same way. Each row of `other` is repeated once per salt. `salt_by`

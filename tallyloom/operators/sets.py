@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyloom.operators.lookup import exclude
+
 
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
     """The distinct non-null values of one column."""
@@ -24,5 +26,6 @@ def one_row_per(df: DataFrame, key: str) -> DataFrame:
 
 
 def not_in(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Rows whose key does not occur in `known`; both sides use the same column name."""
-    return df.join(known.select(key), key, "left_anti")
+    """Rows whose key does not occur in `known`; both sides use the same column name. Measures the known keys."""
+    known_keys = known.select(F.col(key).alias("known_key")).distinct()
+    return exclude(df, known_keys, F.col(key) == F.col("known_key"))

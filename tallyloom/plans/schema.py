@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.plans import specs
@@ -70,3 +72,20 @@ STAGE_SCHEMA = T.StructType(
 
 # What every builder together reads; the schema check compares a delivery with this.
 REQUIRED_COLUMNS = tuple(STAGE_SCHEMA.fieldNames())
+
+# Columns that the builders compare with Y.
+FLAG_COLUMNS = _unique(
+    [
+        *(f.flag for f in specs.INTL_EXPERIENCE),
+        *specs.CONTACT_PRECEDENCE,
+        *specs.STATUS_PRECEDENCE,
+    ]
+)
+
+
+def case_blind_flags(stage: DataFrame) -> DataFrame:
+    """The stage with flags that compare without regard to case and trailing blanks, as some databases do.
+
+    By default flags are compared exactly. Direct variants built on this stage take ``y`` and ``Y `` for ``Y``.
+    """
+    return stage.withColumns({name: F.collate(name, "UTF8_LCASE_RTRIM") for name in FLAG_COLUMNS})

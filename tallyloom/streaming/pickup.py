@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyloom.operators.lookup import restrict
 from tallyloom.operators.upkeep import with_partition_key
 from tallyloom.plans.runs import replace_terms
 from tallyloom.sources.deliveries import LISTING_SCHEMA
@@ -71,9 +72,10 @@ def pick_up(
 
 
 def stage_of_files(spark: SparkSession, stage_table: str, files: DataFrame) -> DataFrame:
-    """The stage rows of some files; only their partitions are read."""
-    names = with_partition_key(files.select(F.col("file_name").alias("FILE_NAME")), "FILE_NAME").select("part_key")
-    return spark.table(stage_table).join(names, "part_key", "left_semi").drop("part_key")
+    """The stage rows of some files; only their partitions are read. Measures the file names (one small job)."""
+    named = with_partition_key(files.select(F.col("file_name").alias("FILE_NAME")), "FILE_NAME")
+    names = named.select(F.col("part_key").alias("wanted_key"))
+    return restrict(spark.table(stage_table), names, F.col("part_key") == F.col("wanted_key")).drop("part_key")
 
 
 def rebuild_terms(
@@ -95,5 +97,5 @@ def rebuild_terms(
     # noted once: the stage may grow while the tables are rebuilt
     terms = arrived.select(term_of("term").alias("new_term")).distinct().checkpoint()
     stage = spark.table(stage_table).drop("part_key")
-    touched = stage.join(terms, term_of("term").eqNullSafe(F.col("new_term")), "left_semi")
+    touched = restrict(stage, terms, term_of("term").eqNullSafe(F.col("new_term")))
     return replace_terms(touched, build(touched), database, replaced, term_of=term_of)

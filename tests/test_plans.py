@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from harness import carrier
 from tallyloom.plans import conn_to_psu, intern, intl_exp, learned, response, runs, stud_attr, term_labels
-from tallyloom.plans.schema import STAGE_SCHEMA
+from tallyloom.plans.schema import STAGE_SCHEMA, case_blind_flags
 
 
 def stage_of(spark, *rows):
@@ -185,6 +185,14 @@ def test_folded_branch_alone_is_shuffled(spark, sf_dir):
     assert text.count("Exchange hashpartitioning") == 1
 
 
+def test_flags_compare_exactly_unless_asked_otherwise(spark):
+    stage = stage_of(spark, {"student_id": "1", "term": "2235", "connect_no": "y ", "int_exp_AYEA": "y"})
+    assert conn_to_psu.direct(stage).count() == intl_exp.direct(stage).count() == 0
+    blind = case_blind_flags(stage)
+    assert conn_to_psu.direct(blind).count() == intl_exp.direct(blind).count() == 1
+    assert stud_attr.direct(blind).select("indc_exp_AYEA").first()[0] == "Y"
+
+
 def test_load_date_can_be_given(spark):
     stage = stage_of(spark, {"student_id": "1", "term": "2235", "int_exp_none": "Y"})
     given = F.lit("2024-01-01").cast("timestamp")
