@@ -15,7 +15,7 @@ from tallyloom.operators.lookup import exclude
 from tallyloom.operators.upkeep import create_partitioned_table, replace_partitions, with_partition_key
 from tallyloom.sources.deliveries import inspect_files
 from tallyloom.sources.ingest import IngestSpec, read_deliveries
-from tallyloom.sources.workspace import shared_folder
+from tallyloom.sources.workspace import cut_lineage
 
 Mode = Literal["skip", "replace", "force"]
 KnownBy = Literal["name and content", "name", "content"]
@@ -66,12 +66,11 @@ def load_deliveries(
     stopped half-way can simply be repeated; mode force adds the rows again. The stage is written before the
     ledger: a file is noted only when its rows are there.
     """
-    shared_folder(spark)
     inspected = inspect_files(spark, paths)
     ledger_exists = spark.catalog.tableExists(ledger_table)
     todo = files_to_load(inspected, spark.table(ledger_table), mode, known_by) if ledger_exists else inspected
     # one pass over the files decides what to load; later steps must not see other answers
-    todo = todo.checkpoint()
+    todo = cut_lineage(todo)
     if todo.isEmpty():
         return todo
     rows = read_deliveries(spark, todo, spec)

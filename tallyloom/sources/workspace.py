@@ -5,11 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as named by the session. A local session without one gets a temporary folder."""
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
@@ -17,9 +20,18 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="tallyloom-")
+    return _local_folders[application]
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The frame computed once and kept in the shared folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -19,6 +19,7 @@ from tallyloom.plans.runs import replace_terms
 from tallyloom.sources.deliveries import LISTING_SCHEMA
 from tallyloom.sources.ingest import IngestSpec
 from tallyloom.sources.ledger import load_deliveries
+from tallyloom.sources.workspace import cut_lineage
 
 FILES_PER_BATCH = 200
 
@@ -95,7 +96,7 @@ def rebuild_terms(
     """
     arrived = stage_of_files(spark, stage_table, files)
     # noted once: the stage may grow while the tables are rebuilt
-    terms = arrived.select(term_of("term").alias("new_term")).distinct().checkpoint()
+    terms = cut_lineage(arrived.select(term_of("term").alias("new_term")).distinct())
     stage = spark.table(stage_table).drop("part_key")
     touched = restrict(stage, terms, term_of("term").eqNullSafe(F.col("new_term")))
     return replace_terms(touched, build(touched), database, replaced, term_of=term_of)

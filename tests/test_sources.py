@@ -186,6 +186,24 @@ def test_stream_rebuilds_terms_from_all_deliveries(spark, tmp_path, database):
     assert (2238, 2023, "2023") in labels
 
 
+class Session:
+    """Just enough of a session to ask for the shared folder."""
+
+    def __init__(self, **settings):
+        self.settings = settings
+        self.conf = self
+        self.sparkContext = self
+        self.applicationId = f"app-{id(self)}"
+
+    def get(self, name, default=None):
+        return self.settings.get(name.replace(".", "_"), default)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert workspace.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert workspace.new_folder(spark, "x") != workspace.new_folder(spark, "x")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        workspace.shared_folder(Session(spark_master="spark://host:7077"))
+    local = Session(spark_master="local[2]")
+    assert os.path.isdir(workspace.shared_folder(local))
+    assert workspace.shared_folder(local) == workspace.shared_folder(local)
