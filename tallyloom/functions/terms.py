@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tallyloom.functions.numbers import whole_number
 from tallyloom.functions.text import ColumnOrName, column, decode, strip
 
 # Season codes in delivered file names.
@@ -14,7 +15,7 @@ SPRING_DIGIT = 1
 
 def parse_term(value: ColumnOrName) -> Column:
     """The term code as a number; anything that is no whole number becomes null."""
-    return strip(value).try_cast("int")
+    return whole_number(strip(value))
 
 
 def academic_year(term: ColumnOrName) -> Column:
