@@ -36,7 +36,8 @@ _DF_BITS = 20
 
 def gram_sets(docs: DataFrame, n: int = N) -> DataFrame:
     """doc_id, grams (sorted distinct hashes of the text's n-grams) and their number."""
-    words = docs.select("doc_id", words_of(F.col("text")).alias("w"))
+    # Exploding an array of one keeps the optimiser from copying the tokenisation into the function that runs per n-gram.
+    words = docs.select("doc_id", F.explode(F.array(words_of(F.col("text")))).alias("w"))
     size = F.size("w")
 
     def gram(at: Column) -> Column:
