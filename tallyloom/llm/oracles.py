@@ -90,10 +90,10 @@ WITH RECURSIVE d AS (
     SELECT DISTINCT r, list_aggregate(w[s + 1 : s + 4], 'string_agg', ' ') AS g FROM places
 ), sizes AS (
     SELECT r, count(*) AS n FROM grams GROUP BY r
-), overlaps AS (
+), shared_grams AS (
     SELECT x.r AS a, y.r AS b, count(*) AS n FROM grams x JOIN grams y ON x.g = y.g AND x.r < y.r GROUP BY x.r, y.r
 ), links AS (
-    SELECT a, b FROM overlaps o JOIN sizes p ON o.a = p.r JOIN sizes q ON o.b = q.r WHERE 100 * o.n >= 85 * (p.n + q.n - o.n)
+    SELECT a, b FROM shared_grams o JOIN sizes p ON o.a = p.r JOIN sizes q ON o.b = q.r WHERE 100 * o.n >= 85 * (p.n + q.n - o.n)
 ), both_ways AS (
     SELECT a, b FROM links UNION SELECT b, a FROM links
 ), reached AS (
