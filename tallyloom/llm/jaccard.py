@@ -19,12 +19,15 @@ none; columns besides `doc_id` and `text` are not read by `components`, and kept
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import BROADCAST_LIMIT_BYTES, join_small, stored, words_of
+from tallyloom.llm.common import BROADCAST_LIMIT_BYTES, join_small, stored
 
 N = 4
 PERCENT = 85
@@ -32,21 +35,57 @@ FRAGMENTS = 8
 #: A class is compared with a leader of each of so many groups of n-grams that it shares.
 LEADERS = 4
 _DF_BITS = 20
-
-
-def gram_sets(docs: DataFrame, n: int = N) -> DataFrame:
-    """doc_id, grams (sorted distinct hashes of the text's n-grams) and their number."""
-    # Exploding an array of one keeps the optimiser from copying the tokenisation into the function that runs per n-gram.
-    words = docs.select("doc_id", F.explode(F.array(words_of(F.col("text")))).alias("w"))
-    size = F.size("w")
-
-    def gram(at: Column) -> Column:
-        return F.xxhash64(*[F.get("w", at + i) for i in range(n)])
-
-    whole = F.when(size > 0, F.array(F.xxhash64("w"))).otherwise(F.array().cast("array<bigint>"))
-    grams = F.when(size < n, whole).otherwise(F.transform(F.sequence(F.lit(0), size - n), gram))
-    distinct = words.select("doc_id", F.sort_array(F.array_distinct(grams)).alias("grams"))
-    return distinct.withColumn("n_grams", F.size("grams").cast("long"))
+#: Bytes of a text that are hashed at a time.
+_CHUNK_BYTES = 1 << 20
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads close values (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _word_hashes(text: str | None) -> np.ndarray:
+    """64-bit hashes of a text's words, in order: sums of a mixture of each byte and its place in the word."""
+    lowered = (text or "").encode("utf-8", "surrogatepass").lower()  # for bytes, A-Z only
+    raw = np.frombuffer(lowered, dtype=np.uint8)
+    blank = (raw == 32) | ((raw >= 9) & (raw <= 13))
+    starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    edges = np.append(starts, len(raw))
+    hashes = []
+    at = 0
+    while at < len(starts):  # a bounded number of bytes at a time, but whole words
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + _CHUNK_BYTES)) - 1)
+        low, high = edges[at], edges[to]
+        own = starts[at:to] - low
+        place = np.arange(high - low) - np.repeat(own, np.diff(np.append(own, high - low)))
+        mixed = _mixed((place.astype(np.uint64) << np.uint64(8)) + raw[low:high] + np.uint64(0x9E3779B97F4A7C15))
+        mixed[blank[low:high]] = 0
+        hashes.append(_mixed(np.add.reduceat(mixed, own)))
+        at = to
+    return np.concatenate(hashes)
+
+
+def gram_set(text: str | None, n: int = N) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's n-grams; of the whole sequence if there are fewer words, none without."""
+    words = _word_hashes(text)
+    if not len(words):
+        return np.zeros(0, dtype=np.int64)
+    width = min(n, len(words))
+    grams = np.full(len(words) - width + 1, width, dtype=np.uint64)
+    for i in range(width):
+        grams = _mixed(grams + words[i : len(words) - width + 1 + i])
+    return np.unique(grams.view(np.int64))
+
+
+def class_of(grams: np.ndarray) -> tuple[int, int]:
+    """Two hashes that equal sets share."""
+    bits = grams.view(np.uint64)
+    halves = (_mixed(bits ^ np.uint64(seed)).sum(dtype=np.uint64).astype(np.int64) for seed in (1, 0x5DEECE66D))
+    return tuple(map(int, halves))
 
 
 def _spare(n: Column, percent: int) -> Column:
@@ -60,44 +99,57 @@ def _extra(n: Column) -> Column:
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_grams, the class (h1, h2) and the first n-grams of the set in order of their hashes."""
-    sets = gram_sets(docs, n)
-    seen = _spare(F.col("n_grams"), percent) + _extra(F.col("n_grams"))
-    return sets.select(
-        "doc_id",
-        "n_grams",
-        F.xxhash64("grams").alias("h1"),
-        F.xxhash64(F.lit("second"), "grams").alias("h2"),
-        F.transform(F.slice("grams", F.lit(1), seen), lambda g: F.shiftright(g, 32).cast("int")).alias("first"),
-    )
+    """doc_id, n_grams, the class (h1, h2) and the first n-grams (upper halves) of the set in order of their hashes."""
+
+    @F.pandas_udf("n_grams long, h1 long, h2 long, first array<int>")
+    def outline(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for text in texts:
+                grams = gram_set(text, n)
+                seen = len(grams) * (100 - percent) // 100 + len(grams) // 10 + 1
+                rows.append((len(grams), *class_of(grams), (grams[:seen] >> 32).astype(np.int32)))
+            yield pd.DataFrame(rows, columns=["n_grams", "h1", "h2", "first"])
+
+    return docs.select("doc_id", outline("text").alias("o")).select("doc_id", "o.*")
 
 
 def _survivors(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Classes that share enough of their first n-grams with others: h1, representative and n_grams."""
-    grams = rows.where("n_grams > 0").select("h1", F.explode("first").alias("gram"))
+    """Classes that share enough of their first n-grams with others: h1, h2, representative and n_grams."""
+    named = classes.where("representative is not null and n_grams > 0").select(
+        F.col("h1").alias("c1"), F.col("h2").alias("c2"), "representative"
+    )
+    same = (F.col("doc_id") == F.col("representative")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
+    one_each = stored(rows.join(named.hint("merge"), same).select("h1", "h2", "representative", "n_grams", "first"), "classes")
+    grams = one_each.select("h1", F.explode("first").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("shared"))
-    found = grams.join(shared, F.col("gram") == F.col("shared"), "left_semi").groupBy("h1").agg(F.count("*").alias("n_found"))
+    common = grams.join(stored(shared, "shared-grams").hint("merge"), F.col("gram") == F.col("shared"), "left_semi")
+    found = common.groupBy("h1").agg(F.count("*").alias("n_found"))
     smallest = F.ceil(F.col("n_grams") * percent / 100)
-    enough = F.col("n_found") >= _extra(smallest) * F.col("n_rows")
-    kept = classes.where("representative is not null and n_grams > 0").join(found.hint("merge"), "h1")
-    return kept.where(enough).select("h1", "representative", "n_grams")
+    kept = one_each.drop("first").dropDuplicates(["h1"]).join(found.hint("merge"), "h1")
+    return kept.where(F.col("n_found") >= _extra(smallest)).drop("n_found")
 
 
 def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) -> DataFrame:
     """h1, representative, n_grams and the set's shared n-grams in global order: structs of order and gram."""
-    wanted = survivors.select(F.col("h1").alias("wanted"), "representative")
+    wanted = survivors.select("h1", "h2", "representative")
     texts = join_small(docs.select("doc_id", "text"), wanted, F.col("doc_id") == F.col("representative"), "inner", limit)
+
+    def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for h1, h2, text in zip(batch["h1"], batch["h2"], batch["text"], strict=True):
+                grams = gram_set(text, n)
+                if class_of(grams) == (h1, h2):  # another row may have the same id
+                    yield pd.DataFrame({"h1": h1, "gram": grams})
+
     # Sets are computed once more for the few survivors instead of being kept for all documents.
-    carried = texts.select(F.struct("wanted", "representative").alias("doc_id"), "text")
-    sets = gram_sets(carried, n).where(F.xxhash64("grams") == F.col("doc_id.wanted"))
-    grams = sets.select(F.col("doc_id.wanted").alias("h1"), F.explode("grams").alias("gram")).distinct()
-    grams = stored(grams, "survivors-grams")
+    grams = stored(texts.select("h1", "h2", "text").mapInPandas(sets_of, "h1 long, gram long"), "survivors-grams")
     frequency = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1").withColumnRenamed("gram", "shared")
     common = grams.join(frequency, F.col("gram") == F.col("shared"))
     top = (1 << _DF_BITS) - 1
     order = F.shiftleft(F.least("df", F.lit(top)), 63 - _DF_BITS).bitwiseOR(F.shiftrightunsigned("gram", _DF_BITS + 1))
-    ordered = common.groupBy("h1").agg(F.sort_array(F.collect_list(F.struct(order.alias("place"), "gram"))).alias("ordered"))
-    return survivors.join(ordered.hint("merge"), "h1")
+    ordered = common.groupBy("h1").agg(F.sort_array(F.collect_set(F.struct(order.alias("place"), "gram"))).alias("ordered"))
+    return survivors.drop("h2").join(ordered.hint("merge"), "h1")
 
 
 def _fragments(sets: DataFrame, fragments: int) -> DataFrame:
@@ -192,7 +244,7 @@ def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFr
 def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: int = FRAGMENTS, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """doc_id, n_shingles (the size of its set) and component_id (the smallest id reachable by links) of every row."""
     rows = stored(_classes(docs, n, percent), "first-grams")
-    classes = rows.groupBy("h1", "h2", "n_grams").agg(F.min("doc_id").alias("representative"), F.count("*").alias("n_rows"))
+    classes = rows.groupBy("h1", "h2", "n_grams").agg(F.min("doc_id").alias("representative"))
     classes = stored(classes, "classes")
     survivors = stored(_survivors(rows, classes, percent), "survivors")
     sets = stored(_ordered_sets(docs, survivors, n, limit), "ordered-sets")
