@@ -22,6 +22,7 @@ from tallyloom.operators.lookup import size_in_bytes
 
 WINDOW = 10
 SHINGLE = 3
+BLOCK_WORDS = 512
 ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -48,23 +49,31 @@ def _shingles_of_windows(grams: DataFrame, size: int) -> DataFrame:
     return rows.withColumn("shingle", _shingle(F.col("gram"), F.col("offset"), size))
 
 
-def _positions(words: DataFrame, size: int) -> DataFrame:
-    """A row for each place in each document, with the shingle that begins there."""
-    rows = words.select("*", F.posexplode("w").alias("pos", "word")).where(F.col("pos") <= F.size("w") - size)
+def _positions(blocks: DataFrame, size: int) -> DataFrame:
+    """A row for each place in each block, with the shingle that begins there."""
+    rows = blocks.select("*", F.posexplode("w").alias("pos", "word")).where(F.col("pos") <= F.size("w") - size)
     return rows.withColumn("shingle", _shingle(F.col("w"), F.col("pos"), size)).drop("word")
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """A document is known by its id and its text, so that repeated and missing ids are no trouble."""
-    return docs.select("doc_id", F.xxhash64("text").alias("content"), _words().alias("w"))
+def _blocks(docs: DataFrame, window: int) -> DataFrame:
+    """The words of documents in blocks, each with the words that a window beginning in it may still need.
 
+    However long a text is, what goes along with one of its places is a block. A document is known by its id and its
+    text, so that repeated and missing ids are no trouble.
+    """
+    # Exploding an array of one keeps the optimiser from copying the tokenisation into the function that runs per block.
+    whole = docs.select("doc_id", F.xxhash64("text").alias("content"), F.explode(F.array(_words())).alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - 1, F.lit(0)), F.lit(BLOCK_WORDS))
+    parts = F.transform(starts, lambda start: F.slice("all", start + 1, F.lit(BLOCK_WORDS + window - 1)))
+    return whole.select("doc_id", "content", F.posexplode(parts).alias("block", "w"))
 
-def _needed_shingles(docs: DataFrame, grams: DataFrame, sizes: list[int], limit: int) -> DataFrame:
+
+def _needed_shingles(blocks: DataFrame, grams: DataFrame, sizes: list[int], limit: int) -> DataFrame:
     """Windows with the rarest of their shingles (and its offset) over all documents; impossible windows are gone."""
     shingles = reduce(DataFrame.unionByName, [_shingles_of_windows(grams, size) for size in sizes])
     wanted = stored(shingles.select(F.col("shingle").alias("wanted")).distinct(), "wanted-shingles")
-    words = _keyed(docs)
-    in_docs = reduce(DataFrame.unionByName, [_positions(words, size).select("shingle") for size in sizes])
+    places = [_positions(blocks, size).where(F.col("pos") < BLOCK_WORDS).select("shingle") for size in sizes]
+    in_docs = reduce(DataFrame.unionByName, places)
     counts = join_small(in_docs, wanted, F.col("shingle") == F.col("wanted"), "left_semi", limit)
     frequency = counts.groupBy("shingle").agg(F.count("*").alias("frequency"))
     ranked = shingles.join(frequency, "shingle", "left").withColumn("frequency", F.coalesce("frequency", F.lit(0)))
@@ -76,22 +85,24 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, lim
     """doc_id, content (hash of the text), start, length and items of every place where a window occurs."""
     grams = stored(windows(benchmark, window), "windows")
     sizes = [row[0] for row in grams.select(F.least(F.size("gram"), F.lit(SHINGLE)).alias("s")).distinct().collect()]
-    needed = stored(_needed_shingles(docs, grams, sorted(sizes) or [SHINGLE], limit), "needed-shingles")
+    sizes = sorted(sizes) or [SHINGLE]
+    blocks = _blocks(docs, window)
+    needed = stored(_needed_shingles(blocks, grams, sizes, limit), "needed-shingles")
     needed = needed.withColumnRenamed("shingle", "needed")
-    words = _keyed(docs)
-    places = reduce(DataFrame.unionByName, [_positions(words, size) for size in sorted(sizes) or [SHINGLE]])
+    places = reduce(DataFrame.unionByName, [_positions(blocks, size) for size in sizes])
     start = F.col("pos") - F.col("offset")
-    in_bounds = (start >= 0) & (start + F.size("gram") <= F.size("w"))
+    in_bounds = (start >= 0) & (start < BLOCK_WORDS) & (start + F.size("gram") <= F.size("w"))
     same_shingle = F.col("shingle") == F.col("needed")
     if size_in_bytes(needed) <= limit:
         candidates = places.join(F.broadcast(needed), same_shingle)
     else:
-        # Too many windows to broadcast: texts stay behind while places are matched, and rejoin those that matched.
+        # Too many windows to broadcast: words stay behind while places are matched, and rejoin those that matched.
         found = places.drop("w").join(needed.hint("merge"), same_shingle)
-        back = words.select(F.col("doc_id").alias("id"), F.col("content").alias("c"), "w").dropDuplicates(["id", "c"])
-        candidates = found.join(back, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("content").eqNullSafe(F.col("c")))
+        back = blocks.toDF("id", "c", "b", "w").dropDuplicates(["id", "c", "b"])
+        same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("content") == F.col("c")) & (F.col("block") == F.col("b"))
+        candidates = found.join(back.hint("merge"), same)
     verified = candidates.where(in_bounds).where(F.slice("w", start + 1, F.size("gram")) == F.col("gram"))
-    return verified.select("doc_id", "content", start.alias("start"), F.size("gram").alias("length"), "items")
+    return verified.select("doc_id", "content", (start + F.col("block") * BLOCK_WORDS).alias("start"), F.size("gram").alias("length"), "items")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:

@@ -1,0 +1,58 @@
+"""The registered queries against their oracles, and the pipeline stage by stage."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from harness import compare
+from tallyloom.llm import decontamination, jaccard, mixing, quality_rules, secret_scan
+from tallyloom.llm.common import read, stored
+from tallyloom.llm.queries import ORACLES, QUERIES
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_oracle(spark, sf_dir, name):
+    assert compare.difference(QUERIES[name](spark, sf_dir), compare.duck(sf_dir), ORACLES[name]) is None
+
+
+def test_pipeline_stages_take_effect(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    bench = read(spark, sf_dir, "benchmark")
+    before = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, before, sf_dir), name)
+        assert after.columns == docs.columns, name
+        ids_before = {r.doc_id for r in before.select("doc_id").collect()}
+        ids_after = {r.doc_id for r in after.select("doc_id").collect()}
+        if name == "quality_rules":
+            wanted = {r.doc_id for r in quality_rules.judged(before).where("kept").collect()}
+        elif name == "ngram_jaccard":
+            wanted = {r.component_id for r in jaccard.components(before).collect()}
+        elif name == "decontamination":
+            wanted = {r.doc_id for r in decontamination.contamination(before, bench).where("not contaminated").collect()}
+        else:
+            wanted = ids_before
+            assert secret_scan.scan(after).where("n_assign + n_access + n_hex > 0").count() == 0
+            assert after.where(F.char_length("text") != F.col("n_chars")).count() == 0
+        assert ids_after == wanted, name
+        before = after
+    mixed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
+    assert mixed.columns == [*docs.columns, "block", "place", "epoch"]
+    plain = mixing.mix(before, repetitions=1.25).select("doc_id", "block", "place", "epoch")
+    assert sorted(mixed.select("doc_id", "block", "place", "epoch").collect()) == sorted(plain.collect())
+
+
+def test_pipeline_of_an_empty_table(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf_dir)
+    assert docs.count() == 0
+
+
+def test_native_operators_run_no_python(spark, sf_dir):
+    docs, bench = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    for df in (decontamination.contamination(docs, bench), mixing.mix(docs, repetitions=1.25)):
+        plan = df._jdf.queryExecution().toString()
+        assert not re.search("Python|Pandas|ArrowEval", plan)
