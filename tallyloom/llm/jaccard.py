@@ -209,15 +209,18 @@ def _possible(n_a: str, n_b: str, most: Column, percent: int) -> Column:
 
 
 def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """Each class with a leader of its n-gram; leaders are chosen alike for n-grams of one group, so few pairs differ."""
+    """Each class with a leader for each group of n-grams; leaders are chosen alike for the n-grams of a group."""
     group = F.pmod(F.col("gram"), F.lit(LEADERS))
     choice = F.struct(F.xxhash64("h1", group).alias("lot"), F.col("h1").alias("a"), F.col("n_grams").alias("n_a"), F.col("n_shared").alias("s_a"))
     leaders = index.groupBy(F.col("gram").alias("of")).agg(F.min(choice).alias("leader"))
-    leaders = stored(leaders.select("of", "leader.a", "leader.n_a", "leader.s_a"), "leaders")
+    leaders = stored(leaders.select("of", "leader.*"), "leaders")
     members = index.select("gram", F.col("h1").alias("b"), F.col("n_grams").alias("n_b"), F.col("n_shared").alias("s_b"))
     pairs = members.join(leaders.hint("merge"), F.col("gram") == F.col("of")).where("a != b")
-    most = F.least("s_a", "s_b")
-    return pairs.where(_possible("n_a", "n_b", most, percent)).select("a", "b", "n_a", "n_b").distinct()
+    possible = pairs.where(_possible("n_a", "n_b", F.least("s_a", "s_b"), percent))
+    # A class of a large group meets another leader at nearly every n-gram; one for each group of n-grams links it as well.
+    first = F.min(F.struct("lot", "a", "n_a")).alias("first")
+    one_each = possible.groupBy("b", "n_b", group.alias("group")).agg(first)
+    return one_each.select("first.a", "b", "first.n_a", "n_b").distinct()
 
 
 def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
