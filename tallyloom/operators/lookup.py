@@ -141,5 +141,6 @@ def salted_join(
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or df.columns)]), F.lit(salts)).cast("int")
     spread = other.withColumn("other_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = df.withColumn("row_salt", salt)
-    joined = salted.join(spread, condition & (F.col("row_salt") == F.col("other_salt")), how)
+    # The hint keeps the optimiser's own size estimate from broadcasting the repeated rows after all.
+    joined = salted.join(spread.hint("merge"), condition & (F.col("row_salt") == F.col("other_salt")), how)
     return joined.drop("row_salt", "other_salt")
