@@ -59,6 +59,7 @@ def load_deliveries(
     spec: IngestSpec,
     mode: Mode = "skip",
     known_by: KnownBy = "name and content",
+    pattern: str = "*.csv",
 ) -> DataFrame:
     """Load files into a managed stage table, one partition per file, and note them in the ledger.
 
@@ -66,7 +67,7 @@ def load_deliveries(
     stopped half-way can simply be repeated; mode force adds the rows again. The stage is written before the
     ledger: a file is noted only when its rows are there.
     """
-    inspected = inspect_files(spark, paths)
+    inspected = inspect_files(spark, paths, pattern)
     ledger_exists = spark.catalog.tableExists(ledger_table)
     todo = files_to_load(inspected, spark.table(ledger_table), mode, known_by) if ledger_exists else inspected
     # one pass over the files decides what to load; later steps must not see other answers

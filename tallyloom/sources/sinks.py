@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -21,8 +22,26 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> No
 
 
 def full_refresh(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
-    """Replace all rows of a parquet table; an empty result leaves an empty table, not the old rows."""
-    (df if columns is None else for_target(df, columns)).write.mode("overwrite").parquet(path)
+    """Replace all rows of a parquet table; an empty result leaves an empty table, not the old rows.
+
+    The new rows are computed and written beside the table before it is exchanged, so a computation that fails
+    leaves the old rows, and the rows may come from the table itself.
+    """
+    jvm = df.sparkSession.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    run = uuid.uuid4().hex
+    new, old = (jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.{kind}-{run}") for kind in ("new", "old"))
+    try:
+        (df if columns is None else for_target(df, columns)).write.parquet(new.toString())
+    except Exception:
+        files.delete(new, True)
+        raise
+    if files.exists(target) and not files.rename(target, old):
+        raise OSError(f"cannot move {path} aside; the new rows are in {new.toString()}")
+    if not files.rename(new, target):
+        raise OSError(f"cannot move {new.toString()} to {path}; the old rows are in {old.toString()}")
+    files.delete(old, True)
 
 
 def write(

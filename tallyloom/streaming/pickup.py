@@ -22,17 +22,20 @@ from tallyloom.sources.ledger import load_deliveries
 from tallyloom.sources.workspace import cut_lineage
 
 FILES_PER_BATCH = 200
+#: The file source passes over files that are older than this, counted back from the newest one it has seen.
+NO_AGE_LIMIT = "36500d"
 
 
 def arriving_files(
     spark: SparkSession, folder: str, pattern: str = "*.csv", files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Stream of new files in a folder: path, modificationTime, length."""
+    """Stream of new files in a folder, however old they are: path, modificationTime, length."""
     return (
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("pathGlobFilter", pattern)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", NO_AGE_LIMIT)
         .load(folder)
         .select("path", "modificationTime", "length")
     )
@@ -59,7 +62,7 @@ def pick_up(
         paths = [row["path"] for row in batch.select("path").collect()]  # at most files_per_batch
         if not paths:
             return
-        files = load_deliveries(spark, paths, stage_table, ledger_table, spec, mode="replace")
+        files = load_deliveries(spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern)
         if after_load is not None:
             after_load(files)
 

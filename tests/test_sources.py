@@ -207,3 +207,34 @@ def test_shared_folder_comes_from_the_session(spark):
     local = Session(spark_master="local[2]")
     assert os.path.isdir(workspace.shared_folder(local))
     assert workspace.shared_folder(local) == workspace.shared_folder(local)
+
+
+def test_failed_refresh_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.full_refresh(spark.range(3), path)
+    with pytest.raises(Exception, match="no good"):
+        sinks.full_refresh(spark.range(1).select(F.raise_error(F.lit("no good")).alias("id")), path)
+    assert spark.read.parquet(path).count() == 3
+    sinks.full_refresh(spark.read.parquet(path).where("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2
+    assert [one.name for one in tmp_path.iterdir()] == ["table"]
+
+
+def test_pick_up_takes_old_files_and_other_patterns(spark, tmp_path, database):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    spec = ingest.IngestSpec({"a": "a"})
+
+    def run():
+        tables = f"{database}.stage", f"{database}.ledger"
+        pickup.pick_up(spark, str(inbox), str(tmp_path / "seen"), *tables, spec, pattern="*.txt").awaitTermination()
+        return sorted(row.a for row in spark.table(f"{database}.stage").collect())
+
+    (inbox / "new.txt").write_text("a\n1\n")
+    assert run() == ["1"]
+    old = inbox / "old.txt"
+    old.write_text("a\n2\n")
+    month_ago = old.stat().st_mtime - 30 * 86_400
+    os.utime(old, (month_ago, month_ago))
+    (inbox / "newer.txt").write_text("a\n3\n")
+    assert run() == ["1", "2", "3"]
