@@ -7,8 +7,13 @@ fragment by itself, and the counts are added up per pair. Which pairs are counte
 2. Under a first order (by hash) similar sets share many of their first n-grams. Classes without enough n-grams that occur
    elsewhere cannot be similar to anything and are done.
 3. For the rest, n-grams are ordered by frequency. Similar sets share one of their rarest n-grams. For each such n-gram
-   classes are compared with a leader, which soon joins the members of large groups.
-4. For n-grams whose classes are still in different components, all pairs across components (and only those) are compared.
+   classes of about one size are compared with a leader, the one with the fewest n-grams of its own, which joins most of
+   a large group at once.
+4. For n-grams whose classes are still in different components, pairs across components (and only those) are compared,
+   as far as their sizes, places and sketches allow an overlap that is large enough.
+
+A sketch has one bit for each of 256 groups of n-grams, set if the set has an odd number of them. Two sketches differ in
+no more bits than the sets differ in n-grams, so the bound never loses a pair.
 
 Step 4 makes the result exact: two similar classes are in one component after step 3, or are compared in step 4.
 
@@ -34,6 +39,8 @@ PERCENT = 85
 FRAGMENTS = 8
 #: A class is compared with a leader of each of so many groups of n-grams that it shares.
 LEADERS = 4
+#: A set's sketch is kept in so many numbers of 64 bits.
+_SKETCH = 4
 _DF_BITS = 20
 #: Bytes of a text that are hashed at a time.
 _CHUNK_BYTES = 1 << 20
@@ -152,6 +159,35 @@ def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) ->
     return survivors.drop("h2").join(ordered.hint("merge"), "h1")
 
 
+def _sketches(ordered: str) -> list[Column]:
+    """The sketch of a set of structs with a gram, as columns k0 to k3."""
+
+    def word(i: int) -> Column:
+        def toggle(bits: Column, g: Column) -> Column:
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(g["gram"], 2).bitwiseAND(63).cast("int"))
+            return F.when(F.pmod(g["gram"], F.lit(_SKETCH)) == i, bits.bitwiseXOR(bit)).otherwise(bits)
+
+        return F.aggregate(ordered, F.lit(0).cast("long"), toggle)
+
+    return [word(i).alias(f"k{i}") for i in range(_SKETCH)]
+
+
+def _differing(a: str, b: str) -> Column:
+    """The number of bits in which two sketches (columns k0_a and so on) differ; 0 where one is unknown."""
+    bits = [F.bit_count(F.col(f"k{i}_{a}").bitwiseXOR(F.col(f"k{i}_{b}"))) for i in range(_SKETCH)]
+    return F.coalesce(reduce(lambda total, one: total + one, bits), F.lit(0))
+
+
+def _most_shared() -> Column:
+    """A bound on the overlap of sets that share n_shared n-grams with any, by what they have and by their sketches."""
+    return F.least("s_a", "s_b", F.floor((F.col("s_a") + F.col("s_b") - _differing("a", "b")) / 2))
+
+
+def _size_band(n: Column, percent: int) -> Column:
+    """Bands of sizes, as wide as similar sets may differ; an even cut, so similar sets may lie in neighbouring bands."""
+    return F.floor(F.log(n) / F.log(F.lit(100 / min(percent, 99)))).cast("int")
+
+
 def _fragments(sets: DataFrame, fragments: int) -> DataFrame:
     """h1, fragment and the n-grams of the set in it. The global order is cut where equal numbers of n-grams lie between."""
     cuts = [i / fragments for i in range(1, fragments)]
@@ -208,39 +244,62 @@ def _possible(n_a: str, n_b: str, most: Column, percent: int) -> Column:
     return most * 100 >= (F.col(n_a) + F.col(n_b) - most) * percent
 
 
+def _side(name: str) -> list[Column]:
+    """The columns of the index that bound an overlap, named for one side of a pair."""
+    short = {"n_grams": "n", "n_shared": "s"} | {f"k{i}": f"k{i}" for i in range(_SKETCH)}
+    return [F.col(column).alias(f"{new}_{name}") for column, new in short.items()]
+
+
 def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
     """Each class with a leader for each group of n-grams; leaders are chosen alike for the n-grams of a group."""
-    group = F.pmod(F.col("gram"), F.lit(LEADERS))
-    choice = F.struct(F.xxhash64("h1", group).alias("lot"), F.col("h1").alias("a"), F.col("n_grams").alias("n_a"), F.col("n_shared").alias("s_a"))
-    leaders = index.groupBy(F.col("gram").alias("of")).agg(F.min(choice).alias("leader"))
-    leaders = stored(leaders.select("of", "leader.*"), "leaders")
-    members = index.select("gram", F.col("h1").alias("b"), F.col("n_grams").alias("n_b"), F.col("n_shared").alias("s_b"))
-    pairs = members.join(leaders.hint("merge"), F.col("gram") == F.col("of")).where("a != b")
-    possible = pairs.where(_possible("n_a", "n_b", F.least("s_a", "s_b"), percent))
+    band, group = _size_band(F.col("n_grams"), percent), F.pmod(F.col("gram"), F.lit(LEADERS))
+    # Edits leave n-grams that no other set has. The set with the fewest is the closest to the others.
+    own = (1 - F.col("n_shared") / F.col("n_grams")).alias("own")
+    choice = F.struct(own, F.xxhash64("h1", group).alias("lot"), F.col("h1").alias("a"), *_side("a"))
+    leaders = index.groupBy(F.col("gram").alias("of"), band.alias("band_of")).agg(F.min(choice).alias("leader"))
+    leaders = stored(leaders.select("of", "band_of", "leader.*"), "leaders")
+    members = index.select("gram", band.alias("band"), F.col("h1").alias("b"), *_side("b"))
+    same = (F.col("gram") == F.col("of")) & (F.col("band") == F.col("band_of"))
+    pairs = members.join(leaders.hint("merge"), same).where("a != b")
+    possible = pairs.where(_possible("n_a", "n_b", _most_shared(), percent))
     # A class of a large group meets another leader at nearly every n-gram; one for each group of n-grams links it as well.
-    first = F.min(F.struct("lot", "a", "n_a")).alias("first")
+    first = F.min(F.struct("own", "lot", "a", "n_a")).alias("first")
     one_each = possible.groupBy("b", "n_b", group.alias("group")).agg(first)
     return one_each.select("first.a", "b", "first.n_a", "n_b").distinct()
 
 
 def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """All pairs of classes that share an n-gram of the index and lie in different components."""
+    """The pairs of classes that share an n-gram of the index, lie in different components, and may be similar."""
     named = stored(index.join(labels.withColumnRenamed("h1", "node").hint("merge"), F.col("h1") == F.col("node")), "index")
     ends = named.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     mixed = stored(ends.where("low != high").select(F.col("gram").alias("mixed")), "mixed-grams")
-    rows = named.join(mixed.hint("merge"), F.col("gram") == F.col("mixed"), "left_semi")
-    parts = rows.select("gram", "component").distinct()
-    first = parts.select("gram", F.col("component").alias("component_a"))
-    second = parts.select("gram", F.col("component").alias("component_b"))
-    crossings = first.join(second.hint("merge"), "gram").where("component_a < component_b")
+    rows = stored(named.join(mixed.hint("merge"), F.col("gram") == F.col("mixed"), "left_semi"), "mixed-index")
+
+    # The shared n-gram need not be the first one, so its places bound only what follows it and what may precede it.
+    most = F.least(_most_shared(), F.least("pos_a", "pos_b") + 1 + F.least("after_a", "after_b"))
+    after = F.col("n_shared") - F.col("pos")
+    single = F.min("h1") == F.max("h1")
+    parts = rows.groupBy("gram", "component").agg(
+        F.min("n_grams").alias("n_grams"),
+        F.max("n_shared").alias("n_shared"),
+        F.max("pos").alias("pos"),
+        F.max(after).alias("after"),
+        *[F.when(single, F.min(f"k{i}")).alias(f"k{i}") for i in range(_SKETCH)],
+    )
+    parts = stored(parts, "parts")
+
+    def part(name: str) -> DataFrame:
+        places = [F.col(c).alias(f"{c}_{name}") for c in ("component", "pos", "after")]
+        return parts.select("gram", *places, *_side(name))
+
+    crossings = part("a").join(part("b").hint("merge"), "gram").where("component_a < component_b")
+    crossings = crossings.where(_possible("n_a", "n_b", most, percent)).select("gram", "component_a", "component_b")
 
     def side(name: str) -> DataFrame:
-        columns = [F.col(c).alias(f"{short}_{name}") for c, short in (("n_grams", "n"), ("n_shared", "s"), ("pos", "pos"))]
-        return rows.select("gram", F.col("component").alias(f"component_{name}"), F.col("h1").alias(name), *columns)
+        places = [F.col("h1").alias(name), F.col("component").alias(f"component_{name}"), F.col("pos").alias(f"pos_{name}")]
+        return rows.select("gram", *places, after.alias(f"after_{name}"), *_side(name))
 
     pairs = crossings.join(side("a").hint("merge"), ["gram", "component_a"]).join(side("b").hint("merge"), ["gram", "component_b"])
-    # The shared n-gram need not be the first one, so its places bound only what follows it and what may precede it.
-    most = F.least("s_a", "s_b", F.least("pos_a", "pos_b") + 1 + F.least(F.col("s_a") - F.col("pos_a"), F.col("s_b") - F.col("pos_b")))
     return pairs.where(_possible("n_a", "n_b", most, percent)).select("a", "b", "n_a", "n_b").distinct()
 
 
@@ -256,9 +315,10 @@ def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: i
     # Of the necessary first n-grams, those that occur in this set alone come first and lead nowhere.
     alone = F.col("n_grams") - F.size("ordered")
     length = F.greatest(_spare(F.col("n_grams"), percent) + 1 - alone, F.lit(0)).cast("int")
-    index = sets.select(
-        "h1", "n_grams", F.size("ordered").cast("long").alias("n_shared"), F.posexplode(F.slice("ordered", F.lit(1), length)).alias("pos", "g")
-    ).select("h1", "n_grams", "n_shared", "pos", "g.gram")
+    sketched = sets.where(length > 0).select("h1", "n_grams", "ordered", length.alias("length"), *_sketches("ordered"))
+    bounds = ["h1", "n_grams", F.size("ordered").cast("long").alias("n_shared"), *[f"k{i}" for i in range(_SKETCH)]]
+    first = F.posexplode(F.slice("ordered", F.lit(1), F.col("length"))).alias("pos", "g")
+    index = sketched.select(*bounds, first).select("*", "g.gram").drop("g")
     index = stored(index, "first-shared-grams")
 
     near = stored(similar(_leader_pairs(index, percent), segments, percent), "links")
