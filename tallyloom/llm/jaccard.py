@@ -293,13 +293,17 @@ def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFr
         return parts.select("gram", *places, *_side(name))
 
     crossings = part("a").join(part("b").hint("merge"), "gram").where("component_a < component_b")
-    crossings = crossings.where(_possible("n_a", "n_b", most, percent)).select("gram", "component_a", "component_b")
+    bounds_b = [f"{c}_b" for c in ("component", "n", "s", "pos", "after", *(f"k{i}" for i in range(_SKETCH)))]
+    crossings = crossings.where(_possible("n_a", "n_b", most, percent)).select("gram", "component_a", *bounds_b)
 
     def side(name: str) -> DataFrame:
         places = [F.col("h1").alias(name), F.col("component").alias(f"component_{name}"), F.col("pos").alias(f"pos_{name}")]
         return rows.select("gram", *places, after.alias(f"after_{name}"), *_side(name))
 
-    pairs = crossings.join(side("a").hint("merge"), ["gram", "component_a"]).join(side("b").hint("merge"), ["gram", "component_b"])
+    # A class of a large component need not meet what only another class of its component may be similar to.
+    left = crossings.join(side("a").hint("merge"), ["gram", "component_a"]).where(_possible("n_a", "n_b", most, percent))
+    left = left.drop(*(c for c in bounds_b if c != "component_b"))
+    pairs = left.join(side("b").hint("merge"), ["gram", "component_b"])
     return pairs.where(_possible("n_a", "n_b", most, percent)).select("a", "b", "n_a", "n_b").distinct()
 
 
