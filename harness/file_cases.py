@@ -147,7 +147,7 @@ def _skipped(spark, sf_dir):
     """Two folders are delivered, the first is in the ledger already: only the second is read."""
     early = deliveries.inspect_files(spark, _delivered(spark, sf_dir, _EARLY_SPARK))
     late = deliveries.inspect_files(spark, _delivered(spark, sf_dir, f"NOT ({_EARLY_SPARK})"))
-    todo = ledger.files_to_load(early.unionByName(late), early.select("file_name", "fingerprint"))
+    todo = ledger.files_to_load(early.unionByName(late), early.select("file_id", "fingerprint"))
     return ingest.read_deliveries(spark, todo).select(*_RAW)
 
 
@@ -163,7 +163,7 @@ def _replaced(spark, sf_dir):
 
 def _forced(spark, sf_dir):
     files = deliveries.inspect_files(spark, _delivered(spark, sf_dir))
-    todo = ledger.files_to_load(files, files.select("file_name", "fingerprint"), mode="force")
+    todo = ledger.files_to_load(files, files.select("file_id", "fingerprint"), mode="force")
     rows = ingest.read_deliveries(spark, files)
     return rows.unionByName(ingest.read_deliveries(spark, todo)).select(*_RAW)
 
@@ -294,7 +294,126 @@ def _labels_picked_up(spark, sf_dir):
     return spark.table(labels).select(*term_labels.COLUMNS)
 
 
+def _files(spark, folder):
+    """The file system and the CSV files directly in a folder, by name."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [one.getPath() for one in system.listStatus(path)]
+    return system, path, sorted((one for one in found if one.getName().endswith(".csv")), key=lambda one: one.getName())
+
+
+def _deliver_named(spark, rows, folder, name):
+    """Writes rows as files `<name> 0.csv`, `<name> 1.csv` and so on, in place of files of these names."""
+    written = new_folder(spark, "written")
+    _deliver(rows, written)
+    system, _, files = _files(spark, written)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    system.mkdirs(target(folder))
+    for number, file in enumerate(files):
+        place = target(folder, f"{name} {number}.csv")
+        system.delete(place, False)
+        system.rename(file, place)
+
+
+def _odd_names(spark, sf_dir):
+    """Folder and header names with blanks, wildcards, per cent signs and backticks."""
+    folder = f"{new_folder(spark, 'deliveries')}/odd [x] 100% +1"
+    rows = _raw(carrier.stage(spark, sf_dir)).select("id", F.col("STUDENT_ID").alias("a`b"), F.col("MAJOR").alias("what?"))
+    _deliver_named(spark, rows, folder, "in %20 {a,b}")
+    parent = folder.rsplit("/", 1)[0]
+    read = ingest.read_deliveries(spark, deliveries.inspect_files(spark, parent))
+    return read.select("id", F.col("`a``b`").alias("STUDENT_ID"), F.col("`what?`").alias("MAJOR"))
+
+
+def _with_surplus(spark, sf_dir):
+    """Lines of two cells under a header of two, and for every third order of three."""
+    orders = carrier.table(spark, sf_dir, "orders")
+    line = F.concat_ws(",", "o_orderkey", "o_orderpriority", F.when(F.col("o_orderkey") % 3 == 0, "extra"))
+    folder = new_folder(spark, "deliveries")
+    orders.select(line.alias("key,priority")).write.option("header", True).option("sep", "\t").csv(folder)
+    return deliveries.inspect_files(spark, folder)
+
+
+def _surplus(spark, sf_dir):
+    found = ingest.surplus_cells(spark, _with_surplus(spark, sf_dir))
+    return found.select("n_columns", F.col("n_cells").cast("int").alias("n_cells"), "record")
+
+
+def _reconciled(spark, sf_dir):
+    files = _with_surplus(spark, sf_dir)
+    checked = ingest.reconciled(files, ingest.read_deliveries(spark, files))
+    return checked.agg(F.sum("n_rows").alias("n_rows"), F.sum("data_lines").alias("data_lines"), F.bool_and("agrees").alias("agrees"))
+
+
+_TWO_COLUMNS = ingest.IngestSpec(columns={"id": "id", "MAJOR": "MAJOR"})
+_TWO_COLUMNS_SQL = f"{S}SELECT CAST(id AS VARCHAR) AS id, nullif(plans_other, '') AS MAJOR FROM stage"
+
+
+def _two_columns(spark, sf_dir):
+    return _raw(carrier.stage(spark, sf_dir)).select("id", "MAJOR")
+
+
+def _same_names(spark, sf_dir):
+    """Files of equal names in two folders, the second folder delivered later, and a last run that finds nothing new."""
+    database, inbox = scratch_database(spark), new_folder(spark, "inbox")
+    tables = f"{database}.stage", f"{database}.ledger"
+    for half in (0, 1):
+        _deliver_named(spark, _two_columns(spark, sf_dir).where(f"id % 2 = {half}"), f"{inbox}/{half}", "part")
+        ledger.load_deliveries(spark, inbox, *tables, _TWO_COLUMNS)
+    ledger.load_deliveries(spark, inbox, *tables, _TWO_COLUMNS)
+    return spark.table(tables[0]).select("id", "MAJOR")
+
+
+def _renamed_copies(spark, sf_dir):
+    """All files are copied under other names: their rows are not loaded again."""
+    database, inbox = scratch_database(spark), new_folder(spark, "inbox")
+    tables = f"{database}.stage", f"{database}.ledger"
+    _deliver_named(spark, _two_columns(spark, sf_dir), inbox, "part")
+    ledger.load_deliveries(spark, inbox, *tables, _TWO_COLUMNS, known_by="name or content")
+    _deliver_named(spark, _two_columns(spark, sf_dir), inbox, "copy")
+    ledger.load_deliveries(spark, inbox, *tables, _TWO_COLUMNS, known_by="name or content")
+    return spark.table(tables[0]).select("id", "MAJOR")
+
+
+def _late_files(spark, sf_dir):
+    """The second half arrives with a time of change a month before that of the first half."""
+    database, inbox = scratch_database(spark), new_folder(spark, "inbox")
+    checkpoint, tables = new_folder(spark, "stream"), (f"{database}.stage", f"{database}.ledger")
+    for half, name in enumerate(("new", "old")):
+        _deliver_named(spark, _two_columns(spark, sf_dir).where(f"id % 2 = {half}"), inbox, name)
+        system, _, files = _files(spark, inbox)
+        for file in files:
+            if file.getName().startswith("old"):
+                system.setTimes(file, system.getFileStatus(file).getModificationTime() - 30 * 86_400_000, -1)
+        pickup.pick_up(spark, inbox, checkpoint, *tables, _TWO_COLUMNS).awaitTermination()
+    return spark.table(tables[0]).select("id", "MAJOR")
+
+
+def _redelivered(spark, sf_dir):
+    """Every file is delivered again under its name, with other answers, after the stream has seen it."""
+    database, inbox = scratch_database(spark), new_folder(spark, "inbox")
+    checkpoint, tables = new_folder(spark, "stream"), (f"{database}.stage", f"{database}.ledger")
+    rows = _two_columns(spark, sf_dir)
+    for delivered in (rows.withColumn("MAJOR", F.concat(F.lit("first "), "MAJOR")), rows):
+        _deliver_named(spark, delivered, inbox, "part")
+        pickup.pick_up(spark, inbox, checkpoint, *tables, _TWO_COLUMNS).awaitTermination()
+        pickup.catch_up(spark, inbox, *tables, _TWO_COLUMNS)
+    return spark.table(tables[0]).select("id", "MAJOR")
+
+
 CASES = [
+    Case("csv_odd_names", "A1", _odd_names, f"{S}SELECT CAST(id AS VARCHAR) AS id, nullif(student_id, '') AS STUDENT_ID, nullif(plans_other, '') AS MAJOR FROM stage"),
+    Case(
+        "csv_surplus_cells",
+        "A1",
+        _surplus,
+        "SELECT 2 AS n_columns, 3 AS n_cells, CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',extra' AS record FROM orders WHERE o_orderkey % 3 = 0",
+    ),
+    Case("ingest_reconciled", "A1", _reconciled, "SELECT count(*) AS n_rows, count(*) AS data_lines, true AS agrees FROM orders"),
+    Case("ledger_same_name_two_folders", "A7", _same_names, _TWO_COLUMNS_SQL),
+    Case("ledger_renamed_copy", "A7", _renamed_copies, _TWO_COLUMNS_SQL),
+    Case("streaming_late_file", "K1", _late_files, _TWO_COLUMNS_SQL),
+    Case("streaming_redelivered_file", "K1", _redelivered, _TWO_COLUMNS_SQL),
     Case("csv_ingest", "A1", _ingested, f"{S}SELECT {_RAW_READ} FROM stage"),
     Case(
         "two_encodings",

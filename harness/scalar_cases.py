@@ -27,6 +27,11 @@ def _over_stage(name, inventory, outputs, inputs=()):
     return Case(name, inventory, run, f"{carrier.stage_sql()}SELECT {shown}, {computed} FROM stage")
 
 
+def _count_of_valid():
+    """The strict count of what is a count; other answers would stop the query."""
+    return fn.count_checked(F.when(fn.count_or_null("intern_count").isNotNull(), F.col("intern_count")))
+
+
 def _institution(spark, sf_dir):
     rows = carrier.stage(spark, sf_dir).select("id", "term", "FE_college_code")
     tables = carrier.lookups(spark, sf_dir)
@@ -124,7 +129,7 @@ CASES = [
         "B9a",
         {
             "n": (
-                partial(fn.count_or_null, "intern_count"),
+                _count_of_valid,
                 "CASE WHEN regexp_full_match(trim(intern_count), '[+-]?[0-9]+') THEN TRY_CAST(trim(intern_count) AS INTEGER) END",
             )
         },

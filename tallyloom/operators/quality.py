@@ -14,11 +14,8 @@ from tallyloom.operators.sets import union_all
 
 def missing_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     """Required column names that `df` lacks, compared without regard to case (column: column_name)."""
-    spark = df.sparkSession
-    wanted = _names(spark, required)
-    present = _names(spark, df.columns)
-    same = F.lower(wanted["column_name"]) == F.lower(present["column_name"])
-    return wanted.join(present, same, "left_anti")
+    present = {name.lower() for name in df.columns}
+    return _names(df.sparkSession, [name for name in required if name.lower() not in present])
 
 
 def has_columns(df: DataFrame, required: Iterable[str]) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from itertools import islice
 
@@ -53,19 +54,21 @@ def replace_partitions(
     spark = new_rows.sparkSession
     if spark.catalog.getTable(table).tableType != "MANAGED":
         raise ValueError(f"{table} is not a managed table: dropping its partitions would leave the files in place")
-    incoming = f"{table}_incoming"
-    spread = with_partition_key(new_rows, key).hint("rebalance", PARTITION_COLUMN)
-    spread.write.mode("overwrite").partitionBy(PARTITION_COLUMN).format("parquet").saveAsTable(incoming)
-
-    keys = with_partition_key(stage.select(key).distinct(), key).select(PARTITION_COLUMN)
-    if not include_null_key:
-        keys = keys.where(F.col(PARTITION_COLUMN) != NULL_KEY)
-    for names in _batches(keys.toLocalIterator(), 200):
-        specs = ", ".join(f"PARTITION ({PARTITION_COLUMN} = {_quoted(row[0])})" for row in names)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
-    columns = spark.table(table).columns
-    spark.table(incoming).select(*columns).write.insertInto(table)
-    spark.sql(f"DROP TABLE {incoming}")
+    incoming = f"{table}_incoming_{uuid.uuid4().hex}"
+    try:
+        spread = with_partition_key(new_rows, key).hint("rebalance", PARTITION_COLUMN)
+        spread.write.mode("overwrite").partitionBy(PARTITION_COLUMN).format("parquet").saveAsTable(incoming)
+
+        keys = with_partition_key(stage.select(key).distinct(), key).select(PARTITION_COLUMN)
+        if not include_null_key:
+            keys = keys.where(F.col(PARTITION_COLUMN) != NULL_KEY)
+        for names in _batches(keys.toLocalIterator(), 200):
+            specs = ", ".join(f"PARTITION ({PARTITION_COLUMN} = {_quoted(row[0])})" for row in names)
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+        columns = spark.table(table).columns
+        spark.table(incoming).select(*columns).write.insertInto(table)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
 
 
 def new_term_labels(stage: DataFrame, existing: DataFrame | None = None, term: str = "term") -> DataFrame:

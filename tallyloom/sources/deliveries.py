@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,12 +24,42 @@ class DeliveryError(ValueError):
     """The files found are not what a run expects."""
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """One row per matching file: path, file_name, modified, length. Contents are not read."""
+_SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
+
+
+def literal_path(path: str) -> str:
+    """A path in which no character is taken for a wildcard."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def plain_path(path: Column) -> Column:
+    """A path as files are listed; Spark's metadata column has blanks and other characters as in %20."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def file_id(path: ColumnOrName, root: str | None = None) -> Column:
+    """Tells files apart wherever they lie: a digest of the path below `root`, or of the whole path of other files."""
+    place = F.regexp_replace(column(path), _SCHEME, "")
+    base = "" if root is None else re.sub(_SCHEME, "", root).rstrip("/") + "/"
+    below = place.substr(F.lit(len(base) + 1), F.length(place))
+    return F.md5(F.when(F.startswith(place, F.lit(base)), below).otherwise(place).cast("binary"))
+
+
+def _root(paths: str | Sequence[str], root: str | None) -> str | None:
+    return paths if root is None and isinstance(paths, str) else root
+
+
+def list_files(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", root: str | None = None
+) -> DataFrame:
+    """One row per matching file: path, file_id, file_name, modified, length. Contents are not read."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
-    listing = reader.load(folder)
-    return listing.select(
-        "path", base_name("path").alias("file_name"), F.col("modificationTime").alias("modified"), "length"
+    return reader.load(paths).select(
+        "path",
+        file_id("path", _root(paths, root)).alias("file_id"),
+        base_name("path").alias("file_name"),
+        F.col("modificationTime").alias("modified"),
+        "length",
     )
 
 
@@ -77,17 +108,22 @@ def survey_type(header: ColumnOrName) -> Column:
     )
 
 
-def inspect_files(spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv") -> DataFrame:
-    """One row per file: path, file_name, header, is_utf8, has_line_breaks, lines, fingerprint.
+def inspect_files(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", root: str | None = None
+) -> DataFrame:
+    """One row per file: path, root, file_id, file_name, header, is_utf8, has_line_breaks, lines, data_lines, fingerprint.
 
     A single aggregation over the raw lines, so large files are read in splits by many tasks and only one row
     per task and file is shuffled. The fingerprint is the same for files with the same lines, whatever their
-    order. `has_line_breaks` tells of quoted fields that run over several lines.
+    order. `has_line_breaks` tells of quoted fields that run over several lines, `data_lines` counts the lines
+    after the header that are not blank. Spark's file sources pass over files without a byte. `root` is the inbox,
+    by default the folder that is read (see file_id).
     """
+    root = _root(paths, root)
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     lines = reader.text(paths).select(
         "value",
-        F.col("_metadata.file_path").alias("path"),
+        plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         # rows of a split are numbered in reading order
         F.monotonically_increasing_id().alias("line_id"),
@@ -100,16 +136,20 @@ def inspect_files(spark: SparkSession, paths: str | Sequence[str], pattern: str
         F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
         F.bool_or(quotes % 2 == 1).alias("has_line_breaks"),
         F.count("*").alias("lines"),
+        F.greatest(F.count_if(F.col("value").rlike(r"[^\x00-\x20]")) - 1, F.lit(0)).alias("data_lines"),
         *[F.sum(h.cast("decimal(20,0)")).alias(f"hash{i}") for i, h in enumerate(hashes)],
     )
     fingerprint = F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in ("lines", "hash0", "hash1")]), 256)
     return files.select(
         "path",
+        F.lit(root).cast("string").alias("root"),
+        file_id("path", root).alias("file_id"),
         base_name("path").alias("file_name"),
         F.when(F.col("is_utf8"), F.col("header")).otherwise(_decode_windows("header")).alias("header"),
         "is_utf8",
         "has_line_breaks",
         "lines",
+        "data_lines",
         fingerprint.alias("fingerprint"),
     )
 

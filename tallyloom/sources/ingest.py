@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.functions.terms import base_name
 from tallyloom.functions.text import blank_to_null, null_text, windows_text
 from tallyloom.operators.sets import union_all
+from tallyloom.sources.deliveries import file_id, literal_path, plain_path
 
 @dataclass(frozen=True)
 class IngestSpec:
@@ -43,7 +45,10 @@ RAW_STAGE = IngestSpec(
     casts={"SURVEY_DATE": "timestamp", "INTERN_IND": "string"},
     defaults={"INTERN_IND": "N"},
 )
-LINEAGE_COLUMNS = ("FILE_NAME", "LOAD_TS")
+LINEAGE_COLUMNS = ("FILE_ID", "FILE_NAME", "LOAD_TS")
+_LINEAGE_SCHEMA = "FILE_ID string, FILE_NAME string, LOAD_TS timestamp"
+_RECORD = "_record"
+_QUOTED_CELL = r'"(?:[^"]++|"")*+"'
 
 
 def map_header(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
@@ -55,7 +60,7 @@ def map_header(df: DataFrame, columns: Mapping[str, str], keep: Sequence[str] =
 
     def source(header: str) -> Column:
         name = delivered.get(header.lower())
-        return null_text() if name is None else F.col(f"`{name}`")
+        return null_text() if name is None else F.col(_quoted(name))
 
     return df.select(*[source(header).alias(target) for header, target in columns.items()], *keep)
 
@@ -81,29 +86,94 @@ def shape(df: DataFrame, spec: IngestSpec, keep: Sequence[str] = ()) -> DataFram
 
 
 def read_deliveries(spark: SparkSession, files: DataFrame, spec: IngestSpec | None = None) -> DataFrame:
-    """The rows of all files with FILE_NAME and LOAD_TS; all-text columns unless `spec` says otherwise.
+    """The rows of all files with FILE_ID, FILE_NAME and LOAD_TS; all-text columns unless `spec` says otherwise.
 
     `files` comes from inspect_files. Files with the same header and encoding are read together, each file with
-    the column order of its own header. The driver handles one short row per file, as Spark's file index does.
+    the column order of its own header. Of equal header names the second is called `name_2`, a column without a
+    name by its place. Cells beyond the header are left out here and found by surplus_cells. The driver handles
+    one short row per file, as Spark's file index does.
     """
-    groups: dict[tuple, list[str]] = {}
-    for row in files.select("path", "header", "is_utf8", "has_line_breaks").toLocalIterator():
-        groups.setdefault((row["header"], row["is_utf8"], row["has_line_breaks"]), []).append(row["path"])
+    groups = _alike(files)
     if not groups:
         raise ValueError("no files to read")
-    parts = [_read_alike(spark, sorted(paths), *group) for group, paths in groups.items()]
+    parts = [_rows(spark, paths, *group) for group, paths in groups.items()]
     if spec is not None:
         return union_all([shape(part, spec, keep=LINEAGE_COLUMNS) for part in parts])
     return reduce(lambda rows, part: rows.unionByName(part, allowMissingColumns=True), parts)
 
 
-def _read_alike(
-    spark: SparkSession, paths: Sequence[str], header: str, is_utf8: bool, has_line_breaks: bool
+def surplus_cells(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """The records with more cells than their file's header: FILE_ID, FILE_NAME, LOAD_TS, n_columns, n_cells, record."""
+    found = []
+    for (header, is_utf8, has_line_breaks, root), paths in _alike(files).items():
+        names = column_names(header)
+        if not names:
+            continue
+        raw = _raw_rows(spark, paths, names, is_utf8, has_line_breaks, _RECORD)
+        bare = F.regexp_replace(F.col(_RECORD), _QUOTED_CELL, "")
+        n_cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+        # Spark gives the record only where all cells are read, so the condition names them
+        length = F.length(F.concat_ws("", *[F.col(_quoted(name)) for name in names]))
+        cells = raw.select(*_lineage(root), n_cells.alias("n_cells"), length.alias("length"), _RECORD)
+        more = cells.where((F.col("n_cells") > len(names)) & (F.col("length") >= 0))
+        record = F.col(_RECORD) if is_utf8 else windows_text(F.col(_RECORD))
+        columns = F.lit(len(names)).alias("n_columns")
+        found.append(more.select(*LINEAGE_COLUMNS, columns, "n_cells", record.alias("record")))
+    if found:
+        return union_all(found)
+    return spark.createDataFrame([], _LINEAGE_SCHEMA + ", n_columns int, n_cells int, record string")
+
+
+def reconciled(files: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per file of inspect_files: file_id, file_name, data_lines, n_rows and whether they agree.
+
+    Where quoted cells run over several lines the counts cannot be compared, and `agrees` is null.
+    """
+    counts = rows.groupBy(F.col("FILE_ID").alias("counted_id")).agg(F.count("*").alias("n_rows"))
+    both = files.join(counts, F.col("file_id") == F.col("counted_id"), "left")
+    n_rows = F.coalesce("n_rows", F.lit(0))
+    agrees = F.when(~F.col("has_line_breaks"), n_rows == F.col("data_lines"))
+    return both.select("file_id", "file_name", "data_lines", n_rows.alias("n_rows"), agrees.alias("agrees"))
+
+
+def column_names(header: str) -> list[str]:
+    """Names of a header's columns, told apart without regard to case."""
+    names, taken = [], {name.lower() for name in (*LINEAGE_COLUMNS, _RECORD)}
+    for place, delivered in enumerate(next(csv.reader([header.lstrip("\ufeff")]), [])):
+        name = wanted = delivered.strip() or f"_c{place}"
+        number = 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{wanted}_{number}"
+        taken.add(name.lower())
+        names.append(name)
+    return names
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _alike(files: DataFrame) -> dict[tuple, list[str]]:
+    """Paths by header, encoding, line breaks and inbox."""
+    groups: dict[tuple, list[str]] = {}
+    for row in files.select("path", "header", "is_utf8", "has_line_breaks", "root").toLocalIterator():
+        groups.setdefault((row["header"], row["is_utf8"], row["has_line_breaks"], row["root"]), []).append(row["path"])
+    return groups
+
+
+def _lineage(root: str | None) -> list[Column]:
+    path = plain_path(F.col("_metadata.file_path"))
+    return [file_id(path, root).alias("FILE_ID"), base_name(path).alias("FILE_NAME"), F.current_timestamp().alias("LOAD_TS")]
+
+
+def _raw_rows(
+    spark: SparkSession, paths: Sequence[str], names: Sequence[str], is_utf8: bool, has_line_breaks: bool, record: str | None = None
 ) -> DataFrame:
-    names = next(csv.reader([header.lstrip("\ufeff")]), [])
-    schema = T.StructType([T.StructField(name.strip(), T.StringType()) for name in names])
+    """Cells as text; with `record`, also the text of the records whose number of cells is not the header's."""
+    kept = [*names, record] if record else names
     reader = (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in kept]))
         .option("header", True)
         .option("enforceSchema", True)
         .option("escape", '"')
@@ -111,8 +181,19 @@ def _read_alike(
         # a file with line breaks inside fields cannot be split; all others can
         .option("multiLine", has_line_breaks)
     )
-    rows = reader.csv(list(paths))
-    cells = [F.col(f"`{name}`") for name in schema.fieldNames()]
+    if record:
+        reader = reader.option("columnNameOfCorruptRecord", record)
+    return reader.csv([literal_path(path) for path in sorted(paths)])
+
+
+def _rows(
+    spark: SparkSession, paths: Sequence[str], header: str, is_utf8: bool, has_line_breaks: bool, root: str | None
+) -> DataFrame:
+    names = column_names(header)
+    if not names:
+        return spark.createDataFrame([], _LINEAGE_SCHEMA)
+    rows = _raw_rows(spark, paths, names, is_utf8, has_line_breaks)
+    cells = [F.col(_quoted(name)) for name in names]
     if not is_utf8:
-        cells = [windows_text(cell).alias(name) for cell, name in zip(cells, schema.fieldNames())]
-    return rows.select(*cells, F.col("_metadata.file_name").alias("FILE_NAME"), F.current_timestamp().alias("LOAD_TS"))
+        cells = [windows_text(cell).alias(name) for cell, name in zip(cells, names, strict=True)]
+    return rows.select(*cells, *_lineage(root))

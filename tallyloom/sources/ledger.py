@@ -1,6 +1,8 @@
 """Loading every delivery once.
 
-The ledger is a table of (file_name, fingerprint) of the files loaded so far.
+The ledger is a table of the files loaded so far, one row each: file_id, file_name, fingerprint, modified and length.
+A file is known by its place below the inbox (file_id), so equal names in two folders are two files. It is spread over
+256 partitions by the id's first digits; a run rewrites only the partitions of its files.
 """
 
 from __future__ import annotations
@@ -11,21 +13,33 @@ from typing import Literal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.operators.lookup import exclude
-from tallyloom.operators.upkeep import create_partitioned_table, replace_partitions, with_partition_key
-from tallyloom.sources.deliveries import inspect_files
-from tallyloom.sources.ingest import IngestSpec, read_deliveries
+from tallyloom.operators.lookup import exclude, restrict
+from tallyloom.operators.upkeep import PARTITION_COLUMN, create_partitioned_table, replace_partitions, with_partition_key
+from tallyloom.sources.deliveries import inspect_files, list_files, literal_path
+from tallyloom.sources.ingest import IngestSpec, read_deliveries, surplus_cells
 from tallyloom.sources.workspace import cut_lineage
 
 Mode = Literal["skip", "replace", "force"]
-KnownBy = Literal["name and content", "name", "content"]
+KnownBy = Literal["name and content", "name", "content", "name or content"]
 
-_MATCH_ON = {"name and content": ("file_name", "fingerprint"), "name": ("file_name",), "content": ("fingerprint",)}
+# each entry excludes the files that agree in all of its columns
+_MATCH_ON = {
+    "name and content": [("file_id", "fingerprint")],
+    "name": [("file_id",)],
+    "content": [("fingerprint",)],
+    "name or content": [("file_id",), ("fingerprint",)],
+}
+_NOTED = ("file_id", "file_name", "fingerprint", "modified", "length")
 
 
 def not_yet_loaded(files: DataFrame, ledger: DataFrame, known_by: KnownBy = "name and content") -> DataFrame:
-    """Files the ledger does not know. Measures the ledger (one small job)."""
-    names = _MATCH_ON[known_by]
+    """Files the ledger does not know. Measures the ledger (a small job or two)."""
+    for names in _MATCH_ON[known_by]:
+        files = _unknown(files, ledger, names)
+    return files
+
+
+def _unknown(files: DataFrame, ledger: DataFrame, names: Sequence[str]) -> DataFrame:
     known = ledger.select(*[F.col(name).alias(f"known_{name}") for name in names]).distinct()
     same = F.lit(True)
     for name in names:
@@ -41,14 +55,32 @@ def files_to_load(
 
 
 def replace_files(target: DataFrame, new_rows: DataFrame, files: DataFrame) -> DataFrame:
-    """`target` without the rows of `files` (column file_name), plus the new rows. Measures the file names."""
-    names = files.select(F.col("file_name").alias("replaced_file")).distinct()
-    return exclude(target, names, F.col("FILE_NAME") == F.col("replaced_file")).unionByName(new_rows)
+    """`target` without the rows of `files` (column file_id), plus the new rows. Measures the ids."""
+    ids = files.select(F.col("file_id").alias("replaced_file")).distinct()
+    return exclude(target, ids, F.col("FILE_ID") == F.col("replaced_file")).unionByName(new_rows)
 
 
 def add_to_ledger(ledger: DataFrame, files: DataFrame) -> DataFrame:
-    """The ledger after loading `files`."""
-    return ledger.select("file_name", "fingerprint").unionByName(files.select("file_name", "fingerprint"))
+    """The ledger after loading `files`: what it had on them gives way."""
+    names = [name for name in _NOTED if name in files.columns and name in ledger.columns]
+    return _unknown(ledger.select(*names), files, ["file_id"]).unionByName(files.select(*names))
+
+
+def _note(spark: SparkSession, ledger_table: str, files: DataFrame) -> None:
+    notes = files.select(*_NOTED, F.left("file_id", F.lit(2)).alias("bucket"))
+    create_partitioned_table(notes, ledger_table, key="bucket")
+    buckets = notes.select(F.col("bucket").alias("noted_bucket")).distinct()
+    touched = restrict(spark.table(ledger_table), buckets, F.col(PARTITION_COLUMN) == F.col("noted_bucket"))
+    kept = _unknown(touched.drop(PARTITION_COLUMN), notes, ["file_id"])
+    replace_partitions(ledger_table, notes, kept.unionByName(notes), key="bucket")
+
+
+def _replace_rows(spark: SparkSession, table: str, rows: DataFrame, files: DataFrame, mode: Mode) -> None:
+    create_partitioned_table(rows, table, key="FILE_ID")
+    if mode == "force":
+        with_partition_key(rows, "FILE_ID").select(*spark.table(table).columns).write.insertInto(table)
+    else:
+        replace_partitions(table, files.select(F.col("file_id").alias("FILE_ID")), rows, key="FILE_ID")
 
 
 def load_deliveries(
@@ -60,29 +92,35 @@ def load_deliveries(
     mode: Mode = "skip",
     known_by: KnownBy = "name and content",
     pattern: str = "*.csv",
+    root: str | None = None,
+    surplus_table: str | None = None,
 ) -> DataFrame:
     """Load files into a managed stage table, one partition per file, and note them in the ledger.
 
     Returns the files that were read. In modes skip and replace a file's partition is replaced, so a run that
     stopped half-way can simply be repeated; mode force adds the rows again. The stage is written before the
-    ledger: a file is noted only when its rows are there.
+    ledger: a file is noted only when its rows are there. Mode skip does not open files whose place, time of
+    change and length are in the ledger. `root` is the inbox, by default `paths` if that is one folder.
+    Records with more cells than the header are kept in `surplus_table`, if one is named.
     """
-    inspected = inspect_files(spark, paths, pattern)
-    ledger_exists = spark.catalog.tableExists(ledger_table)
-    todo = files_to_load(inspected, spark.table(ledger_table), mode, known_by) if ledger_exists else inspected
+    root = paths if root is None and isinstance(paths, str) else root
+    listing = list_files(spark, paths, pattern, root)
+    ledger = spark.table(ledger_table) if spark.catalog.tableExists(ledger_table) else None
+    if mode == "skip" and ledger is not None:
+        # one path per new file comes to the driver, as in Spark's own file index
+        changed = _unknown(listing, ledger, ["file_id", "modified", "length"]).select("path").collect()
+        paths = [literal_path(row["path"]) for row in changed]
+    if not paths:
+        return listing.limit(0)
+    noted = listing.select("file_id", "modified", "length")
+    inspected = inspect_files(spark, paths, pattern, root).join(noted, "file_id")
+    todo = inspected if ledger is None else files_to_load(inspected, ledger, mode, known_by)
     # one pass over the files decides what to load; later steps must not see other answers
     todo = cut_lineage(todo)
     if todo.isEmpty():
         return todo
-    rows = read_deliveries(spark, todo, spec)
-    create_partitioned_table(rows, stage_table, key="FILE_NAME")
-    if mode == "force":
-        columns = spark.table(stage_table).columns
-        with_partition_key(rows, "FILE_NAME").select(*columns).write.insertInto(stage_table)
-    else:
-        names = todo.select(F.col("file_name").alias("FILE_NAME"))
-        replace_partitions(stage_table, names, rows, key="FILE_NAME")
-    notes = todo.select("file_name", "fingerprint")
-    create_partitioned_table(notes, ledger_table, key="file_name")
-    replace_partitions(ledger_table, notes, notes, key="file_name")
+    _replace_rows(spark, stage_table, read_deliveries(spark, todo, spec), todo, mode)
+    if surplus_table is not None:
+        _replace_rows(spark, surplus_table, surplus_cells(spark, todo), todo, mode)
+    _note(spark, ledger_table, todo)
     return todo

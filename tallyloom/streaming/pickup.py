@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyloom.operators.lookup import restrict
 from tallyloom.operators.upkeep import with_partition_key
 from tallyloom.plans.runs import replace_terms
-from tallyloom.sources.deliveries import LISTING_SCHEMA
+from tallyloom.sources.deliveries import LISTING_SCHEMA, literal_path
 from tallyloom.sources.ingest import IngestSpec
 from tallyloom.sources.ledger import load_deliveries
 from tallyloom.sources.workspace import cut_lineage
@@ -34,6 +34,7 @@ def arriving_files(
         spark.readStream.format("binaryFile")
         .schema(LISTING_SCHEMA)
         .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .option("maxFileAge", NO_AGE_LIMIT)
         .load(folder)
@@ -59,10 +60,13 @@ def pick_up(
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        paths = [row["path"] for row in batch.select("path").collect()]  # at most files_per_batch
+        # at most files_per_batch
+        paths = [literal_path(row["path"]) for row in batch.select("path").collect()]
         if not paths:
             return
-        files = load_deliveries(spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern)
+        files = load_deliveries(
+            spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern, root=folder
+        )
         if after_load is not None:
             after_load(files)
 
@@ -75,9 +79,28 @@ def pick_up(
     )
 
 
+def catch_up(
+    spark: SparkSession,
+    folder: str,
+    stage_table: str,
+    ledger_table: str,
+    spec: IngestSpec,
+    after_load: Callable[[DataFrame], object] | None = None,
+    pattern: str = "*.csv",
+) -> DataFrame:
+    """Load what the stream passes over: files that were delivered again under a name it has seen.
+
+    The folder's listing is compared with the ledger; only files that changed are read. Returns them.
+    """
+    files = load_deliveries(spark, folder, stage_table, ledger_table, spec, pattern=pattern)
+    if after_load is not None and not files.isEmpty():
+        after_load(files)
+    return files
+
+
 def stage_of_files(spark: SparkSession, stage_table: str, files: DataFrame) -> DataFrame:
-    """The stage rows of some files; only their partitions are read. Measures the file names (one small job)."""
-    named = with_partition_key(files.select(F.col("file_name").alias("FILE_NAME")), "FILE_NAME")
+    """The stage rows of some files; only their partitions are read. Measures the file ids (one small job)."""
+    named = with_partition_key(files.select(F.col("file_id").alias("FILE_ID")), "FILE_ID")
     names = named.select(F.col("part_key").alias("wanted_key"))
     return restrict(spark.table(stage_table), names, F.col("part_key") == F.col("wanted_key")).drop("part_key")
 

@@ -238,3 +238,44 @@ def test_pick_up_takes_old_files_and_other_patterns(spark, tmp_path, database):
     os.utime(old, (month_ago, month_ago))
     (inbox / "newer.txt").write_text("a\n3\n")
     assert run() == ["1", "2", "3"]
+
+
+def test_odd_headers_and_surplus_cells(spark, tmp_path):
+    put(tmp_path, "a b+%20[1].csv", 'x,X,,a`b\n1,2,3,4\n5,6,7,8,"9,9",10\n11\n')
+    files = deliveries.inspect_files(spark, str(tmp_path))
+    assert tuples(files.select("file_name", "lines", "data_lines")) == [("a b+%20[1].csv", 4, 3)]
+    rows = ingest.read_deliveries(spark, files)
+    assert rows.columns == ["x", "X_2", "_c2", "a`b", *ingest.LINEAGE_COLUMNS]
+    assert tuples(rows.select("x", "X_2", "_c2", "`a``b`", "FILE_NAME")) == [
+        ("1", "2", "3", "4", "a b+%20[1].csv"),
+        ("11", None, None, None, "a b+%20[1].csv"),
+        ("5", "6", "7", "8", "a b+%20[1].csv"),
+    ]
+    surplus = ingest.surplus_cells(spark, files)
+    assert tuples(surplus.select("n_columns", "n_cells", "record")) == [(4, 6, '5,6,7,8,"9,9",10')]
+    assert surplus.count() == 1
+    assert tuples(ingest.reconciled(files, rows).select("data_lines", "n_rows", "agrees")) == [(3, 3, True)]
+
+
+def test_files_are_known_by_place_and_unchanged_ones_are_not_opened(spark, tmp_path, database, monkeypatch):
+    stage, book, aside = f"{database}.stage", f"{database}.ledger", f"{database}.aside"
+    opened = []
+    inspect = ledger.inspect_files
+    monkeypatch.setattr(ledger, "inspect_files", lambda s, paths, *more: opened.append(paths) or inspect(s, paths, *more))
+
+    def load(**options):
+        loaded = ledger.load_deliveries(spark, str(tmp_path), stage, book, SPEC, surplus_table=aside, **options)
+        return loaded.count()
+
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        put(tmp_path / folder, "part.csv", f"STUDENT_ID,TERM,NOTE\n{folder},2235,n,surplus\n")
+        assert load() == 1
+    assert load() == 0 and len(opened) == 2
+    assert [len(paths) for paths in opened[1:]] == [1]
+    assert tuples(spark.table(stage).select("STUDENT_ID")) == [("x",), ("y",)]
+    assert tuples(spark.table(aside).select("record")) == [("x,2235,n,surplus",), ("y,2235,n,surplus",)]
+    put(tmp_path, "renamed.csv", "STUDENT_ID,TERM,NOTE\nx,2235,n,surplus\n")
+    assert load(known_by="name or content") == 0
+    assert load() == 1
+    assert spark.table(book).count() == 3
