@@ -45,10 +45,6 @@ def file_id(path: ColumnOrName, root: str | None = None) -> Column:
     return F.md5(F.when(F.startswith(place, F.lit(base)), below).otherwise(place).cast("binary"))
 
 
-def _root(paths: str | Sequence[str], root: str | None) -> str | None:
-    return paths if root is None and isinstance(paths, str) else root
-
-
 def list_files(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", root: str | None = None
 ) -> DataFrame:
@@ -56,7 +52,7 @@ def list_files(
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     return reader.load(paths).select(
         "path",
-        file_id("path", _root(paths, root)).alias("file_id"),
+        file_id("path", root).alias("file_id"),
         base_name("path").alias("file_name"),
         F.col("modificationTime").alias("modified"),
         "length",
@@ -116,10 +112,8 @@ def inspect_files(
     A single aggregation over the raw lines, so large files are read in splits by many tasks and only one row
     per task and file is shuffled. The fingerprint is the same for files with the same lines, whatever their
     order. `has_line_breaks` tells of quoted fields that run over several lines, `data_lines` counts the lines
-    after the header that are not blank. Spark's file sources pass over files without a byte. `root` is the inbox,
-    by default the folder that is read (see file_id).
+    after the header that are not blank. Spark's file sources pass over files without a byte. `root` is for file_id.
     """
-    root = _root(paths, root)
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     lines = reader.text(paths).select(
         "value",

@@ -1,7 +1,7 @@
 """Loading every delivery once.
 
 The ledger is a table of the files loaded so far, one row each: file_id, file_name, fingerprint, modified and length.
-A file is known by its place below the inbox (file_id), so equal names in two folders are two files. It is spread over
+A file is known by its place (file_id), so equal names in two folders are two files. It is spread over
 256 partitions by the id's first digits; a run rewrites only the partitions of its files.
 """
 
@@ -100,10 +100,10 @@ def load_deliveries(
     Returns the files that were read. In modes skip and replace a file's partition is replaced, so a run that
     stopped half-way can simply be repeated; mode force adds the rows again. The stage is written before the
     ledger: a file is noted only when its rows are there. Mode skip does not open files whose place, time of
-    change and length are in the ledger. `root` is the inbox, by default `paths` if that is one folder.
+    change and length are in the ledger. With `root`, files keep their identity when
+    the inbox as a whole is moved; all runs on a ledger must name the same one, or none.
     Records with more cells than the header are kept in `surplus_table`, if one is named.
     """
-    root = paths if root is None and isinstance(paths, str) else root
     listing = list_files(spark, paths, pattern, root)
     ledger = spark.table(ledger_table) if spark.catalog.tableExists(ledger_table) else None
     if mode == "skip" and ledger is not None:

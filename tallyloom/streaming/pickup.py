@@ -52,6 +52,7 @@ def pick_up(
     after_load: Callable[[DataFrame], object] | None = None,
     pattern: str = "*.csv",
     files_per_batch: int = FILES_PER_BATCH,
+    root: str | None = None,
 ) -> StreamingQuery:
     """Load all files that arrived since the last call, then stop.
 
@@ -65,7 +66,7 @@ def pick_up(
         if not paths:
             return
         files = load_deliveries(
-            spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern, root=folder
+            spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern, root=root
         )
         if after_load is not None:
             after_load(files)
@@ -87,12 +88,13 @@ def catch_up(
     spec: IngestSpec,
     after_load: Callable[[DataFrame], object] | None = None,
     pattern: str = "*.csv",
+    root: str | None = None,
 ) -> DataFrame:
     """Load what the stream passes over: files that were delivered again under a name it has seen.
 
     The folder's listing is compared with the ledger; only files that changed are read. Returns them.
     """
-    files = load_deliveries(spark, folder, stage_table, ledger_table, spec, pattern=pattern)
+    files = load_deliveries(spark, folder, stage_table, ledger_table, spec, pattern=pattern, root=root)
     if after_load is not None and not files.isEmpty():
         after_load(files)
     return files

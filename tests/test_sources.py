@@ -279,3 +279,15 @@ def test_files_are_known_by_place_and_unchanged_ones_are_not_opened(spark, tmp_p
     assert load(known_by="name or content") == 0
     assert load() == 1
     assert spark.table(book).count() == 3
+
+
+def test_root_keeps_identity_of_a_moved_inbox(spark, tmp_path):
+    ids = []
+    for inbox in ("here", "there"):
+        (tmp_path / inbox / "x").mkdir(parents=True)
+        put(tmp_path / inbox / "x", "a.csv", "STUDENT_ID\n1\n")
+        folder = str(tmp_path / inbox)
+        ids.append([f(spark, folder, root=root).first()["file_id"] for f in (deliveries.list_files, deliveries.inspect_files) for root in (folder, None)])
+    here, there = ids
+    assert here[0] == here[2] == there[0] == there[2]
+    assert here[1] == here[3] != there[1]
