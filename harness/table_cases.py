@@ -295,6 +295,24 @@ def _full_run_counts(spark, sf_dir):
     return quality.row_counts(runs.full_tables(stage, _response_lookups(spark, sf_dir)))
 
 
+def _full_run_stored(times):
+    def run(spark, sf_dir):
+        database = scratch_database(spark)
+        for _ in range(times):
+            counts = runs.run_full(carrier.stage(spark, sf_dir), _response_lookups(spark, sf_dir), database)
+        return counts
+
+    return run
+
+
+def _labels_stored(spark, sf_dir):
+    """The stored dimension after an early stage and the whole one."""
+    database = scratch_database(spark)
+    for stage in (_early(spark, sf_dir), carrier.stage(spark, sf_dir)):
+        runs.store_labels(stage, database)
+    return spark.table(f"{database}.{runs.LABELS}")
+
+
 _FULL_COUNTS_SQL = duck.union_all(
     [
         _counted(response_sql(), "response"),
@@ -320,6 +338,9 @@ UPKEEP = [
     ),
     Case("label_dimension_unchanged_on_rerun", "I3", _labels_twice, LABELS_KEPT_SQL),
     Case("full_refresh_builder", "I4", _refreshed_builder, INTL_CLEANED_SQL),
+    Case("full_run_stored", "I4, I6", _full_run_stored(1), _FULL_COUNTS_SQL),
+    Case("full_run_stored_twice", "I4, I6", _full_run_stored(2), _FULL_COUNTS_SQL),
+    Case("label_dimension_stored", "I3", _labels_stored, LABELS_SQL),
     Case("full_run_row_counts", "I4, I6", _full_run_counts, _FULL_COUNTS_SQL),
     Case(
         "dropped_respondent_ids",

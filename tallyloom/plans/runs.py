@@ -12,6 +12,9 @@ from tallyloom.operators.upkeep import create_partitioned_table, replace_partiti
 from tallyloom.plans import conn_to_psu, intern, intl_exp, learned, response, stud_attr, term_labels
 from tallyloom.plans.response import ResponseLookups
 from tallyloom.plans.schema import REQUIRED_COLUMNS
+from tallyloom.sources.sinks import refresh_table
+
+LABELS = "acadyear_labels"
 
 # Output tables that are replaced term by term when a stage is loaded.
 REPLACED_TABLES = ("stud_attr", "response", "intern", "intern_lrned", "intl_exp", "conn_to_psu")
@@ -90,3 +93,30 @@ def replace_terms(
         replace_partitions(table, keys, rows, include_null_key=include_null_key)
         present.append(name)
     return row_counts({name: spark.table(f"{database}.{name}") for name in present})
+
+
+def store_labels(stage: DataFrame, database: str) -> None:
+    """Append labels for the terms the stored dimension does not have yet; rows that are there stay."""
+    spark = stage.sparkSession
+    table = f"{database}.{LABELS}"
+    existing = spark.table(table) if spark.catalog.tableExists(table) else None
+    term_labels.additions(stage, existing).write.mode("append").format("parquet").saveAsTable(table)
+
+
+def run_full(stage: DataFrame, lookups: ResponseLookups, database: str, load_date: Column | None = None) -> DataFrame:
+    """A stored full run: all eight tables in a database, and how many rows each has once it is loaded.
+
+    The cleaned tables are refreshed as a whole, `response` is replaced for the terms of the stage as they were
+    delivered, and labels are added for new terms. Nothing is written if the stage lacks columns; a table whose
+    computation fails keeps its old rows. Running again with the same stage gives the same rows.
+    """
+    check_stage(stage)
+    spark = stage.sparkSession
+    tables = full_tables(stage, lookups, load_date=load_date)
+    del tables[LABELS]  # rows that are stored are not written again
+    for name, rows in tables.items():
+        if name != "response":
+            refresh_table(rows, f"{database}.{name}")
+    replace_terms(stage, {"response": tables["response"]}, database, replaced=["response"])
+    store_labels(stage, database)
+    return row_counts({name: spark.table(f"{database}.{name}") for name in (*tables, LABELS)})

@@ -21,6 +21,21 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> No
     (df if columns is None else for_target(df, columns)).write.mode("append").parquet(path)
 
 
+def refresh_table(df: DataFrame, table: str) -> None:
+    """Replace all rows of a managed table. The new rows are stored under another name before the tables are exchanged."""
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "MANAGED":
+        raise ValueError(f"{table} is not a managed table")
+    incoming = f"{table}_incoming_{uuid.uuid4().hex}"
+    try:
+        df.write.format("parquet").saveAsTable(incoming)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+
+
 def full_refresh(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
     """Replace all rows of a parquet table; an empty result leaves an empty table, not the old rows.
 

@@ -291,3 +291,14 @@ def test_root_keeps_identity_of_a_moved_inbox(spark, tmp_path):
     here, there = ids
     assert here[0] == here[2] == there[0] == there[2]
     assert here[1] == here[3] != there[1]
+
+
+def test_failed_refresh_of_a_table_keeps_the_old_rows(spark, database):
+    table = f"{database}.kept"
+    sinks.refresh_table(spark.range(3), table)
+    with pytest.raises(Exception, match="no good"):
+        sinks.refresh_table(spark.range(1).select(F.raise_error(F.lit("no good")).alias("id")), table)
+    assert spark.table(table).count() == 3
+    sinks.refresh_table(spark.table(table).where("id > 0"), table)
+    assert spark.table(table).count() == 2
+    assert [one.name for one in spark.catalog.listTables(database)] == ["kept"]
