@@ -1,9 +1,9 @@
 """Secrets in texts: known forms by pattern, other random strings by their token efficiency.
 
 Readable strings are covered by long tokens of a byte-pair vocabulary, random ones by short tokens. A candidate (a run of
-letters, digits and ``+/_=-`` with both letters and digits) whose characters per token stay below a threshold is a secret
-of kind ``random``, unless it is a known digest (hexadecimal of a usual digest length, UUID) or an identifier (words,
-numbers and path parts joined by separators).
+letters, digits and ``+/_=-``) whose characters per token stay below a threshold is a secret of kind ``random``, unless it
+is a known digest (hexadecimal of a usual digest length, UUID), an alphabet, or an identifier (words, numbers and path
+parts joined by separators, each covered by few tokens). Digits alone stay above the threshold and are no secrets.
 
 Defined cases: null and empty texts have no spans; offsets are code points, ends exclusive; repeated rows and rows
 without an id are returned one for one; columns besides `doc_id` and `text` are not read by `scan`, and kept by `redact`.
@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,7 +36,10 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _PREFILTER = r"(?i:password|passwd|secret|token|api_?key)|AKIA|[A-Za-z0-9+/_=-]{20,}"
 _DIGEST = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|([0-9a-fA-F]{8}){4,16}")
 _DIGEST_LENGTHS = {32, 40, 56, 64, 96, 128}
-_PART = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{3,}|[0-9]+")
+_SEPARATORS = re.compile(r"[+/_=-]+")
+#: Parts of identifiers: words with a number behind them, numbers, days and times.
+_WORD_PART = re.compile(r"[A-Za-z]+[0-9]{0,4}")
+_NUMBER_PART = re.compile(r"[0-9]{1,8}(T[0-9]{1,6})?Z?")
 
 _SCHEMA = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
@@ -45,11 +49,23 @@ def is_digest(text: str) -> bool:
     return bool(_DIGEST.fullmatch(text)) and (text.count("-") == 4 or len(text) in _DIGEST_LENGTHS)
 
 
-def is_identifier(text: str) -> bool:
-    """Whether words of three letters or more and numbers make up all but a fifth of a string's letters and digits."""
-    letters = sum(c.isalnum() for c in text)
-    readable = sum(len(part) for part in _PART.findall(text))
-    return 5 * readable >= 4 * letters
+def is_sequence(text: str) -> bool:
+    """Whether four fifths of a string's characters repeat or follow the one before, as in an alphabet."""
+    return 5 * sum(ord(b) - ord(a) in (0, 1) for a, b in pairwise(text)) >= 4 * (len(text) - 1)
+
+
+def is_identifier(text: str, count_tokens=None) -> bool:
+    """Whether a string has parts between separators, and words covered by few tokens and numbers make up all but a fifth."""
+    parts = [part for part in _SEPARATORS.split(text) if part]
+    if len(parts) < 2:
+        return False
+    count_tokens = count_tokens or load_counter(vocabulary_path())
+
+    def readable(part: str) -> bool:
+        few = (len(part) + 1) // 2
+        return bool(_NUMBER_PART.fullmatch(part)) or bool(_WORD_PART.fullmatch(part)) and count_tokens(part) <= few
+
+    return 5 * sum(len(part) for part in parts if readable(part)) >= 4 * sum(map(len, parts))
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -65,9 +81,9 @@ def random_spans(text: str, count_tokens, chars_per_token: float = CHARS_PER_TOK
     found = []
     for m in _CANDIDATE.finditer(text):
         word = m[0]
-        if not re.search("[0-9]", word) or not re.search("[A-Za-z]", word) or is_digest(word) or is_identifier(word):
+        if len(word) >= chars_per_token * count_tokens(word) or is_digest(word) or is_sequence(word):
             continue
-        if len(word) < chars_per_token * count_tokens(word):
+        if not is_identifier(word, count_tokens):
             found.append((*m.span(), "random"))
     return found
 

@@ -172,6 +172,24 @@ def test_digests_and_identifiers_are_no_random_strings():
     assert not secret_scan.is_identifier("Zq8vXw3LmT0pKr7Yb2Ns5Jd9Gf4H")
 
 
+def test_random_strings_of_any_alphabet_are_found_and_identifiers_are_not():
+    count_tokens = secret_scan.load_counter(secret_scan.vocabulary_path())
+    rng = random.Random(4)
+    lower, upper, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for alphabet in (lower + digits, upper + digits, upper + "234567", lower + upper + digits + "-_", lower + upper, upper, lower):
+        for length in (20, 32, 48):
+            drawn = ["".join(rng.choices(alphabet, k=length)) for _ in range(100)]
+            found = sum(secret_scan.random_spans(f"key {word} end", count_tokens) == [(4, 4 + length, "random")] for word in drawn)
+            assert found >= (85 if alphabet == lower else 95), (alphabet, length, found)
+    groups = ["-".join("".join(rng.choices(upper + digits, k=5)) for _ in range(5)) for _ in range(100)]
+    assert sum(bool(secret_scan.random_spans(word, count_tokens)) for word in groups) >= 95
+    for name in """SPARK_EXECUTOR_CORES_PER_TASK_MIN getElementsByClassNameAndTag IDX_TBL_CUST_ORD_HDR_FK1
+        en-US/de-DE/fr-FR/it-IT/es-ES 2024-01-15T10-30-00Z/2024-01-16T11-45-30Z kubernetes-deployment-2024-01-15-rc1
+        /usr/local/lib/python3/dist-packages/numpy 2024-01-15/2024-02-15/2024-03-15 12345678901234567890123 -------------------------
+        ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 Donaudampfschifffahrtsgesellschaft usr_cfg_db_conn_max_sz_kb""".split():
+        assert secret_scan.random_spans(name, count_tokens) == [], name
+
+
 def test_redaction_masks_spans_and_keeps_rows(spark):
     out = secret_scan.redact(frame(spark))
     assert out.columns == frame(spark).columns and out.count() == len(ODD)
