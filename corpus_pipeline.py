@@ -9,6 +9,10 @@ from tallyloom.llm import decontamination, jaccard, mixing, quality_rules, secre
 from tallyloom.llm.common import read, stored
 from tallyloom.llm.queries import REPETITIONS
 
+#: Near duplicates share this share of their word n-grams; op4_ngram_jaccard has its own, tighter rule.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
@@ -17,7 +21,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates, the document with the smallest id stays."""
-    return jaccard.keep_one(docs)
+    return jaccard.keep_one(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,6 +44,22 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert sorted(mixed.select("doc_id", "block", "place", "epoch").collect()) == sorted(plain.collect())
 
 
+def test_pipeline_removes_near_copies_from_four_fifths_on(spark, sf_dir):
+    base = [f"w{i}" for i in range(1000)]
+    scattered = [f"x{i}" for i in range(1000)]
+    changed = [f"new{i}" if i % 46 == 20 else w for i, w in enumerate(scattered)]
+    unlike = [f"y{i}" for i in range(1000)]
+    texts = [
+        (1, base), (2, base + [f"v{i}" for i in range(220)]),  # 0.82
+        (3, scattered), (4, changed),  # 0.80 on five words
+        (5, unlike), (6, unlike + [f"z{i}" for i in range(270)]),  # 0.79
+    ]
+    rows = [(doc_id, " ".join(words), "en", "a", 0) for doc_id, words in texts]
+    docs = spark.createDataFrame(rows, read(spark, sf_dir, "documents").schema)
+    kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 6]
+
+
 def test_pipeline_of_an_empty_table(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
