@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id stays."""
+    """Of each group of near duplicates, the document with the smallest id stays, whatever ids repeat or lack."""
     return jaccard.keep_one(docs, n=NEAR_WORDS, percent=NEAR_PERCENT)
 
 

@@ -19,7 +19,8 @@ Step 4 makes the result exact: two similar classes are in one component after st
 
 Defined cases: texts that are null, or have no words, have empty sets and are linked with nothing; rows that repeat an
 id are compared one by one; rows without an id get the component of equal sets, if there are any with an id, and else
-none; columns besides `doc_id` and `text` are not read by `components`, and kept by `keep_one`.
+none; columns besides `doc_id` and `text` are not read by `components`, and kept by `keep_one`. For `keep_one` every row
+is a document of its own, whatever its id.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import BROADCAST_LIMIT_BYTES, join_small, stored
+from tallyloom.llm.common import BROADCAST_LIMIT_BYTES, join_small, stored, unused
 
 N = 4
 PERCENT = 85
@@ -346,9 +347,16 @@ def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: i
 
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
-    """One document of each component, that with the smallest id, with its own columns. Rows that repeat an id stay together."""
-    found = components(docs, n, percent, limit=limit)
-    gone = stored(found.where("doc_id != component_id").select("doc_id").distinct(), "copies").toDF("copied_id")
-    still = found.where("doc_id = component_id").select(F.col("doc_id").alias("copied_id"))
-    gone = gone.join(still.hint("merge"), "copied_id", "left_anti")
-    return join_small(docs, stored(gone, "copies"), docs["doc_id"] == F.col("copied_id"), "left_anti", limit)
+    """One row of each component with its own columns: that with the smallest id, rows without an id last.
+
+    Rows are told apart by a stored key, so rows that repeat an id, or have none, are copies like any others.
+    """
+    key = unused(docs.columns, "row_key")
+    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
+    found = stored(components(keyed.select(F.col(key).alias("doc_id"), "text"), n, percent, limit=limit), "row-components")
+    ids = keyed.select(F.col(key).alias("row_key"), F.col("doc_id").alias("of_id"))
+    named = found.join(ids.hint("merge"), F.col("doc_id") == F.col("row_key"))
+    first = F.min(F.struct(F.col("of_id").isNull().alias("none"), "of_id", "row_key")).alias("first")
+    winners = named.groupBy("component_id").agg(first).select("first.row_key")
+    gone = found.select(F.col("doc_id").alias("copied_row")).join(winners.hint("merge"), F.col("copied_row") == F.col("row_key"), "left_anti")
+    return join_small(keyed, stored(gone, "copies"), F.col(f"`{key}`") == F.col("copied_row"), "left_anti", limit).drop(key)

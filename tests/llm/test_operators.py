@@ -264,6 +264,18 @@ def test_components_of_odd_rows(spark):
     assert jaccard.keep_one(empty(spark)).count() == 0
 
 
+def test_one_row_of_each_component_stays_whatever_the_ids(spark):
+    def prose(name):
+        return " ".join(f"{name}{i}" for i in range(60))
+
+    rows = [(7, prose("a")), (7, prose("a")), (7, prose("a")), (None, prose("b")), (None, prose("b")), (None, prose("b") + " end")]
+    rows += [(3, prose("c")), (9, prose("c")), (9, prose("d")), (None, prose("c")), (None, None), (None, ""), (8, prose("e")), (5, prose("e"))]
+    docs = frame(spark, [(*row, "en", "s") for row in rows])
+    for limit in (1 << 24, 0):
+        kept = [(r.doc_id, (r.text or "")[:2]) for r in jaccard.keep_one(docs, limit=limit).collect()]
+        assert sorted(kept, key=str) == sorted([(7, "a0"), (None, "b0"), (3, "c0"), (9, "d0"), (None, ""), (None, ""), (5, "e0")], key=str)
+
+
 # 5 language
 
 
