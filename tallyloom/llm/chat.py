@@ -3,9 +3,12 @@
 A legal conversation is an optional system turn, then user and assistant turns in alternation, user first and assistant
 last. Dynamic programming over that automaton chooses, for each turn, to keep it, relabel it, merge it into the turn
 before, or insert empty turns ahead of it, at the least total cost; equal costs go to the first action in the order
-keep, relabel, merge, merge under another role, then fewer insertions. Turns are worked on in blocks of 256 turn
-numbers: a block is reduced to a small matrix of costs between states, the matrices of a conversation are combined, and
-every block is then repaired by itself between its two known states. So a conversation may be of any length.
+keep, relabel, merge, merge under another role, then fewer insertions. Turns are worked on in blocks of 256 turns:
+a block is reduced to a small matrix of costs between states, the matrices of a conversation are combined, and
+every block is then repaired by itself between its two known states. So no task holds a long conversation's texts.
+
+Conversations of one block need no numbering. The turns of longer ones are numbered in order, whatever their turn numbers:
+they are sorted in ranges that may end within a conversation, and the counts of earlier ranges are added.
 
 Every returned row is a source turn or an inserted one; the `rendered` parts of a conversation, in order of
 (block, place), are its formatted text.
@@ -21,16 +24,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyloom.llm.common import BROADCAST_LIMIT_BYTES, join_small, stored
+
 BLOCK_TURNS = 256
+#: Ranges are cut by so many characters of a text; the samples that find the cuts go to the driver.
+_PREFIX_CHARS = 64
 ROLES = ("system", "user", "assistant")
 ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "ai": "assistant", "model": "assistant", "gpt": "assistant", "developer": "system"}
 START, SYSTEM, USER, ASSISTANT = range(4)
 RELABEL, RELABEL_UNKNOWN, MERGE, INSERT = 4, 1, 2, 6
 _FAR = 1 << 40
+#: Bits of monotonically_increasing_id that number the rows of a partition.
+_ROW_BITS = 33
 
 #: States that may follow a state.
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
@@ -169,26 +178,51 @@ def _states(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield pd.Series([boundary_states([list(matrix) for matrix in one]) for one in conversations])
 
 
-def repair(turns: DataFrame) -> DataFrame:
+def _numbered(turns: DataFrame, limit: int) -> DataFrame:
+    """The turns with their block: their place in the conversation, by turn, role and text, divided by the block size."""
+    prefix = F.substring("text", 1, _PREFIX_CHARS)
+    # Equal turns may be parted; longer texts with an equal start stay in one range, as only the sort tells their order.
+    lot = F.when(F.char_length(F.coalesce("text", F.lit(""))) <= _PREFIX_CHARS, F.monotonically_increasing_id()).otherwise(-1)
+    ranges = turns.withColumn("lot", lot).repartitionByRange("conv_id", "turn", "role", prefix, "lot").drop("lot")
+    ordered = ranges.sortWithinPartitions("conv_id", "turn", "role", "text").withColumn("id", F.monotonically_increasing_id())
+    ordered = stored(ordered.withColumn("range", F.shiftrightunsigned("id", _ROW_BITS)), "ordered-turns")
+    parts = ordered.groupBy("conv_id", "range").agg(F.min("id").alias("low"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("low")
+    shifts = stored(parts.select(F.col("conv_id").alias("of_conv"), F.col("range").alias("of_range"), before.alias("shift")), "ranges")
+    same = F.col("conv_id").eqNullSafe(F.col("of_conv")) & (F.col("range") == F.col("of_range"))
+    block = F.floor((F.col("id") + F.col("shift")) / BLOCK_TURNS).cast("long")
+    return join_small(ordered, shifts, same, "inner", limit).select("conv_id", block.alias("block"), "turn", "role", "text")
+
+
+def _blocked(turns: DataFrame, limit: int) -> DataFrame:
+    """conv_id, block, turn, role and text of every turn; no block has more than its turns."""
+    turns = turns.select("conv_id", "turn", "role", "text")
+    first = F.lit(0).cast("long").alias("block")
+    long = turns.groupBy("conv_id").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_TURNS)
+    long = stored(long.select(F.col("conv_id").alias("long_conv"), F.lit(True).alias("is_long")), "long-conversations")
+    if long.isEmpty():
+        return turns.select("conv_id", first, "turn", "role", "text")
+    same = F.col("conv_id").eqNullSafe(F.col("long_conv"))
+    short = join_small(turns, long, same, "left_anti", limit).select("conv_id", first, "turn", "role", "text")
+    return short.union(_numbered(join_small(turns, long, same, "left_semi", limit), limit))
+
+
+def repair(turns: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """conv_id, block, place, turn, role_before, role, action and rendered of every turn of the repaired conversations."""
-    number = F.floor(F.col("turn") / BLOCK_TURNS).cast("long")
-    rows = turns.select("conv_id", F.coalesce(number, F.lit(-(1 << 40))).alias("block"), F.struct("turn", "role", "text").alias("t"))
+    rows = _blocked(turns, limit).select("conv_id", "block", F.struct("turn", "role", "text").alias("t"))
     blocks = rows.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list("t")).alias("turns"))
     roles = F.transform("turns", lambda t: F.struct(t["role"].alias("role")))
     costs = blocks.select("conv_id", F.struct("block", _costs(roles).alias("costs")).alias("b"))
     whole = costs.groupBy("conv_id").agg(F.sort_array(F.collect_list("b")).alias("bs"))
-    states = whole.select("conv_id", "bs", _states(F.col("bs.costs")).alias("states"))
-    bounds = states.select(
-        F.col("conv_id").alias("of_conv"),
-        F.size("bs").alias("n_blocks"),
-        "states",
-        F.posexplode("bs.block").alias("i", "of_block"),
-    ).select(
-        "of_conv",
-        "of_block",
-        F.element_at("states", F.col("i") + 1).alias("entry"),
-        F.element_at("states", F.col("i") + 2).alias("leave"),
-        (F.col("i") == F.col("n_blocks") - 1).alias("last"),
+    states = whole.select("conv_id", F.size("bs").alias("n_blocks"), "bs.block", _states(F.col("bs.costs")).alias("states"))
+    spans = F.arrays_zip(
+        F.col("block").alias("of_block"),
+        F.slice("states", F.lit(1), F.col("n_blocks")).alias("entry"),
+        F.slice("states", F.lit(2), F.col("n_blocks")).alias("leave"),
+    )
+    bounds = states.select(F.col("conv_id").alias("of_conv"), "n_blocks", F.explode(spans).alias("s")).select(
+        "of_conv", "s.*", (F.col("s")["of_block"] == F.col("n_blocks") - 1).alias("last")
     )
     same = F.col("conv_id").eqNullSafe(F.col("of_conv")) & (F.col("block") == F.col("of_block"))
     joined = blocks.join(bounds.hint("merge"), same)

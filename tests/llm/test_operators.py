@@ -422,6 +422,26 @@ def test_conversations_with_odd_rows(spark):
     assert chat.repair(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [1 << 24, 0])
+def test_blocks_are_bounded_whatever_the_turn_numbers(spark, limit):
+    rng = random.Random(2)
+    roles = ["user", "assistant", "system", None]
+    rows = [(None, rng.randrange(10), rng.choice(roles), rng.choice("ab") * rng.choice([1, 300])) for _ in range(1500)]
+    rows += [(1, None, rng.choice(roles), f"n{i}") for i in range(700)] + [(2, 5, "user", "again")] * 900
+    rows += [(3, 10_000 * i, rng.choice(roles), "x") for i in range(256)] + [(4, 0, "user", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(6)
+    sizes = {(r.conv_id, r.block): r.n for r in chat._blocked(turns, limit).groupBy("conv_id", "block").agg(F.count("*").alias("n")).collect()}
+    wanted = {}
+    for conv, n in ((None, 1500), (1, 700), (2, 900), (3, 256), (4, 1)):
+        wanted |= {(conv, block): min(256, n - 256 * block) for block in range(-(-n // 256))}
+    assert sizes == wanted
+    found = sorted(chat.repair(turns, limit).collect(), key=lambda r: (str(r.conv_id), r.block, r.place))
+    for conv in (None, 1, 2, 3, 4):
+        own = [(r.turn, r.role_before) for r in found if r.conv_id == conv and r.action != "insert"]
+        given = sorted((row for row in rows if row[0] == conv), key=lambda row: [(v is not None, v or 0) if i == 0 else (v is not None, v or "") for i, v in enumerate(row[1:])])
+        assert own == [(turn, role) for _, turn, role, _ in given]
+
+
 # 9 quality classifier
 
 
