@@ -67,3 +67,47 @@ def sampled(df: DataFrame, key: Column, bound: int) -> DataFrame:
         return df
     parts = 1 << 30
     return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(parts)) < int(parts * bound / total))
+
+
+def bounded_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) -> list:
+    """Rows (doc_id, label, text) for fitting a classifier: one text per id, at most `rows` of each label and `size` bytes.
+
+    `labels` has one row per id (doc_id, label). Ids are chosen by a hash, each label for itself, until the rows or its
+    share of the bytes are used up; of an id's texts the smallest digest counts. Texts of more than a hundredth
+    of the bytes are passed over, so that no text crowds out the others. Nothing but the chosen rows leaves the executors.
+    """
+    parts = 1 << 30
+    hashed = labels.withColumn("draw", F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(parts)))
+    totals = {row["label"]: row["n"] for row in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not totals:
+        return []
+    # twice the rows wanted, as some have no text or a long one
+    wanted = F.lit(False)
+    for label, total in totals.items():
+        wanted = wanted | ((F.col("label") == F.lit(label)) & (F.col("draw") < int(parts * min(1.0, 2 * rows / total))))
+    chosen = hashed.where(wanted).withColumnRenamed("doc_id", "labelled_id")
+    found = join_small(docs.select("doc_id", "text"), chosen, F.col("doc_id") == F.col("labelled_id"), "inner")
+    fitting = found.where(F.col("text").isNotNull() & (F.octet_length("text") <= size // 100))
+    one_each = fitting.groupBy("doc_id", "label", "draw").agg(F.min(F.struct(F.md5("text").alias("d"), "text")).alias("t"))
+    sized = one_each.select("doc_id", "label", "draw", F.col("t.text").alias("text"))
+    # the sizes of at most some thousand rows decide how many texts may come to the driver
+    kept = cut_to_size(sized, list(totals), rows, size // len(totals))
+    return sorted(kept, key=lambda row: (row.label, row.draw, row.doc_id))
+
+
+def cut_to_size(sized: DataFrame, labels: list, rows: int, size: int) -> list:
+    stored_rows = stored(sized, "sample")
+    kept: list = []
+    for label in labels:
+        of_label = stored_rows.where(F.col("label") == F.lit(label))
+        lengths = of_label.select("draw", "doc_id", F.octet_length("text").alias("n")).orderBy("draw", "doc_id").limit(rows).collect()
+        used, last = 0, None
+        for row in lengths:
+            used += row.n
+            if used > size:
+                break
+            last = row
+        if last is not None:
+            upto = (F.col("draw") < last.draw) | ((F.col("draw") == last.draw) & (F.col("doc_id") <= last.doc_id))
+            kept += of_label.where(upto).collect()
+    return kept

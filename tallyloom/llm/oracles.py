@@ -147,9 +147,68 @@ WITH d AS (
 SELECT *, (failed_bits & 3) != 0 AS base_failed, failed_bits = 0 AS kept FROM judged
 """
 
+
+
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Full scans in every round; one pair of subqueries per round."""
+    steps = [
+        """rows_in AS (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        f"""cut AS (
+    SELECT r, p, CAST(x[p * (len(x) // {parts}) + 1 : (p + 1) * (len(x) // {parts})] AS DOUBLE[]) AS v
+    FROM rows_in, range({parts}) AS t(p)
+)""",
+        f"""book0 AS (
+    SELECT p, e, v FROM cut JOIN (
+        SELECT r, row_number() OVER (ORDER BY vec_id, x) - 1 AS e FROM rows_in QUALIFY e < {entries}
+    ) USING (r)
+)""",
+    ]
+    for i in range(rounds + 1):
+        steps.append(
+            f"""near{i} AS MATERIALIZED (
+    SELECT r, p, min({{'d': CAST(list_inner_product(c.v, c.v) + list_inner_product(b.v, b.v) - 2 * list_inner_product(c.v, b.v) AS BIGINT), 'e': e}}) AS best
+    FROM cut c JOIN book{i} b USING (p) GROUP BY r, p
+)"""
+        )
+        if i < rounds:
+            steps.append(
+                f"""book{i + 1} AS MATERIALIZED (
+    WITH means AS (
+        SELECT p, e, list(floor(total / n) ORDER BY j) AS v FROM (
+            SELECT p, best.e AS e, j, CAST(sum(v[j]) AS DOUBLE) AS total, count(*) AS n
+            FROM near{i} JOIN cut USING (r, p), range(1, 4097) AS t(j) WHERE j <= len(v) GROUP BY p, best.e, j
+        ) GROUP BY p, e
+    )
+    SELECT p, e, coalesce(means.v, book{i}.v) AS v FROM book{i} LEFT JOIN means USING (p, e)
+)"""
+            )
+    return (
+        "WITH "
+        + ", ".join(steps)
+        + f"""
+, books AS (
+    SELECT sha256(string_agg(text, ',' ORDER BY p, e)) AS codebooks_sha256
+    FROM (SELECT p, e, array_to_string(list_transform(v, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',') AS text FROM book{rounds})
+), codes AS (
+    SELECT r, string_agg(lower(lpad(hex(best.e), 2, '0')), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY r
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM rows_in JOIN codes USING (r), books
+"""
+    )
+
+
+VECTOR_CODES = _vector_codes()
+
 ORACLES = {
     "op1_decontamination": DECONTAMINATION,
     "op2_mixing": MIXING,
     "op4_ngram_jaccard": JACCARD,
     "op6_quality_rules": QUALITY_RULES,
+    "op13_vector_codes": VECTOR_CODES,
 }

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import chat, decontamination, jaccard, language, lattice, mixing, passages, quality_rules, secret_scan, token_counts
+from tallyloom.llm import (
+    alignment,
+    chat,
+    decontamination,
+    jaccard,
+    language,
+    lattice,
+    mixing,
+    passages,
+    quality_rules,
+    secret_scan,
+    token_counts,
+    toxicity,
+    vector_codes,
+)
 from tallyloom.llm.common import fold, held_out, read
 from tallyloom.llm.oracles import ORACLES
 from tallyloom.sources.workspace import new_folder
@@ -63,6 +77,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), new_folder(spark, "token-cache"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    left_out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"), ~left_out)
+    return toxicity.score(docs, model, left_out.alias("held_out"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The groups are hashed here; the operator gives them as text."""
+    groups = alignment.aligned(read(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return alignment.with_counts(groups.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, codebooks = vector_codes.coded(read(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256")
+    return vector_codes.with_label_error(codes).select("vec_id", "code", "error", "label_error", digest)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +116,9 @@ QUERIES = {
         op8_chat_repair,
         op9_quality_passages,
         op10_token_counts,
+        op11_toxicity,
+        op12_alignment,
+        op13_vector_codes,
         pipeline,
     )
 }
