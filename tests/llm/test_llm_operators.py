@@ -91,6 +91,16 @@ def test_decontamination_equals_plain_search(spark, limit):
     assert kept.count() == sum(not row[-1] for row in expected)
 
 
+def test_the_positive_word_class_equals_the_negated_one(spark):
+    characters = [chr(c) for c in [*range(256), 0x130, 0x2019, 0x2028, 0x3042, 0xFEFF, 0xFFFD, 0x1F600, 0x10FFFF]]
+    rng = random.Random(8)
+    texts = [*characters, "".join(characters), *("".join(rng.choices(characters, k=60)) for _ in range(200))]
+    rows = spark.createDataFrame([(text,) for text in texts], "text string").coalesce(1)
+    found = [r.w for r in rows.select(decontamination._words().alias("w")).collect()]
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    assert found == [re.findall(pattern, lowered(text)) for text in texts]
+
+
 def test_decontamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame(ITEMS, "item_id long, text string")
@@ -165,6 +175,85 @@ def test_spans_of_known_forms_and_random_strings(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def plain_base_spans(text):
+    """The known forms, character by character."""
+    ascii_word = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    found = []
+
+    def run(at, allowed):
+        end = at
+        while end < len(text) and text[end] in allowed:
+            end += 1
+        return end
+
+    def lower_ascii(part):
+        return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in part)
+
+    at = 0
+    while at < len(text):
+        for key in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if lower_ascii(text[at : at + len(key)]) != key:
+                continue
+            i = at + len(key)
+            i += text[i : i + 1] in ('"', "'") and text[i : i + 1] != ""
+            i = run(i, " ")
+            if text[i : i + 1] not in (":", "="):
+                continue
+            i = run(i + 1, " ")
+            i += text[i : i + 1] in ('"', "'") and text[i : i + 1] != ""
+            end = run(i, ascii_word + "+/_.=-")
+            if end > i:
+                if end - i >= 8:
+                    found.append((at, 0, end, "assign"))
+                at = end - 1
+                break
+        at += 1
+    at = 0
+    while at < len(text):
+        if text.startswith("AKIA", at) and (end := run(at + 4, ascii_word[:26] + "0123456789")) > at + 4:
+            if end - at >= 16:
+                found.append((at, 1, end, "access"))
+            at = end
+        else:
+            at += 1
+    at = 0
+    while at < len(text):
+        end = run(at, "0123456789abcdef")
+        if end - at >= 32:
+            found.append((at, 2, end, "hex"))
+        at = max(end, at + 1)
+    return [(start, end, kind) for start, _, end, kind in sorted(found)]
+
+
+def test_known_forms_equal_a_plain_scan(spark):
+    rng = random.Random(12)
+    parts = ["password", "PASSWD", "Secret", "token", "api_key", "APIKEY", "apiKey", ":", "=", "==", " ", "  ", '"', "'", "AKIA", "A" * 12]
+    parts += ["abc123", "0123456789abcdef", "deadbeef", "f" * 17, "é", "ſ", "\n", "-", ".", "x", "Zz9+/", "secretsecret", "AKIAAKIA", "K"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 40))) for _ in range(4000)]
+    for text in texts:
+        assert secret_scan.base_spans(text) == plain_base_spans(text), text
+    count_tokens = secret_scan.load_counter(secret_scan.vocabulary_path())
+    found = {r.doc_id: r for r in secret_scan.scan(frame(spark, [(i, text, None, None) for i, text in enumerate(texts[:500])])).collect()}
+    for i, text in enumerate(texts[:500]):
+        base = plain_base_spans(text)
+        joined = ",".join(f"{kind}:{start}:{end}" for start, end, kind in base)
+        assert found[i].base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        random_ones = []
+        for start in range(len(text)):  # candidates by hand: maximal runs
+            allowed = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+            if text[start] in allowed and (start == 0 or text[start - 1] not in allowed):
+                end = start
+                while end < len(text) and text[end] in allowed:
+                    end += 1
+                word = text[start:end]
+                excluded = secret_scan.is_digest(word) or secret_scan.is_sequence(word) or secret_scan.is_identifier(word, count_tokens)
+                if len(word) >= 20 and len(word) < 2.0 * count_tokens(word) and not excluded:
+                    random_ones.append((start, end, "random"))
+        order = {"assign": 0, "access": 1, "hex": 2, "random": 3}
+        both = sorted(base + random_ones, key=lambda span: (span[0], order[span[2]]))
+        assert found[i].spans == ",".join(f"{kind}:{start}:{end}" for start, end, kind in both)
+
+
 def test_digests_and_identifiers_are_no_random_strings():
     assert secret_scan.is_digest("d41d8cd98f00b204e9800998ecf8427e")
     assert secret_scan.is_digest("123e4567-e89b-12d3-a456-426614174000")
@@ -276,6 +365,17 @@ def test_one_row_of_each_component_stays_whatever_the_ids(spark):
         assert sorted(kept, key=str) == sorted([(7, "a0"), (None, "b0"), (3, "c0"), (9, "d0"), (None, ""), (None, ""), (5, "e0")], key=str)
 
 
+def test_rows_without_an_id_link_others(spark):
+    base = [f"w{i}" for i in range(200)]
+    a, x, b = base, base[12:] + [f"x{i}" for i in range(12)], base[24:] + [f"x{i}" for i in range(24)]
+    assert plain_components([(1, " ".join(a)), (2, " ".join(b))]) == [(1, 197, 1), (2, 197, 2)]
+    rows = [(5, a), (None, x), (None, x), (2, b), (None, [f"y{i}" for i in range(50)]), (9, b), (9, base[:5])]
+    docs = frame(spark, [(doc_id, " ".join(w), None, None) for doc_id, w in rows])
+    for limit in (1 << 24, 0):
+        found = sorted(((r.doc_id, r.component_id) for r in jaccard.components(docs, limit=limit).collect()), key=str)
+        assert found == sorted([(5, 2), (None, 2), (None, 2), (2, 2), (None, None), (9, 2), (9, 9)], key=str)
+
+
 # 5 language
 
 
@@ -292,12 +392,58 @@ def test_language_of_held_out_texts_and_odd_rows(spark, sf_dir):
     assert {r.lang_pred for r in language.identify(frame(spark), nothing).collect()} == {"und"}
 
 
-def test_unknown_words_fall_back_to_shorter_grams():
-    log = np.log
-    model = language.Model(["a", "b"], {0: {"cat": log(np.array([0.9, 0.1]))}, 2: {"do": log(np.array([0.2, 0.8]))}}, -9.0)
-    assert model.predictor()("cat cat")[0] == "a"
-    assert model.predictor()("dog")[0] == "b"
-    assert model.predictor()("12 34 !") == ("und", 0.0)
+def plain_language(text, tables, floor, languages):
+    """Word-first backoff on plain dictionaries: tables[length][entry] is a list of log probabilities."""
+
+    def of_gram(gram, length):
+        if gram in tables[length]:
+            return tables[length][gram]
+        if length == 1 or len(gram) == 1:
+            return [floor] * len(languages)
+        return [(x + y) / 2 for x, y in zip(of_gram(gram[:-1], length - 1), of_gram(gram[1:], length - 1))]
+
+    found, word = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha():
+            word += c
+        elif word:
+            found.append(word)
+            word = ""
+    if not found:
+        return "und"
+    total = [0.0] * len(languages)
+    for word in found:
+        pieces = [f" {word} "[i : i + 5] for i in range(max(1, len(word) - 2))]
+        scores = [tables[0][word]] if word in tables[0] else [of_gram(piece, len(piece)) for piece in pieces]
+        for i in range(len(languages)):
+            total[i] += sum(score[i] for score in scores) / len(scores) / len(found)
+    return languages[total.index(max(total))]
+
+
+def test_predictions_equal_plain_word_first_scores(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.select("doc_id", "text", "lang").collect()]
+    model = language.learn(docs, F.lit(True), vocabulary=500)
+    tables = {}
+    for length, table in model.tables.items():
+        tables[length] = {entry: table.get(entry).tolist() for entry in table.rows}
+    odd = [(1000 + i, text, None) for i, text in enumerate(["½ ²", "x² the", "①②", "12 34 !", "don't naïve", "ß", None, ""])]
+    frame_of = spark.createDataFrame(rows + odd, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in language.identify(frame_of, model).collect()}
+    assert found == {doc_id: plain_language(text, tables, model.floor, model.languages) for doc_id, text, _ in rows + odd}
+    assert found[1000] == found[1002] == found[1003] == "und" != found[1001]
+    assert sum(lang is not None and found[doc_id] == lang for doc_id, _, lang in rows) >= 0.85 * len(rows)
+
+
+def test_a_rare_language_is_learned_and_clashing_columns_are_no_trouble(spark):
+    rows = spark.range(50_000).selectExpr("id AS doc_id", "concat('the word ', id % 50) AS text", "'en' AS lang", "'x' AS lang_pred", "1.0D AS score", "true AS held_out")
+    rare = spark.createDataFrame([(50_001, "žluťoučký kůň", "cs", "y", 0.5, False)], rows.schema)
+    docs = rows.union(rare)
+    model = language.learn(docs, F.lit(True), sample=200)
+    assert model.languages == ["cs", "en"]
+    found = language.identify(docs.where("doc_id > 49990"), model, F.lit(False).alias("held_out")).collect()
+    assert {(r.doc_id > 50_000, r.lang_pred, r.held_out) for r in found} == {(False, "en", False), (True, "cs", False)}
+    assert language.learn(docs.where("doc_id < 0"), F.lit(True)).languages == []
 
 
 # 6 quality rules
@@ -371,6 +517,40 @@ def test_scores_equal_plain_sums(spark, hot_words):
     assert lattice.score(empty(spark), training).count() == 0
 
 
+def test_scores_equal_sums_over_all_segmentations(spark):
+    model = lattice._load(lattice.tokenizer_path())
+    rows = [(1, "ab é", None, None), (2, "abc ab", None, None), (3, None, None, None), (4, "Zx\u4e00", None, None)]
+    counts = lattice.count_words(frame(spark, rows), F.lit(True))
+    pieces = lattice.learn_pieces(counts, lattice.tokenizer_path())
+
+    def of(text):
+        """Probability of all ways to write a text as pieces; a character that is no piece in its bytes."""
+        if not text:
+            return 1.0
+        ways = sum(math.exp(pieces.scores[text[:i]]) * of(text[i:]) for i in range(1, len(text) + 1) if text[:i] in pieces.scores)
+        if text[0] not in pieces.scores:
+            ways += math.exp(sum(pieces.bytes[b] for b in text[0].encode())) * of(text[1:])
+        return ways
+
+    found = {r.doc_id: r.score for r in lattice.score(frame(spark, rows), F.lit(True)).collect()}
+    for doc_id, text, *_ in rows:
+        expected = sum(math.log10(of("▁" + word)) for word in words(lowered(text))) + pieces.end / math.log(10)
+        assert found[doc_id] == pytest.approx(expected, abs=1e-9)
+    assert model.get_piece_size() == 32_000
+
+
+def test_many_equal_rows_and_a_frequent_long_word(spark):
+    line = "-" * 300
+    docs = spark.range(100_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE id % 4 END AS doc_id", f"CASE WHEN id % 3 = 0 THEN NULL WHEN id % 2 = 0 THEN 'a {line}' ELSE 'b' END AS text"
+    )
+    for hot_words in (150_000, 0):
+        found = lattice.score(docs, F.lit(True), hot_words=hot_words)
+        by_text = {(r.n_tokens, r.n_known): r.n for r in found.groupBy("n_tokens", "n_known").agg(F.count("*").alias("n")).collect()}
+        assert by_text == {(1, 1): 33_334, (3, 3): 33_333, (2, 2): 33_333}
+        assert found.select("n_tokens", "score").distinct().count() == 3
+
+
 # 8 chat formatting
 
 
@@ -482,14 +662,73 @@ def test_gradients_equal_differences():
         assert gradient[at] == pytest.approx((up - down) / 2e-5, abs=1e-6)
 
 
-def test_passages_do_not_depend_on_chunks(monkeypatch):
-    text = " ".join(f"word{i % 91}!" for i in range(3000)).encode()
-    whole = passages.passage_features(text)
-    monkeypatch.setattr(passages, "_CHUNK_BYTES", 2000)
-    parts = passages.document_features(text.decode())
-    assert parts.shape == whole.shape == (47, passages.FEATURES)
-    per_word = passages._CLASSES + 4
-    assert np.allclose(parts[:, : passages._CLASSES], whole[:, : passages._CLASSES], atol=0.01) and per_word < passages.FEATURES
+def test_passages_do_not_depend_on_pieces():
+    rng = random.Random(6)
+    for text in (
+        " ".join(f"word{i % 91}!" for i in range(3000)),
+        "same " * 1000,
+        " \n" * 900 + "late words " * 300,
+        "".join(rng.choice("aBé 1\n.#") for _ in range(20_000)),
+        "x" * 5000,
+        "",
+    ):
+        whole = passages.document_features(text, 1 << 30)
+        for size in (1, 400, 2000, 10_000):
+            parts = passages.document_features(text, size)
+            assert parts.shape == whole.shape and parts.shape[1] == passages.FEATURES
+            assert np.array_equal(parts, whole)
+
+
+def plain_passages(text):
+    """The features that count characters and words, one passage and character at a time."""
+    words_of = text.split()
+    rows = []
+    for at in range(0, max(len(words_of), 1), 64):
+        own = words_of[at : at + 64]
+        mean = sum(len(w.encode()) for w in own) / max(len(own), 1)
+        spread = sum((len(w.encode()) - mean) ** 2 for w in own) / max(len(own), 1)
+        same = sum(i > 0 and words_of[i] == words_of[i - 1] for i in range(at, at + len(own))) / max(len(own), 1)
+        rows.append([len(own) / 64, mean / 10, spread / 20, len(set(own)) / max(len(own), 1), same, math.log1p(len(words_of)) / 10])
+    return rows
+
+
+def plain_score(model, x):
+    """The forward pass for one text, passage by passage."""
+    w = model.weights
+    hidden, logits = [], []
+    for row in x:
+        z = [(v - m) / s for v, m, s in zip(row, model.mean, model.scale)]
+        h = [math.tanh(sum(z[i] * w["encode"][i, j] for i in range(len(z))) + w["encode_b"][j]) for j in range(len(w["encode_b"]))]
+        gate = 0.0
+        for k in range(len(w["attend"])):
+            t = math.tanh(sum(h[j] * w["tanh"][j, k] for j in range(len(h))))
+            g = 1 / (1 + math.exp(-sum(h[j] * w["gate"][j, k] for j in range(len(h)))))
+            gate += t * g * w["attend"][k]
+        hidden.append(h)
+        logits.append(math.exp(gate))
+    pooled = [sum(a * h[j] for a, h in zip(logits, hidden)) / sum(logits) for j in range(len(hidden[0]))]
+    return 1 / (1 + math.exp(-(sum(p * o for p, o in zip(pooled, w["out"])) + w["out_b"][0])))
+
+
+def test_scores_equal_a_plain_forward_pass(spark, sf_dir):
+    texts = [r.text or "" for r in read(spark, sf_dir, "documents").limit(12).collect()]
+    bags = [passages.document_features(text) for text in texts]
+    model = passages.fit(bags, np.array([float(i % 3 > 0) for i in range(12)]), width=5, gates=3, steps=20)
+    assert model.scores(bags) == pytest.approx([plain_score(model, bag) for bag in bags], abs=1e-9)
+    for text, bag in zip(texts, bags):
+        at = passages._CLASSES
+        assert np.allclose(bag[:, at : at + 6], plain_passages(text), atol=1e-12)
+
+
+def test_scores_with_clashing_columns_repeated_labels_and_repeated_ids(spark):
+    good, bad = "plain words that read well enough here " * 8, "### $$$ %%% &&& " * 20
+    rows = [(i % 40, good if i % 2 else bad, 0.1, 7, True) for i in range(120)] + [(None, None, 0.2, 7, False)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score double, predicted int, held_out boolean")
+    labels = spark.createDataFrame([(i, i % 2, None) for i in range(40)] + [(1, 0, 0), (None, 1, 1), (2, None, 1)], "doc_id long, quality int, toxic int")
+    model = passages.learn(docs, labels, F.lit(True))
+    found = passages.score(docs, model, F.lit(False).alias("held_out")).collect()
+    assert len(found) == 121 and {c for r in found for c in r.asDict()} == {"doc_id", "held_out", "score", "predicted"}
+    assert all(r.predicted == r.doc_id % 2 for r in found if r.doc_id is not None)
 
 
 # 10 token counts
