@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from tallyloom.sources.workspace import new_folder
 
 BROADCAST_LIMIT_BYTES = 24 * 1024 * 1024
 WORD = r"[^\x20\x09-\x0D]+"
+#: Texts are handed to Python so many at a time, and so many bytes.
+_BATCH_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8388608"}
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -21,7 +24,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and leaves every other character alone; null becomes empty."""
-    return F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
+    # In text of ASCII alone `lower` does the same, several times faster.
+    whole = F.coalesce(text, F.lit(""))
+    is_ascii = F.octet_length(whole) == F.char_length(whole)
+    return F.when(is_ascii, F.lower(whole)).otherwise(F.translate(whole, _UPPER, _UPPER.lower()))
 
 
 def words_of(text: Column, pattern: str = WORD) -> Column:
@@ -38,10 +44,24 @@ def held_out(doc_id: Column, folds: int, fold_left_out: int) -> Column:
     return F.coalesce(fold(doc_id, folds) == fold_left_out, F.lit(False))
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, rows go to Python functions in batches of bounded size, whatever the session has set."""
+    before = {name: spark.conf.get(name, None) for name in _BATCH_BOUNDS}
+    for name, value in _BATCH_BOUNDS.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The frame written once to the shared folder and read back, so that no later step repeats its work."""
     path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -60,54 +80,49 @@ def unused(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def sampled(df: DataFrame, key: Column, bound: int) -> DataFrame:
-    """About `bound` rows (all, if there are fewer), chosen by a hash of `key`; for fitting classifiers only."""
-    total = df.count()
-    if total <= bound:
-        return df
+def sampled_each(df: DataFrame, by: str, key: Column, bound: int) -> DataFrame:
+    """About `bound` rows of every value of `by` (all, if there are fewer), chosen by a hash of `key`."""
+    totals = df.groupBy(by).agg(F.count("*").alias("sampled_total")).withColumnRenamed(by, "sampled_value")
+    counted = join_small(df, stored(totals, "totals"), F.col(by).eqNullSafe(F.col("sampled_value")), "inner")
     parts = 1 << 30
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(parts)) < int(parts * bound / total))
+    drawn = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(parts)) / parts < F.lit(float(bound)) / F.col("sampled_total")
+    return counted.where(drawn | (F.col("sampled_total") <= bound)).drop("sampled_value", "sampled_total")
 
 
 def bounded_texts(docs: DataFrame, labels: DataFrame, rows: int, size: int) -> list:
-    """Rows (doc_id, label, text) for fitting a classifier: one text per id, at most `rows` of each label and `size` bytes.
+    """Rows (doc_id, label, stratum, text) for fitting a classifier: one text per id, at most `rows` of each stratum.
 
-    `labels` has one row per id (doc_id, label). Ids are chosen by a hash, each label for itself, until the rows or its
-    share of the bytes are used up; of an id's texts the smallest digest counts. Texts of more than a hundredth
-    of the bytes are passed over, so that no text crowds out the others. Nothing but the chosen rows leaves the executors.
+    `labels` has one row per id (doc_id, label, stratum). Ids are chosen by a hash, each stratum for itself, until the
+    rows or its share of the `size` bytes are used up; of an id's texts that with the smallest digest counts. Texts of
+    more than a hundredth of the bytes are passed over, so that none crowds out the others. What comes to the driver is
+    bounded by `rows` and `size` for each of the strata, of which there are to be few.
     """
     parts = 1 << 30
     hashed = labels.withColumn("draw", F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(parts)))
-    totals = {row["label"]: row["n"] for row in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    totals = {row["stratum"]: row["n"] for row in labels.groupBy("stratum").agg(F.count("*").alias("n")).collect()}
     if not totals:
         return []
-    # twice the rows wanted, as some have no text or a long one
+    # Twice the rows wanted, as some have no text or a long one.
     wanted = F.lit(False)
-    for label, total in totals.items():
-        wanted = wanted | ((F.col("label") == F.lit(label)) & (F.col("draw") < int(parts * min(1.0, 2 * rows / total))))
+    for stratum, total in totals.items():
+        wanted = wanted | ((F.col("stratum") == F.lit(stratum)) & (F.col("draw") < int(parts * min(1.0, 2 * rows / total))))
     chosen = hashed.where(wanted).withColumnRenamed("doc_id", "labelled_id")
     found = join_small(docs.select("doc_id", "text"), chosen, F.col("doc_id") == F.col("labelled_id"), "inner")
     fitting = found.where(F.col("text").isNotNull() & (F.octet_length("text") <= size // 100))
-    one_each = fitting.groupBy("doc_id", "label", "draw").agg(F.min(F.struct(F.md5("text").alias("d"), "text")).alias("t"))
-    sized = one_each.select("doc_id", "label", "draw", F.col("t.text").alias("text"))
-    # the sizes of at most some thousand rows decide how many texts may come to the driver
-    kept = cut_to_size(sized, list(totals), rows, size // len(totals))
-    return sorted(kept, key=lambda row: (row.label, row.draw, row.doc_id))
-
-
-def cut_to_size(sized: DataFrame, labels: list, rows: int, size: int) -> list:
-    stored_rows = stored(sized, "sample")
+    digest = F.struct(F.md5("text").alias("digest"), "text")
+    one_each = fitting.groupBy("doc_id", "label", "stratum", "draw").agg(F.min(digest)["text"].alias("text"))
+    sample = stored(one_each, "sample")
     kept: list = []
-    for label in labels:
-        of_label = stored_rows.where(F.col("label") == F.lit(label))
-        lengths = of_label.select("draw", "doc_id", F.octet_length("text").alias("n")).orderBy("draw", "doc_id").limit(rows).collect()
+    for stratum in totals:
+        of_stratum = sample.where(F.col("stratum") == F.lit(stratum))
+        sizes = of_stratum.select("draw", "doc_id", F.octet_length("text").alias("n")).orderBy("draw", "doc_id").limit(rows)
         used, last = 0, None
-        for row in lengths:
+        for row in sizes.collect():
             used += row.n
-            if used > size:
+            if used > size // len(totals):
                 break
             last = row
         if last is not None:
-            upto = (F.col("draw") < last.draw) | ((F.col("draw") == last.draw) & (F.col("doc_id") <= last.doc_id))
-            kept += of_label.where(upto).collect()
-    return kept
+            up_to = (F.col("draw") < last.draw) | ((F.col("draw") == last.draw) & (F.col("doc_id") <= F.lit(last.doc_id)))
+            kept += of_stratum.where(up_to).collect()
+    return sorted(kept, key=lambda row: (row.draw, row.doc_id))

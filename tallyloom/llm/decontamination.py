@@ -1,4 +1,4 @@
-"""Benchmark decontamination: exact containment of benchmark windows in documents, by a prefix-filtered set join.
+r"""Benchmark decontamination: exact containment of benchmark windows in documents, by a prefix-filtered set join.
 
 A benchmark item is cut into windows of ten words (a shorter item is one window), a window into shingles of three. As a
 contained window has all its shingles in the document, one necessary shingle is enough to find it: the one that is rarest
@@ -8,6 +8,9 @@ would lie, and there its words are compared one by one. Windows whose rarest shi
 Defined cases: null and empty texts have no words and hit nothing; an item without words has no window, an item without
 an id hits words but is not listed or counted; repeated items count once; repeated rows and rows without an id are
 judged one for one; columns besides `doc_id`, `text`, `item_id` are not read by `contamination`, and kept by `clean`.
+
+Words are runs of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]` in lower-cased text. `ITEM_WORD` says the same positively, as a
+negated union costs the JVM's matcher several times as much.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from tallyloom.operators.lookup import size_in_bytes
 WINDOW = 10
 SHINGLE = 3
 BLOCK_WORDS = 512
-ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ITEM_WORD = r"[0-9a-z\x{80}-\x{10FFFF}]+"
 
 
 def _words(text: str = "text") -> Column:
