@@ -4,8 +4,11 @@ A word that a language model knows scores its log frequency in each language. An
 ends marked) of the longest length, and any n-gram that is unknown is replaced by its shorter parts, down to single
 characters; what even those lack scores a floor. A text gets the language with the highest mean score over its words.
 
-The model is fitted on a bounded sample of labelled rows (`sample` rows and `vocabulary` entries per language and length);
-its size does not depend on the corpus, so every task gets all of it.
+The model is fitted on a bounded sample: `sample` labelled rows of every language, and of each language and length the
+most frequent entries, at most `vocabulary` and `entries` in all. Only whole classes of frequency are kept, so that no
+order among equals matters. A word beyond the vocabulary counts as unknown and is scored by its n-grams.
+
+Words are runs of letters (Unicode category L); digits, marks and numbers such as one half or a raised two are none.
 
 Defined cases: texts that are null or have no letter are `und` with score 0; so is every text if nothing was learned;
 equal scores go to the first language by name; repeated rows and rows without an id are returned one for one; columns
@@ -14,30 +17,38 @@ besides `doc_id`, `text` and, for learning, `lang` are not read.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import sampled
+from tallyloom.llm.common import join_small, sampled_each, stored
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 5_000
 VOCABULARY = 20_000
+ENTRIES = 2_000_000
 LENGTHS = (5, 4, 3, 2, 1)
-#: Unknown words that a task remembers the scores of.
-_REMEMBERED = 200_000
+#: Scores that a task keeps for words it has met, in numbers (words x languages).
+_REMEMBERED = 4_000_000
+#: Characters of text that are scored at a time.
+_CHUNK_CHARS = 1 << 20
+_BINS_PER_DOUBLING = 8
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_WORDS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    lowered = text.lower()
+    found = _WORDS.findall(lowered)
+    # The quick pattern also takes numbers that are no digits.
+    return found if "".join(found).isalpha() else _LETTERS.findall(lowered)
 
 
 def grams(word: str, length: int) -> list[str]:
@@ -46,52 +57,94 @@ def grams(word: str, length: int) -> list[str]:
     return [marked[i : i + length] for i in range(max(1, len(marked) - length + 1))]
 
 
+@dataclass
+class Table:
+    """Log probabilities of the entries of one length: those an entry has, by its row, and those of languages without it."""
+
+    rows: dict[str, int]
+    starts: np.ndarray
+    languages: np.ndarray
+    scores: np.ndarray
+    unseen: np.ndarray
+
+    def get(self, entry: str) -> np.ndarray | None:
+        row = self.rows.get(entry)
+        if row is None:
+            return None
+        out = self.unseen.copy()
+        own = slice(self.starts[row], self.starts[row + 1])
+        out[self.languages[own]] = self.scores[own]
+        return out
+
+
 @dataclass
 class Model:
-    """Languages, and per known word or n-gram its row of log probabilities. Length 0 stands for words."""
+    """Languages, and a table for words (length 0) and for n-grams of each length."""
 
     languages: list[str]
-    scores: dict[int, dict[str, np.ndarray]]
-    floor: float
+    tables: dict[int, Table] = field(default_factory=dict)
+    floor: float = 0.0
 
     def of_gram(self, gram: str, length: int) -> np.ndarray:
-        known = self.scores.get(length, {}).get(gram)
+        known = self.tables[length].get(gram) if length in self.tables else None
         if known is not None:
             return known
         if length <= 1 or len(gram) <= 1:
             return np.full(len(self.languages), self.floor)
-        parts = [gram[:-1], gram[1:]]
-        return sum(self.of_gram(part, length - 1) for part in parts) / len(parts)
+        return (self.of_gram(gram[:-1], length - 1) + self.of_gram(gram[1:], length - 1)) / 2
 
     def of_word(self, word: str) -> np.ndarray:
-        known = self.scores.get(0, {}).get(word)
+        known = self.tables[0].get(word) if 0 in self.tables else None
         if known is not None:
             return known
         pieces = grams(word, LENGTHS[0])
         return sum(self.of_gram(piece, len(piece)) for piece in pieces) / len(pieces)
 
-    def predictor(self):
-        """A function from a text to its language and score."""
-        remembered: dict[str, np.ndarray] = {}
-        nothing = ("und", 0.0)
-
-        def scores_of(word: str) -> np.ndarray:
-            found = remembered.get(word)
-            if found is None:
-                found = self.of_word(word)
-                if len(remembered) < _REMEMBERED:
-                    remembered[word] = found
-            return found
-
-        def predict(text: str | None) -> tuple[str, float]:
-            counts = Counter(words(text)) if text else None
-            if not counts or not self.languages:
-                return nothing
-            total = sum(n * scores_of(word) for word, n in counts.items()) / counts.total()
-            best = int(np.argmax(total))
-            return self.languages[best], float(1 / np.exp(total - total[best]).sum())
 
-        return predict
+class Scorer:
+    """Predicts languages of many texts at a time: words become rows of one matrix, whose rows are added up per text."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.most = max(1024, _REMEMBERED // max(1, len(model.languages)))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row_of: dict[str, int] = {}
+        self.matrix = np.empty((1024, len(self.model.languages)))
+
+    def _row(self, word: str) -> int:
+        row = self.row_of[word] = len(self.row_of)
+        if row == len(self.matrix):
+            self.matrix = np.concatenate([self.matrix, np.empty_like(self.matrix)])
+        self.matrix[row] = self.model.of_word(word)
+        return row
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+        """The language and score of every text."""
+        if not self.model.languages:
+            return ["und"] * len(texts), np.zeros(len(texts))
+        if len(self.row_of) > self.most:
+            self._forget()
+        rows: list[int] = []
+        counts = np.zeros(len(texts), dtype=np.int64)
+        known = self.row_of.get
+        for i, text in enumerate(texts):
+            if text:
+                found = words(text)
+                counts[i] = len(found)
+                rows += [row if (row := known(word)) is not None else self._row(word) for word in found]
+        some = np.flatnonzero(counts)
+        languages, scores = ["und"] * len(texts), np.zeros(len(texts))
+        if not len(some):
+            return languages, scores
+        starts = np.cumsum(counts[some]) - counts[some]
+        total = np.add.reduceat(self.matrix[np.array(rows)], starts) / counts[some, None]
+        best = total.argmax(1)
+        scores[some] = 1 / np.exp(total - total[np.arange(len(some)), best][:, None]).sum(1)
+        for i, language in zip(some.tolist(), best.tolist()):
+            languages[i] = self.model.languages[language]
+        return languages, scores
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
@@ -117,30 +170,57 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "length", "gram").agg(F.sum("n").alias("n"))
 
 
-def learn(docs: DataFrame, rows_to_learn: Column, sample: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> Model:
-    """Fits a model on at most about `sample` of the rows that have a language and meet the condition."""
+def _most_frequent(counts: DataFrame, vocabulary: int) -> DataFrame:
+    """Entries (with `total` of their language and length) in whole classes of frequency, `vocabulary` at most of each."""
+    group = ["lang", "length"]
+    bin_of = F.floor(F.log2("n") * _BINS_PER_DOUBLING).cast("int")
+    bins = counts.groupBy(*group, bin_of.alias("bin")).agg(F.count("*").alias("entries"), F.sum("n").alias("n"))
+    # Some hundred bins for each language and length, however many entries there are.
+    from_top = Window.partitionBy(*group).orderBy(F.desc("bin"))
+    ranked = bins.withColumns({"place": F.sum("entries").over(from_top), "total": F.sum("n").over(Window.partitionBy(*group))})
+    lowest = F.min(F.when(F.col("place") <= vocabulary, F.col("bin"))).alias("lowest")
+    limits = ranked.groupBy(*group).agg(lowest, F.first("total").alias("total")).where("lowest is not null")
+    limits = limits.withColumnsRenamed({"lang": "of_lang", "length": "of_length"})
+    same = (F.col("lang") == F.col("of_lang")) & (F.col("length") == F.col("of_length"))
+    kept = join_small(counts, limits, same, "inner").where(bin_of >= F.col("lowest"))
+    return kept.select("lang", "length", "gram", "n", "total")
+
+
+def _tables(found: pd.DataFrame, languages: list[str]) -> dict[int, Table]:
+    tables = {}
+    sizes = found.drop_duplicates(["lang", "length"])
+    most = max(found["total"].max(), 1)
+    for length, part in found.groupby("length"):
+        total = np.full(len(languages), most, dtype=float)
+        of_length = sizes[sizes["length"] == length]
+        total[np.searchsorted(languages, of_length["lang"].to_numpy())] = of_length["total"]
+        row, entries = pd.factorize(part["gram"])
+        order = np.argsort(row, kind="stable")
+        starts = np.searchsorted(row[order], np.arange(len(entries) + 1))
+        language = np.searchsorted(languages, part["lang"].to_numpy()[order])
+        scores = np.log(part["n"].to_numpy()[order] / part["total"].to_numpy()[order])
+        rows = {entry: i for i, entry in enumerate(entries)}
+        tables[int(length)] = Table(rows, starts, language, scores, np.log(0.5 / total))
+    return tables
+
+
+def learn(
+    docs: DataFrame,
+    rows_to_learn: Column,
+    sample: int = SAMPLE_ROWS,
+    vocabulary: int = VOCABULARY,
+    entries: int = ENTRIES,
+) -> Model:
+    """Fits a model on about `sample` rows of each language that meet the condition."""
     usable = docs.select("doc_id", "text", "lang").where(rows_to_learn & F.col("lang").isNotNull())
-    counts = gram_counts(sampled(usable, F.struct("doc_id", "text"), sample).select("lang", "text"))
-    order = Window.partitionBy("lang", "length").orderBy(F.desc("n"), "gram")
-    totals = Window.partitionBy("lang", "length")
-    kept = (
-        counts.withColumns({"place": F.row_number().over(order), "total": F.sum("n").over(totals)})
-        .where(F.col("place") <= vocabulary)
-        .select("lang", "length", "gram", "n", "total")
-    )
-    found = kept.toPandas()
+    counts = gram_counts(sampled_each(usable, "lang", F.struct("doc_id", "text"), sample).select("lang", "text"))
+    counts = stored(counts, "gram-counts")
+    groups = counts.select("lang", "length").distinct().count()
+    found = _most_frequent(counts, min(vocabulary, entries // max(1, groups))).toPandas()
     languages = sorted(found["lang"].unique())
-    at = {lang: i for i, lang in enumerate(languages)}
-    sizes = {(r.lang, r.length): r.total for r in found.drop_duplicates(["lang", "length"]).itertuples()}
-    most = max(sizes.values(), default=1)
-    scores: dict[int, dict[str, np.ndarray]] = defaultdict(dict)
-    for row in found.itertuples():
-        table = scores[row.length]
-        if row.gram not in table:
-            unseen = [math.log(0.5 / sizes.get((lang, row.length), most)) for lang in languages]
-            table[row.gram] = np.array(unseen)
-        table[row.gram][at[row.lang]] = math.log(row.n / row.total)
-    return Model(languages, dict(scores), math.log(0.5 / most))
+    if not languages:
+        return Model([])
+    return Model(languages, _tables(found, np.array(languages, dtype=object)), float(np.log(0.5 / found["total"].max())))
 
 
 def identify(docs: DataFrame, model: Model, *kept: Column) -> DataFrame:
@@ -149,9 +229,23 @@ def identify(docs: DataFrame, model: Model, *kept: Column) -> DataFrame:
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        one = shared.value.predictor()
+        scorer = Scorer(shared.value)
         for texts in batches:
-            yield pd.DataFrame([one(text) for text in texts], columns=["lang_pred", "score"])
+            languages: list[str] = []
+            scores: list[np.ndarray] = []
+            chunk: list[str | None] = []
+            held = 0
+            for text in texts:
+                chunk.append(text)
+                held += len(text or "")
+                if held >= _CHUNK_CHARS:
+                    found, score = scorer.predict(chunk)
+                    languages += found
+                    scores.append(score)
+                    chunk, held = [], 0
+            found, score = scorer.predict(chunk)
+            yield pd.DataFrame({"lang_pred": languages + found, "score": np.concatenate([*scores, score])})
+            del texts
 
     rows = docs.select("doc_id", *kept, predict("text").alias("found"))
     return rows.select(*[c for c in rows.columns if c != "found"], "found.*")
