@@ -6,7 +6,9 @@ Pieces never run over a blank, so a text's probability is the product over its w
 of the corpus is worked on once. A character that is no piece can only be spelled in bytes.
 
 Word counts stay in a table that grows with the corpus. For scoring, the most frequent words, whose number is bounded, are
-broadcast; all others are joined by a shuffle, after equal words of a text have been counted together.
+broadcast; all others are joined by a shuffle, after equal words of equal texts have been counted together. In these joins
+a long word goes by its digest, so that keys are short and even a very frequent one can be broadcast. The sums of a
+text are joined to its rows at the end; texts are known by 96 bits of hashes.
 
 Defined cases: a null text is an empty one, of which only the end is scored; repeated rows and rows without an id are
 returned one for one; with nothing to learn from, every count is 0 and pieces are equally likely; columns besides
@@ -29,9 +31,9 @@ from tallyloom.llm.token_counts import tokenizer_path
 
 END = " "  # no word contains a blank
 MARK = "▁"
-#: Bound of the broadcast table: so many words of at most so many characters.
+#: Bound of the broadcast table: so many words, whose keys have at most so many characters and a digest.
 HOT_WORDS = 150_000
-HOT_LENGTH = 64
+KEY_LENGTH = 64
 _BINS_PER_DOUBLING = 4
 
 
@@ -146,7 +148,12 @@ def _hot(words: DataFrame, most: int) -> Column:
         if total > most:
             break
         lowest = row["bin"]
-    return (bin_of >= F.lit(float(lowest))) & (F.length("word") <= HOT_LENGTH)
+    return bin_of >= F.lit(float(lowest))
+
+
+def _key(word: Column) -> Column:
+    """The word, or, for a long one, two blanks, `#` and its digest, which no word equals."""
+    return F.when(F.char_length(word) <= KEY_LENGTH, word).otherwise(F.concat(F.lit(END * 2 + "#"), F.sha2(word, 256)))
 
 
 def score(docs: DataFrame, training: Column, path: str | None = None, hot_words: int = HOT_WORDS) -> DataFrame:
@@ -158,34 +165,37 @@ def score(docs: DataFrame, training: Column, path: str | None = None, hot_words:
     train_tokens = F.lit(words.agg(F.max("train_tokens")).first()[0]).cast("long")
 
     # A text without a frequent word still needs a row, and rare words of one text are counted together: frequent words
-    # fall under one key of the text, a blank and its digest, which no word of the other table equals.
-    named = docs.select("doc_id", F.xxhash64("text").alias("content"), F.concat(words_of(F.col("text")), F.array(F.lit(END))).alias("w"))
-    tokens = named.select("doc_id", "content", F.explode("w").alias("word"))
-    frequent = words.where(hot).select("word", "known", "base", "lattice")
-    matched = tokens.join(F.broadcast(frequent), "word", "left")
-    rare = F.when(F.col("known").isNull(), F.col("word")).otherwise(F.concat(F.lit(END * 2), F.col("content").cast("string")))
-    parts = matched.groupBy("doc_id", "content", rare.alias("rare")).agg(
+    # fall under one key of the text, two blanks and its hash, which no key of the other table equals.
+    content = [F.xxhash64("text").alias("content"), F.hash("text").alias("check")]
+    named = docs.select(*content, F.concat(words_of(F.col("text")), F.array(F.lit(END))).alias("w"))
+    tokens = named.select("content", "check", F.explode("w").alias("word")).select("content", "check", _key(F.col("word")).alias("key"))
+    frequent = words.where(hot).select(_key(F.col("word")).alias("key"), "known", "base", "lattice")
+    matched = tokens.join(F.broadcast(frequent), "key", "left")
+    rare = F.when(F.col("known").isNull(), F.col("key")).otherwise(F.concat(F.lit(END * 2), F.col("content").cast("string")))
+    parts = matched.groupBy("content", "check", rare.alias("rare")).agg(
         F.count("*").alias("n"),
-        F.sum((F.col("word") == END).cast("long")).alias("ends"),
+        F.sum((F.col("key") == END).cast("long")).alias("ends"),
         *[F.sum(c).alias(f"hot_{c}") for c in ("known", "base", "lattice")],
     )
-    others = words.where(~hot).select(F.col("word").alias("rare"), "known", "base", "lattice")
+    others = words.where(~hot).select(_key(F.col("word")).alias("rare"), "known", "base", "lattice")
     joined = parts.join(others.hint("merge"), "rare", "left")
 
     def total(c: str) -> Column:
         return F.sum(F.coalesce(f"hot_{c}", F.lit(0)) + F.coalesce(F.col(c) * F.col("n"), F.lit(0)))
 
-    # Each row has one end, so equal rows are as many as ends under their key.
-    sums = joined.groupBy("doc_id", "content").agg(
+    # Each row has one end, so a text has as many rows as ends under its key.
+    sums = joined.groupBy("content", "check").agg(
         F.sum("n").alias("n"), F.sum("ends").alias("rows"), *[total(c).alias(c) for c in ("known", "base", "lattice")]
     )
     single = sums.select(
-        "doc_id",
+        F.col("content").alias("of_content"),
+        F.col("check").alias("of_check"),
         F.expr("n div rows").alias("n_tokens"),
         F.expr("known div rows").alias("n_known"),
-        train_tokens.alias("train_tokens"),
         (F.col("base") / F.col("rows")).alias("base_score"),
         (F.col("lattice") / F.col("rows")).alias("score"),
-        F.explode(F.sequence(F.lit(1), F.col("rows"))).alias("copy"),
     )
-    return single.drop("copy")
+    same = (F.col("content") == F.col("of_content")) & (F.col("check") == F.col("of_check"))
+    # A text that many rows have is a hot key of the rows, where adaptive execution splits it.
+    scored = docs.select("doc_id", *content).join(single.hint("merge"), same)
+    return scored.select("doc_id", "n_tokens", "n_known", train_tokens.alias("train_tokens"), "base_score", "score")
