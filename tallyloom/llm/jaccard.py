@@ -15,11 +15,13 @@ fragment by itself, and the counts are added up per pair. Which pairs are counte
 A sketch has one bit for each of 256 groups of n-grams, set if the set has an odd number of them. Two sketches differ in
 no more bits than the sets differ in n-grams, so the bound never loses a pair.
 
-Step 4 makes the result exact: two similar classes are in one component after step 3, or are compared in step 4.
+Step 4 makes the result exact: two similar classes are in one component after step 3, or are compared in step 4. Exact
+up to hashing, that is: n-grams are 64-bit hashes that are not compared with their words. Two of N distinct n-grams share
+a hash with a probability of N * N / 2 ** 65 (about 0.03 for 10 ** 9), and one such pair can change an overlap by one.
 
 Defined cases: texts that are null, or have no words, have empty sets and are linked with nothing; rows that repeat an
-id are compared one by one; rows without an id get the component of equal sets, if there are any with an id, and else
-none; columns besides `doc_id` and `text` are not read by `components`, and kept by `keep_one`. For `keep_one` every row
+id are compared one by one; rows without an id are linked like any others and get the smallest id of their component, or
+none where no row has one; columns besides `doc_id` and `text` are not read by `components`, and kept by `keep_one`. For `keep_one` every row
 is a document of its own, whatever its id.
 """
 
@@ -34,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import BROADCAST_LIMIT_BYTES, join_small, stored, unused
+from tallyloom.operators.lookup import Lookup, lookup_join
 
 N = 4
 PERCENT = 85
@@ -107,7 +110,7 @@ def _extra(n: Column) -> Column:
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, n_grams, the class (h1, h2) and the first n-grams (upper halves) of the set in order of their hashes."""
+    """doc_id, content (hash of the text), n_grams, the class (h1, h2) and the first n-grams (upper halves) by their hashes."""
 
     @F.pandas_udf("n_grams long, h1 long, h2 long, first array<int>")
     def outline(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -117,18 +120,17 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
                 grams = gram_set(text, n)
                 seen = len(grams) * (100 - percent) // 100 + len(grams) // 10 + 1
                 rows.append((len(grams), *class_of(grams), (grams[:seen] >> 32).astype(np.int32)))
+            del texts  # before the next batch is read
             yield pd.DataFrame(rows, columns=["n_grams", "h1", "h2", "first"])
+            del rows
 
-    return docs.select("doc_id", outline("text").alias("o")).select("doc_id", "o.*")
+    found = docs.select("doc_id", F.xxhash64("text").alias("content"), outline("text").alias("o"))
+    return found.select("doc_id", "content", "o.*")
 
 
-def _survivors(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Classes that share enough of their first n-grams with others: h1, h2, representative and n_grams."""
-    named = classes.where("representative is not null and n_grams > 0").select(
-        F.col("h1").alias("c1"), F.col("h2").alias("c2"), "representative"
-    )
-    same = (F.col("doc_id") == F.col("representative")) & (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2"))
-    one_each = stored(rows.join(named.hint("merge"), same).select("h1", "h2", "representative", "n_grams", "first"), "classes")
+def _survivors(classes: DataFrame, percent: int) -> DataFrame:
+    """Classes that share enough of their first n-grams with others: h1, h2, representative, content and n_grams."""
+    one_each = classes.where("n_grams > 0")
     grams = one_each.select("h1", F.explode("first").alias("gram"))
     shared = grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("shared"))
     common = grams.join(stored(shared, "shared-grams").hint("merge"), F.col("gram") == F.col("shared"), "left_semi")
@@ -140,14 +142,26 @@ def _survivors(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) -> DataFrame:
     """h1, representative, n_grams and the set's shared n-grams in global order: structs of order and gram."""
-    wanted = survivors.select("h1", "h2", "representative")
-    texts = join_small(docs.select("doc_id", "text"), wanted, F.col("doc_id") == F.col("representative"), "inner", limit)
+    wanted = survivors.select("h1", "h2", "representative", "content")
+    same_text = F.xxhash64("text") == F.col("content")
+
+    def texts_of(some: DataFrame, same_id: Column) -> DataFrame:
+        found = join_small(docs.select("doc_id", "text"), some, same_id & same_text, "inner", limit)
+        return found.select("h1", "h2", "text")
+
+    texts = texts_of(wanted.where("representative is not null"), F.col("doc_id") == F.col("representative"))
+    nameless = wanted.where("representative is null")
+    if not nameless.isEmpty():
+        # Classes whose rows all lack an id: any number of rows may have the text.
+        texts = texts.union(texts_of(nameless, F.col("doc_id").isNull()).dropDuplicates(["h1", "h2"]))
 
     def sets_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for h1, h2, text in zip(batch["h1"], batch["h2"], batch["text"], strict=True):
+            rows = list(zip(batch["h1"], batch["h2"], batch["text"], strict=True))
+            del batch
+            for h1, h2, text in rows:
                 grams = gram_set(text, n)
-                if class_of(grams) == (h1, h2):  # another row may have the same id
+                if class_of(grams) == (h1, h2):  # another text may have the same id and hash
                     yield pd.DataFrame({"h1": h1, "gram": grams})
 
     # Sets are computed once more for the few survivors instead of being kept for all documents.
@@ -157,7 +171,7 @@ def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) ->
     top = (1 << _DF_BITS) - 1
     order = F.shiftleft(F.least("df", F.lit(top)), 63 - _DF_BITS).bitwiseOR(F.shiftrightunsigned("gram", _DF_BITS + 1))
     ordered = common.groupBy("h1").agg(F.sort_array(F.collect_set(F.struct(order.alias("place"), "gram"))).alias("ordered"))
-    return survivors.drop("h2").join(ordered.hint("merge"), "h1")
+    return survivors.drop("h2", "content").join(ordered.hint("merge"), "h1")
 
 
 def _sketches(ordered: str) -> list[Column]:
@@ -280,7 +294,8 @@ def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFr
     most = F.least(_most_shared(), F.least("pos_a", "pos_b") + 1 + F.least("after_a", "after_b"))
     after = F.col("n_shared") - F.col("pos")
     single = F.min("h1") == F.max("h1")
-    parts = rows.groupBy("gram", "component").agg(
+    band = _size_band(F.col("n_grams"), percent).alias("band")
+    parts = rows.groupBy("gram", "component", band).agg(
         F.min("n_grams").alias("n_grams"),
         F.max("n_shared").alias("n_shared"),
         F.max("pos").alias("pos"),
@@ -290,30 +305,35 @@ def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFr
     parts = stored(parts, "parts")
 
     def part(name: str) -> DataFrame:
-        places = [F.col(c).alias(f"{c}_{name}") for c in ("component", "pos", "after")]
+        places = [F.col(c).alias(f"{c}_{name}") for c in ("component", "band", "pos", "after")]
         return parts.select("gram", *places, *_side(name))
 
-    crossings = part("a").join(part("b").hint("merge"), "gram").where("component_a < component_b")
-    bounds_b = [f"{c}_b" for c in ("component", "n", "s", "pos", "after", *(f"k{i}" for i in range(_SKETCH)))]
-    crossings = crossings.where(_possible("n_a", "n_b", most, percent)).select("gram", "component_a", *bounds_b)
+    # Similar sets lie in the same band of sizes or in neighbouring ones.
+    near = F.explode(F.array(*[F.col("band_b") + i for i in (-1, 0, 1)])).alias("band_a")
+    crossings = part("a").join(part("b").select("*", near).hint("merge"), ["gram", "band_a"]).where("component_a < component_b")
+    bounds_b = [f"{c}_b" for c in ("component", "band", "n", "s", "pos", "after", *(f"k{i}" for i in range(_SKETCH)))]
+    crossings = crossings.where(_possible("n_a", "n_b", most, percent)).select("gram", "component_a", "band_a", *bounds_b)
 
     def side(name: str) -> DataFrame:
-        places = [F.col("h1").alias(name), F.col("component").alias(f"component_{name}"), F.col("pos").alias(f"pos_{name}")]
-        return rows.select("gram", *places, after.alias(f"after_{name}"), *_side(name))
+        places = [F.col("h1").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in ("component", "pos"))]
+        of_band = _size_band(F.col("n_grams"), percent).alias(f"band_{name}")
+        return rows.select("gram", *places, of_band, after.alias(f"after_{name}"), *_side(name))
 
     # A class of a large component need not meet what only another class of its component may be similar to.
-    left = crossings.join(side("a").hint("merge"), ["gram", "component_a"]).where(_possible("n_a", "n_b", most, percent))
-    left = left.drop(*(c for c in bounds_b if c != "component_b"))
-    pairs = left.join(side("b").hint("merge"), ["gram", "component_b"])
+    left = crossings.join(side("a").hint("merge"), ["gram", "component_a", "band_a"])
+    left = left.where(_possible("n_a", "n_b", most, percent)).drop(*(c for c in bounds_b if c not in ("component_b", "band_b")))
+    pairs = left.join(side("b").hint("merge"), ["gram", "component_b", "band_b"])
     return pairs.where(_possible("n_a", "n_b", most, percent)).select("a", "b", "n_a", "n_b").distinct()
 
 
 def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: int = FRAGMENTS, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """doc_id, n_shingles (the size of its set) and component_id (the smallest id reachable by links) of every row."""
     rows = stored(_classes(docs, n, percent), "first-grams")
-    classes = rows.groupBy("h1", "h2", "n_grams").agg(F.min("doc_id").alias("representative"))
-    classes = stored(classes, "classes")
-    survivors = stored(_survivors(rows, classes, percent), "survivors")
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("one")
+    classes = rows.groupBy("h1", "h2", "n_grams").agg(one, F.first("first").alias("first"))
+    named = [F.col("one.doc_id").alias("representative"), F.col("one.content").alias("content")]
+    classes = stored(classes.select("h1", "h2", "n_grams", *named, "first"), "classes")
+    survivors = stored(_survivors(classes, percent), "survivors")
     sets = stored(_ordered_sets(docs, survivors, n, limit), "ordered-sets")
     segments = stored(_fragments(sets, fragments), "segments")
 
@@ -335,13 +355,14 @@ def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: i
 
     names = survivors.join(labels.hint("merge"), "h1").select("component", "representative", "h1")
     smallest = names.groupBy("component").agg(F.min("representative").alias("smallest"))
-    named = names.join(smallest.hint("merge"), "component").select(F.col("h1").alias("node"), "smallest")
-    of_class = classes.join(named.hint("merge"), F.col("h1") == F.col("node"), "left")
+    named = lookup_join(names, Lookup(smallest, "component", {"smallest": "smallest"}), "component")
+    named = named.select(F.col("h1").alias("node"), "smallest")
+    of_class = classes.drop("first").join(named.hint("merge"), F.col("h1") == F.col("node"), "left")
     of_class = stored(
         of_class.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), F.coalesce("smallest", "representative").alias("component")),
         "class-components",
     )
-    joined = rows.drop("first").join(of_class.hint("merge"), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
+    joined = rows.drop("first", "content").join(of_class.hint("merge"), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
     component = F.when(F.col("n_grams") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return joined.select("doc_id", F.col("n_grams").alias("n_shingles"), component.alias("component_id"))
 
