@@ -5,7 +5,7 @@ statistics, a learned layer); gated attention, learned from document labels alon
 the weighted sum. Labels are learned from a bounded sample of labelled rows; every passage of every text is scored.
 
 Defined cases: null and empty texts are one passage without words; labels that are null are not learned from, and of
-repeated labels the larger counts; with no usable labels every score is 0.5, with one class only that class's share;
+repeated labels the larger counts, as does one text per id; with no usable labels every score is 0.5, with one class only that class's share;
 repeated rows and rows without an id are returned one for one; columns besides `doc_id` and `text` are not read.
 """
 
@@ -19,13 +19,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import join_small, sampled
+from tallyloom.llm.common import bounded_texts
 
 PASSAGE_WORDS = 64
 SAMPLE_ROWS = 3_000
+SAMPLE_BYTES = 16 * 1024 * 1024
 TRIGRAMS = 64
-#: Bytes of text that are encoded at a time.
+#: Bytes of text that are encoded at a time, and passages that are scored at a time.
 _CHUNK_BYTES = 1 << 20
+_BAG_PASSAGES = 4096
 
 _BLANK, _LOWER, _UPPER, _DIGIT, _STOP, _SYMBOL, _OTHER_ASCII, _HIGH, _LINE = range(9)
 _CLASSES = 9
@@ -45,26 +47,30 @@ def _class_table() -> np.ndarray:
 
 
 _CLASS = _class_table()
+_IS_BLANK = (_CLASS == _BLANK) | (_CLASS == _LINE)
 
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """The text in pieces of about a chunk, cut where a passage ends."""
-    if len(text) <= _CHUNK_BYTES:
-        yield text
-        return
-    raw = np.frombuffer(text, dtype=np.uint8)
-    blank = (_CLASS[raw] == _BLANK) | (raw == 10)
-    starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1])))[::PASSAGE_WORDS]
-    at = 0
-    for start in starts:
-        if start - at >= _CHUNK_BYTES:
-            yield text[at:start]
-            at = int(start)
-    yield text[at:]
-
-
-def passage_features(text: bytes) -> np.ndarray:
-    """One row of features per passage of a text; a text without words is one passage."""
+def _pieces(text: bytes, size: int) -> tuple[int, Iterator[tuple[bytes, bytes]]]:
+    """The number of words of a text, and the text in pieces of about `size` bytes, cut where a passage ends.
+
+    Each piece comes with the two bytes behind it, which its last trigrams need.
+    """
+    blank = _IS_BLANK[np.frombuffer(text, dtype=np.uint8)]
+    starts = np.flatnonzero(~blank & np.concatenate(([True], blank[:-1]))) if len(text) else np.zeros(0, dtype=np.int64)
+    cuts = [0]
+    for start in starts[PASSAGE_WORDS::PASSAGE_WORDS].tolist():
+        if start - cuts[-1] >= size:
+            cuts.append(start)
+    ends = [*cuts[1:], len(text)]
+    return len(starts), ((text[x:y], text[y : y + 2]) for x, y in zip(cuts, ends))
+
+
+def passage_features(text: bytes, n_words: int, before: np.uint64 | None = None, after: bytes = b"") -> tuple[np.ndarray, np.uint64 | None]:
+    """One row of features per passage of a piece of a text, and the hash of its last word.
+
+    `n_words` is the number of words of the whole text, `before` the hash of the word before the piece, `after` the
+    bytes behind it. A piece without words is one passage.
+    """
     raw = np.frombuffer(text, dtype=np.uint8)
     kinds = _CLASS[raw]
     blank = (kinds == _BLANK) | (kinds == _LINE)
@@ -74,7 +80,7 @@ def passage_features(text: bytes) -> np.ndarray:
     n = int(passage[-1]) + 1 if len(raw) else 1
     out = np.zeros((n, FEATURES))
     if not len(raw):
-        return out
+        return out, before
     classes = np.bincount(passage * _CLASSES + kinds, minlength=n * _CLASSES).reshape(n, _CLASSES)
     length = np.maximum(classes.sum(1), 1)
     out[:, :_CLASSES] = classes / length[:, None]
@@ -92,7 +98,8 @@ def passage_features(text: bytes) -> np.ndarray:
         per = np.bincount(of_word, minlength=n)
         many = np.maximum(per, 1)
         mean = np.bincount(of_word, weights=sizes, minlength=n) / many
-        same = np.concatenate(([False], words[1:] == words[:-1]))
+        same = np.concatenate(([before is not None and bool(words[0] == before)], words[1:] == words[:-1]))
+        before = words[-1]
         order = np.lexsort((words, of_word))
         first = np.ones(len(words), dtype=bool)
         first[1:] = (words[order][1:] != words[order][:-1]) | (of_word[order][1:] != of_word[order][:-1])
@@ -102,19 +109,25 @@ def passage_features(text: bytes) -> np.ndarray:
         out[:, at + 2] = np.bincount(of_word, weights=(sizes - mean[of_word]) ** 2, minlength=n) / many / 20
         out[:, at + 3] = np.bincount(of_word[order], weights=first, minlength=n) / many
         out[:, at + 4] = np.bincount(of_word, weights=same, minlength=n) / many
-        out[:, at + 5] = np.log1p(len(words)) / 10
+        out[:, at + 5] = np.log1p(n_words) / 10
 
-    if len(raw) > 2:
-        low = np.where(kinds == _UPPER, raw + 32, raw).astype(np.int64)
+    wide = np.concatenate((raw, np.frombuffer(after, dtype=np.uint8)))
+    if len(wide) > 2:
+        low = np.where(_CLASS[wide] == _UPPER, wide + 32, wide).astype(np.int64)
         trigrams = ((low[:-2] * 961 + low[1:-1] * 31 + low[2:]) * 2654435761 >> 12) % TRIGRAMS
-        found = np.bincount(passage[:-2] * TRIGRAMS + trigrams, minlength=n * TRIGRAMS).reshape(n, TRIGRAMS)
+        found = np.bincount(passage[: len(trigrams)] * TRIGRAMS + trigrams, minlength=n * TRIGRAMS).reshape(n, TRIGRAMS)
         out[:, -TRIGRAMS:] = np.sqrt(found / length[:, None])
-    return out
+    return out, before
 
 
-def document_features(text: str | None) -> np.ndarray:
-    raw = (text or "").encode("utf-8", "surrogatepass")
-    return np.concatenate([passage_features(piece) for piece in _pieces(raw)])
+def document_features(text: str | None, size: int = _CHUNK_BYTES) -> np.ndarray:
+    """The features of all passages of a text; in how many pieces they are worked out makes no difference."""
+    n_words, pieces = _pieces((text or "").encode("utf-8", "surrogatepass"), size)
+    rows, last = [], None
+    for piece, after in pieces:
+        features, last = passage_features(piece, n_words, last, after)
+        rows.append(features)
+    return np.concatenate(rows)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -204,22 +217,12 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, width: int = 24, gates: int
     return model
 
 
-def learn(docs: DataFrame, labels: DataFrame, rows_to_learn: Column, sample: int = SAMPLE_ROWS) -> Model:
-    """Fits a model on about `sample` labelled rows that meet the condition (on `doc_id`)."""
+def learn(docs: DataFrame, labels: DataFrame, rows_to_learn: Column, sample: int = SAMPLE_ROWS, size: int = SAMPLE_BYTES) -> Model:
+    """Fits a model on at most `sample` labelled texts, `size` bytes in all, that meet the condition (on `doc_id`)."""
     usable = labels.where(rows_to_learn & F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
-    chosen = sampled(usable.groupBy("doc_id").agg(F.max("quality").alias("label")), F.col("doc_id"), sample)
-    chosen = chosen.withColumnRenamed("doc_id", "labelled_id")
-    texts = join_small(docs.select("doc_id", "text"), chosen, F.col("doc_id") == F.col("labelled_id"), "inner")
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            features = [document_features(text).astype(np.float32).tobytes() for text in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "label": batch["label"], "features": features})
-
-    encoded = texts.select("doc_id", "label", "text").mapInPandas(encode, "doc_id long, label int, features binary")
-    rows = sorted(encoded.collect(), key=lambda row: (row.doc_id, bytes(row.features)))
-    bags = [np.frombuffer(row.features, dtype=np.float32).reshape(-1, FEATURES).astype(float) for row in rows]
-    return fit(bags, np.array([float(row.label > 0) for row in rows]))
+    usable = usable.groupBy("doc_id").agg((F.max("quality") > 0).alias("label")).withColumn("stratum", F.lit(0))
+    rows = bounded_texts(docs, usable, sample, size)
+    return fit([document_features(row.text) for row in rows], np.array([float(row.label) for row in rows]))
 
 
 def score(docs: DataFrame, model: Model, *kept: Column, threshold: float = 0.3) -> DataFrame:
@@ -231,11 +234,13 @@ def score(docs: DataFrame, model: Model, *kept: Column, threshold: float = 0.3)
         for texts in batches:
             found: list[float] = []
             bags: list[np.ndarray] = []
+            held = 0
             for text in texts:
                 bags.append(document_features(text))
-                if len(bags) == 256:
+                held += len(bags[-1])
+                if held >= _BAG_PASSAGES:
                     found += shared.value.scores(bags).tolist()
-                    bags = []
+                    bags, held = [], 0
             yield pd.Series(found + (shared.value.scores(bags).tolist() if bags else []), dtype="float64")
 
     rows = docs.select("doc_id", *kept, judge("text").alias("score"))
