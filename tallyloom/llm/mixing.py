@@ -134,8 +134,15 @@ def _document_key() -> Column:
     return F.md5(F.concat_ws("|", number, _source_key(F.col("source")), F.md5(F.coalesce("text", F.lit("")))))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """Tells rows apart by all of their columns; rows that share it are alike."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "source", "text")]
+    rest = F.md5(F.to_json(F.struct(*others))) if others else F.lit("")
+    return F.concat(_document_key(), rest)
+
+
 def realise(docs: DataFrame, quotas: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 0) -> DataFrame:
-    """block, place (in the block, from 1), doc_id, document (key), source, epoch and n_tokens of every document taken."""
+    """block, place (in the block, from 1), doc_id, row (key), source, epoch and n_tokens of every document taken."""
     total = quotas.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / block_tokens))
     rows = docs.select(
@@ -143,6 +150,7 @@ def realise(docs: DataFrame, quotas: DataFrame, block_tokens: int = BLOCK_TOKENS
         "source",
         _source_key(F.col("source")).alias("key"),
         _document_key().alias("document"),
+        _row_key(docs).alias("row"),
         token_count(F.col("text")).alias("n_tokens"),
     )
     taken = join_small(rows, quotas.where("quota > 0"), F.col("key") == F.col("source_key"), "inner")
@@ -157,29 +165,31 @@ def realise(docs: DataFrame, quotas: DataFrame, block_tokens: int = BLOCK_TOKENS
     sums = taken.groupBy(*group).agg(F.sum("n_tokens").alias("bucket_tokens"))
     earlier = Window.partitionBy("key", "epoch").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.withColumn("before", F.coalesce(F.sum("bucket_tokens").over(earlier), F.lit(0))).drop("bucket_tokens")
-    inside = Window.partitionBy(*group).orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*group).orderBy("order", "row").rowsBetween(Window.unboundedPreceding, -1)
     running = taken.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
     placed = running.join(before, group).withColumn("start", F.expr("epoch * tokens + before + inside"))
     within = placed.where("start < quota")
     per_block = F.expr(f"(quota + {blocks - 1}) div {blocks}")
     blocked = within.withColumn("per_block", per_block).withColumn("block", F.expr("start div per_block"))
-    shuffled = Window.partitionBy("block").orderBy(F.substring("order", 17, 16), "order")
+    shuffled = Window.partitionBy("block").orderBy(F.substring("order", 17, 16), "order", "row")
     place = F.row_number().over(shuffled).cast("long")
-    return blocked.select("block", place.alias("place"), "doc_id", "document", "source", "epoch", "n_tokens")
+    return blocked.select("block", place.alias("place"), "doc_id", "row", "source", "epoch", "n_tokens")
 
 
 def mix(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 0, **target) -> DataFrame:
     """The realised mixture: block, place, doc_id, source, epoch and n_tokens. `target` goes to `budgets`."""
+    docs = docs.select("doc_id", "source", "text")
     quotas = stored(budgets(docs, **target), "source-quotas")
-    return realise(docs, quotas, block_tokens, seed).drop("document")
+    return realise(docs, quotas, block_tokens, seed).drop("row")
 
 
 def mix_texts(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, seed: int = 0, **target) -> DataFrame:
     """The mixture with all columns of `docs`, and block, place and epoch under names that `docs` does not use."""
     quotas = stored(budgets(docs, **target), "source-quotas")
     names = {name: unused(docs.columns, name) for name in ("block", "place", "epoch")}
-    key, order_key = unused(docs.columns, "document"), unused(docs.columns, "ordered_document")
-    order = realise(docs, quotas, block_tokens, seed).select(F.col("document").alias(order_key), *names)
-    texts = docs.withColumn(key, _document_key()).dropDuplicates([key])
+    key, order_key = unused(docs.columns, "row_key"), unused(docs.columns, "ordered_row")
+    order = realise(docs, quotas, block_tokens, seed).select(F.col("row").alias(order_key), *names)
+    # Rows alike in all columns are in the order as often as they occur, and stand for each other.
+    texts = docs.withColumn(key, _row_key(docs)).dropDuplicates([key])
     joined = texts.join(order.withColumnsRenamed(names).hint("merge"), F.col(key) == F.col(order_key))
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], *names.values())
