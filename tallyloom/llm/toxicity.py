@@ -236,13 +236,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 0.05
     return weights
 
 
-def fit(texts: Sequence[str], labels: Sequence[bool]) -> Model:
-    """Dictionaries from two of three texts, thresholds and score from the others."""
+def fit(texts: Sequence[str], labels: Sequence[bool], share: float | None = None) -> Model:
+    """Dictionaries from two of three texts, thresholds and score from the others.
+
+    `share` is the share of toxic labels among all of them, if the sample has another.
+    """
     y = np.array(labels, dtype=bool)
-    if not len(y):
-        return Model(constant=0.5)
-    if y.all() or not y.any():
-        return Model(constant=float(y.mean()))
+    share = share if share is not None or not len(y) else float(y.mean())
+    if not len(y) or y.all() or not y.any():
+        return Model(constant=0.5 if share is None else share)
     rank = np.empty(len(y), dtype=np.int64)  # place among the texts of the same label
     for label in (False, True):
         rank[y == label] = np.arange((y == label).sum())
@@ -254,7 +256,7 @@ def fit(texts: Sequence[str], labels: Sequence[bool]) -> Model:
     ordinary = [text for text, label, use in zip(texts, y, shown) if use and not label]
     words = standing_out(toxic, ordinary)
     if not words:
-        return Model(constant=float(y.mean()))
+        return Model(constant=share)
     tail = b"".join(reversed(words))
     base = _base(ordinary)
     model = Model(base + bytes(len(tail)), base + tail)
@@ -263,6 +265,8 @@ def fit(texts: Sequence[str], labels: Sequence[bool]) -> Model:
     model.threshold = max(1, int(np.quantile(saved, 1 - FALSE_WINDOWS)) + 1) if len(saved) else 1
     tested = [text for text, use in zip(texts, unseen) if use]
     model.weights = _logistic(model.features(tested), y[unseen].astype(float))
+    drawn = float(y[unseen].mean())
+    model.weights[-1] += np.log(share / (1 - share)) - np.log(drawn / (1 - drawn))
     return model
 
 
@@ -271,9 +275,10 @@ def learn(
 ) -> Model:
     """Fits a model on at most `rows` texts of either label that meet the condition (on `doc_id`), `size` bytes in all."""
     usable = labels.where(rows_to_learn & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    usable = usable.groupBy("doc_id").agg((F.max("toxic") > 0).alias("label"))
+    usable = usable.groupBy("doc_id").agg((F.max("toxic") > 0).alias("label")).withColumn("stratum", F.col("label"))
     sample = bounded_texts(docs, usable, rows, size)
-    return fit([row.text for row in sample], [row.label for row in sample])
+    share = usable.agg(F.avg(F.col("label").cast("double"))).first()[0]
+    return fit([row.text for row in sample], [row.label for row in sample], share)
 
 
 def score(docs: DataFrame, model: Model, *kept: Column, threshold: float = 0.5) -> DataFrame:
