@@ -13,6 +13,7 @@ from tallyloom.operators import quality
 from tallyloom.plans import intl_exp, specs, term_labels
 from tallyloom.plans.schema import REQUIRED_COLUMNS
 from tallyloom.sources import deliveries, ingest, ledger
+from tallyloom.sources.arrivals import missing_days_of, note_arrivals
 from tallyloom.sources.workspace import new_folder
 from tallyloom.streaming import pickup
 
@@ -401,6 +402,81 @@ def _redelivered(spark, sf_dir):
     return spark.table(tables[0]).select("id", "MAJOR")
 
 
+def _term_moved(spark, sf_dir):
+    """Files that first name wrong terms for a third of their rows are delivered again with the right ones.
+
+    The wrong terms are in the first versions only; their rows must be gone from the output.
+    """
+    database, inbox, checkpoint = scratch_database(spark), new_folder(spark, "inbox"), new_folder(spark, "stream")
+    tables = f"{database}.stage", f"{database}.ledger"
+
+    def refresh(files):
+        build = lambda stage: {"intl_exp": intl_exp.cleaned(stage)}
+        pickup.rebuild_terms(spark, tables[0], files, build, database, ["intl_exp"], term_of=lenient_term)
+
+    rows = carrier.stage(spark, sf_dir).select("id", "student_id", "term", *_ANSWERS)
+    wrong = F.when(F.col("id") % 3 == 0, F.concat(F.lit("9"), F.col("id") % 5)).otherwise(F.col("term"))
+    for delivered in (rows.withColumn("term", wrong), rows):
+        _deliver_named(spark, delivered, inbox, "part")
+        pickup.pick_up(spark, inbox, checkpoint, *tables, _STREAM_SPEC, refresh).awaitTermination()
+        pickup.catch_up(spark, inbox, *tables, _STREAM_SPEC, refresh)
+    return spark.table(f"{database}.intl_exp").select(*intl_exp.DIRECT_COLUMNS)
+
+
+_TERM_MOVED_SQL = INTL_CLEANED_SQL.replace("FROM stage WHERE", "FROM (SELECT * REPLACE (nullif(term, '') AS term) FROM stage) WHERE")
+
+
+def _streamed_surplus(spark, sf_dir):
+    """Cells beyond the header, found where the stream puts them by default."""
+    database, inbox, checkpoint = scratch_database(spark), new_folder(spark, "inbox"), new_folder(spark, "stream")
+    orders = carrier.table(spark, sf_dir, "orders")
+    line = F.concat_ws(",", "o_orderkey", "o_orderpriority", F.when(F.col("o_orderkey") % 3 == 0, "extra"))
+    orders.select(line.alias("key,priority")).write.option("header", True).option("sep", "\t").csv(inbox)
+    spec = ingest.IngestSpec(columns={"key": "key", "priority": "priority"})
+    pickup.pick_up(spark, inbox, checkpoint, f"{database}.stage", f"{database}.ledger", spec).awaitTermination()
+    found = spark.table(f"{database}.stage__surplus")
+    return found.select("n_columns", F.col("n_cells").cast("int").alias("n_cells"), "record")
+
+
+def _multiline(spark, sf_dir):
+    """Cells and a header name with line breaks, quotes and commas."""
+    folder = new_folder(spark, "deliveries")
+    orders = carrier.table(spark, sf_dir, "orders")
+    remark = F.concat("o_orderpriority", F.lit('\n"'), F.col("o_orderkey").cast("string"), F.lit('",\n'))
+    _deliver(orders.select("o_orderkey", remark.alias("two\nlines"), F.col("o_orderpriority").alias("priority")), folder)
+    files = deliveries.inspect_files(spark, folder)
+    return ingest.read_deliveries(spark, files).select("o_orderkey", F.col("`two\nlines`").alias("remark"), "priority")
+
+
+def _compacted(spark, sf_dir):
+    """A folder a day for seven days, a ledger that is compacted every second run, and a last run that finds nothing new."""
+    database, inbox = scratch_database(spark), new_folder(spark, "inbox")
+    stage, book = f"{database}.stage", f"{database}.ledger"
+    orders = carrier.table(spark, sf_dir, "orders").selectExpr("o_orderkey % 7 AS folder", "o_orderkey AS id")
+    spec = ingest.IngestSpec(columns={"id": "id"})
+    for folder in range(8):
+        if folder < 7:
+            _deliver(orders.where(F.col("folder") == folder).select("id").coalesce(2), f"{inbox}/day={folder}")
+        ledger.load_deliveries(spark, inbox, stage, book, spec, compact_after_runs=2)
+    rows = spark.table(stage).groupBy("FILE_ID", (F.col("id").cast("long") % 7).alias("folder")).agg(F.count("*").alias("n"))
+    noted = rows.join(spark.table(book).select("file_id"), F.col("FILE_ID") == F.col("file_id"), "left")
+    return noted.groupBy("folder").agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("file_id").isNotNull()).alias("noted"))
+
+
+def _missing_days_kept(spark, sf_dir):
+    """Ranges of days that six loads extend, each with the orders of one remainder by customer."""
+    table = f"{scratch_database(spark)}.days"
+    orders = carrier.table(spark, sf_dir, "orders")
+    for part in range(6):
+        note_arrivals(spark, table, orders.where(F.col("o_custkey") % 6 == part), "o_orderdate")
+    return missing_days_of(spark, table).select(F.col("missing_date").cast("string").alias("missing_date"))
+
+
+_SHARED_DAYS_SQL = """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate IS NOT NULL)
+SELECT CAST(d AS VARCHAR) AS missing_date FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS d FROM days)
+WHERE d NOT IN (SELECT day FROM days)"""
+
+
 CASES = [
     Case("csv_odd_names", "A1", _odd_names, f"{S}SELECT CAST(id AS VARCHAR) AS id, nullif(student_id, '') AS STUDENT_ID, nullif(plans_other, '') AS MAJOR FROM stage"),
     Case(
@@ -522,15 +598,25 @@ SELECT CAST(d AS VARCHAR) AS missing_date FROM (SELECT CAST(unnest(generate_seri
 WHERE d NOT IN (SELECT day FROM days)""",
     ),
     Case(
-        "missing_days_by_large_orders",
+        "missing_days_of_shipments",
         "A13",
-        lambda s, d: quality.missing_days(
-            carrier.table(s, d, "orders"), F.when(F.col("o_totalprice") > 450000, F.col("o_orderdate"))
-        ).select(F.col("missing_date").cast("string").alias("missing_date")),
-        """WITH days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_totalprice > 450000)
+        lambda s, d: quality.missing_days(carrier.table(s, d, "lineitem"), "l_shipdate").select(
+            F.col("missing_date").cast("string").alias("missing_date")
+        ),
+        """WITH days AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS day FROM lineitem WHERE l_shipdate IS NOT NULL)
 SELECT CAST(d AS VARCHAR) AS missing_date FROM (SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS d FROM days)
 WHERE d NOT IN (SELECT day FROM days)""",
     ),
+    Case("missing_days_incremental", "A13", _missing_days_kept, _SHARED_DAYS_SQL),
+    Case("csv_multiline_split", "A1", _multiline, "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority || chr(10) || '\"' || o_orderkey || '\",' || chr(10) AS remark, o_orderpriority AS priority FROM orders"),
+    Case("ledger_compacted", "A7", _compacted, "SELECT o_orderkey % 7 AS folder, count(*) AS n_rows, true AS noted FROM orders GROUP BY ALL"),
+    Case("streaming_redelivered_term_moved", "K1", _term_moved, _TERM_MOVED_SQL),
+    Case(
+        "streaming_surplus_cells",
+        "K1",
+        _streamed_surplus,
+        "SELECT 2 AS n_columns, 3 AS n_cells, CAST(o_orderkey AS VARCHAR) || ',' || o_orderpriority || ',extra' AS record FROM orders WHERE o_orderkey % 3 = 0",
+    ),
     Case(
         "missing_days_of_events",
         "A13",

@@ -9,7 +9,9 @@ from harness.case import Case
 from harness.row_cases import INTL_DIRECT_SQL, ticked_sql
 from harness.work import scratch_database
 from tallyloom.operators import quality, upkeep
+from tallyloom.operators.generations import AuditError
 from tallyloom.plans import conn_to_psu, intern, intl_exp, learned, response, runs, specs, stud_attr, term_labels
+from tallyloom.plans.schema import REQUIRED_COLUMNS
 from tallyloom.sources import lookups as lookup_source
 from tallyloom.sources import sinks
 from tallyloom.sources.workspace import new_folder
@@ -305,6 +307,18 @@ def _full_run_stored(times):
     return run
 
 
+def _full_run_audited(spark, sf_dir):
+    """A run whose checks fail publishes nothing; the next one passes, and its counts were taken while it wrote."""
+    database = scratch_database(spark)
+    stage, lookups = carrier.stage(spark, sf_dir), _response_lookups(spark, sf_dir)
+    try:
+        runs.run_full(stage, lookups, database, checks=[runs.share_without_id(0.0)])
+        raise AssertionError("respondents without an id must not pass")
+    except AuditError:
+        pass
+    return runs.run_full(stage, lookups, database, checks=[runs.share_without_id(0.5), runs.not_empty("response", "intern")])
+
+
 def _labels_stored(spark, sf_dir):
     """The stored dimension after an early stage and the whole one."""
     database = scratch_database(spark)
@@ -340,7 +354,22 @@ UPKEEP = [
     Case("full_refresh_builder", "I4", _refreshed_builder, INTL_CLEANED_SQL),
     Case("full_run_stored", "I4, I6", _full_run_stored(1), _FULL_COUNTS_SQL),
     Case("full_run_stored_twice", "I4, I6", _full_run_stored(2), _FULL_COUNTS_SQL),
+    Case("full_run_audited", "I5, I6, I7", _full_run_audited, _FULL_COUNTS_SQL),
     Case("label_dimension_stored", "I3", _labels_stored, LABELS_SQL),
+    Case(
+        "required_columns_of_stage",
+        "I5",
+        lambda s, d: quality.missing_columns(carrier.stage(s, d).drop("term", "EMP_salary"), REQUIRED_COLUMNS),
+        "SELECT column_name FROM (VALUES ('term'), ('EMP_salary')) AS missing(column_name)",
+    ),
+    Case(
+        "load_timestamp_given",
+        "B23",
+        lambda s, d: intern.cleaned(carrier.stage(s, d), F.lit("2024-01-02 03:04:05").cast("timestamp")).select(
+            "stud_id", "term", "intern_numb", F.col("load_date").cast("string").alias("load_date")
+        ),
+        f"SELECT stud_id, term, intern_numb, '2024-01-02 03:04:05' AS load_date FROM ({INTERN_CLEANED_SQL})",
+    ),
     Case("full_run_row_counts", "I4, I6", _full_run_counts, _FULL_COUNTS_SQL),
     Case(
         "dropped_respondent_ids",
@@ -439,6 +468,22 @@ def _appended(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _appended_once(spark, sf_dir):
+    """Two appends, each repeated under its token, the first with other rows."""
+    table = f"{scratch_database(spark)}.kept"
+    stage = carrier.stage(spark, sf_dir)
+    for token, rows in (("first", stage), ("first", _late(spark, sf_dir)), ("it's \\ two", _late(spark, sf_dir)), ("it's \\ two", _late(spark, sf_dir))):
+        sinks.append_once(conn_to_psu.direct(rows), table, token)
+    return spark.table(table).drop(sinks.TOKEN_COLUMN)
+
+
+def _refreshed_in_one_step(spark, sf_dir):
+    table = f"{scratch_database(spark)}.kept"
+    sinks.refresh_table(conn_to_psu.direct(carrier.stage(spark, sf_dir)), table)
+    sinks.refresh_table(conn_to_psu.direct(_late(spark, sf_dir)), table)
+    return spark.table(table)
+
+
 def _refreshed(spark, sf_dir):
     path = new_folder(spark, "refresh")
     sinks.full_refresh(conn_to_psu.direct(carrier.stage(spark, sf_dir)), path)
@@ -472,6 +517,8 @@ _CONN = f"SELECT student_id AS stud_id, term, {_CONN_FIRST} AS conn_to_psu FROM
 
 SINKS = [
     Case("sink_append", "A15", _appended, f"{S}{_CONN}\nUNION ALL\n{_CONN} AND {_LATE}"),
+    Case("append_repeated_token", "A15", _appended_once, f"{S}{_CONN}\nUNION ALL\n{_CONN} AND {_LATE}"),
+    Case("table_refreshed_in_one_step", "A16", _refreshed_in_one_step, f"{S}{_CONN} AND {_LATE}"),
     Case("sink_full_refresh", "A16", _refreshed, f"{S}{_CONN} AND {_LATE}"),
     Case(
         "dry_run_leaves_target",

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.keys import strict_id
@@ -50,6 +51,17 @@ def watch(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     return df.observe(observation, *[metric.alias(name) for name, metric in metrics.items()]), observation
 
 
+def observed(observation: Observation, *names: str) -> dict[str, int]:
+    """The counters of `watch` once the frame was written.
+
+    A frame that the optimiser knows to be empty is never run, and its observation gets no row: all counters are 0.
+    """
+    try:
+        return observation.get
+    except Py4JError:
+        return dict.fromkeys(names, 0)
+
+
 def missing_days(arrivals: DataFrame, arrived: str | Column, alias: str = "missing_date") -> DataFrame:
     """Calendar days between the first and last arrival on which nothing arrived.
 
@@ -62,5 +74,31 @@ def missing_days(arrivals: DataFrame, arrived: str | Column, alias: str = "missi
     return calendar.join(days, alias, "left_anti")
 
 
+def day_ranges(arrivals: DataFrame, arrived: str | Column) -> DataFrame:
+    """The days on which something arrived as disjoint ranges (first, last) that do not touch each other.
+
+    The arrivals shrink to distinct days before anything else happens.
+    """
+    days = arrivals.select(column(arrived).cast("date").alias("day")).where(F.col("day").isNotNull()).distinct()
+    return merged_ranges(days.select(F.col("day").alias("first"), F.col("day").alias("last")))
+
+
+def merged_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges of days (first, last) that overlap or touch, as one. No larger than a calendar, whatever arrived."""
+    distinct = ranges.groupBy("first").agg(F.max("last").alias("last"))
+    in_order = Window.orderBy("first")
+    reach = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("first") > F.date_add(reach, 1), F.lit(True))
+    numbered = distinct.withColumn("begins", begins.cast("int")).withColumn("number", F.sum("begins").over(in_order))
+    return numbered.groupBy("number").agg(F.min("first").alias("first"), F.max("last").alias("last")).drop("number")
+
+
+def days_between(ranges: DataFrame, alias: str = "missing_date") -> DataFrame:
+    """The days between disjoint ranges: what missing_days finds in the arrivals the ranges came from."""
+    following = F.lead("first").over(Window.orderBy("first"))
+    gaps = ranges.withColumn("next", following).where("next IS NOT NULL")
+    return gaps.select(F.explode(F.expr("sequence(date_add(last, 1), date_sub(next, 1), interval 1 day)")).alias(alias))
+
+
 def _names(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([(name,) for name in names], "column_name string")

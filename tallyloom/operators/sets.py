@@ -28,4 +28,4 @@ def one_row_per(df: DataFrame, key: str) -> DataFrame:
 def not_in(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Rows whose key does not occur in `known`; both sides use the same column name. Measures the known keys."""
     known_keys = known.select(F.col(key).alias("known_key")).distinct()
-    return exclude(df, known_keys, F.col(key) == F.col("known_key"))
+    return exclude(df, known_keys, [(key, "known_key")])

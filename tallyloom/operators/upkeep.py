@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.terms import academic_year, parse_term
 from tallyloom.operators.conditions import not_blank
+from tallyloom.operators.generations import NULL_KEY, PARTITION_COLUMN, with_partition_key
 from tallyloom.operators.lookup import exclude
 
-PARTITION_COLUMN = "part_key"
-NULL_KEY = "<null>"
-BLANK_KEY = "<blank>"
-
 
 def replace_by_key(
     target: DataFrame, stage: DataFrame, new_rows: DataFrame, key: str = "term", include_null_key: bool = True
@@ -27,14 +24,7 @@ def replace_by_key(
     like any other, so running the same stage twice changes nothing. Measures the distinct keys (one job).
     """
     keys = stage.select(F.col(key).alias("stage_key")).distinct()
-    same = F.col(key).eqNullSafe(F.col("stage_key")) if include_null_key else F.col(key) == F.col("stage_key")
-    return exclude(target, keys, same).unionByName(new_rows)
-
-
-def with_partition_key(df: DataFrame, key: str = "term") -> DataFrame:
-    """Adds the partition column. Null and empty keys get names: a partition folder cannot tell them apart."""
-    named = F.when(F.col(key).isNull(), NULL_KEY).when(F.col(key) == "", BLANK_KEY).otherwise(F.col(key))
-    return df.withColumn(PARTITION_COLUMN, named)
+    return exclude(target, keys, [(key, "stage_key")], null_safe=include_null_key).unionByName(new_rows)
 
 
 def create_partitioned_table(df: DataFrame, table: str, key: str = "term") -> None:
@@ -49,7 +39,8 @@ def replace_partitions(
     """Persisted form of replace_by_key for a managed table made by create_partitioned_table.
 
     Only the partitions of the stage's keys are touched. The new rows are written beside the table first, so a
-    failing computation leaves the table as it was; running again after any failure gives the right rows.
+    failing computation leaves the table as it was; running again after any failure gives the right rows. Between the two
+    steps of the exchange a reader misses the keys; `Generations` has no such gap and writes rows once.
     """
     spark = new_rows.sparkSession
     if spark.catalog.getTable(table).tableType != "MANAGED":

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import left_nonblank
 from tallyloom.functions.text import first_match, null_text, other_spelled_out
 from tallyloom.operators.conditions import any_present
-from tallyloom.operators.lookup import BROADCAST_LIMIT_BYTES, Lookup, lookup_join, measure
+from tallyloom.operators.lookup import BROADCAST_LIMIT_BYTES, KeySketch, Lookup, lookup_join, measure, sketch_keys
 from tallyloom.plans import specs
 from tallyloom.plans.intern import company_lookup
 
@@ -75,16 +75,22 @@ def filled(stage: DataFrame) -> DataFrame:
 
 def response(stage: DataFrame, lookups: ResponseLookups, broadcast_limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """One row per respondent and combination of lookup matches (no match counts as one)."""
-    measure(lookups.country, lookups.state, lookups.school, lookups.organization, lookups.company)
-    rows = filled(stage)
-    for lookup, key in (
+    chain = (
         (lookups.country, "FS_country"),
         (lookups.state, "FS_state"),
         (lookups.school, "FE_college_code"),
         (lookups.organization, "FE_college_code"),
         (lookups.company, "EMP_company"),
-    ):
-        rows = lookup_join(rows, lookup, key, broadcast_limit, salt_by=["student_id", "term"])
+    )
+    measure(*[lookup for lookup, _ in chain])
+    rows = filled(stage)
+    # All keys are columns of the stage, so one pass over it sketches those of all lookups that are too large. Their
+    # nulls are spread, not read apart: each split would run the joins before it twice.
+    large = sorted({key for lookup, key in chain if lookup.measured_bytes > broadcast_limit})
+    found = sketch_keys(rows, *[[key] for key in large]) if large else []
+    sketches = {key: KeySketch(sketch.hot) for key, sketch in zip(large, found, strict=True)}
+    for lookup, key in chain:
+        rows = lookup_join(rows, lookup, key, broadcast_limit, ["student_id", "term"], sketches.get(key))
     columns = {
         "stud_id": F.col("student_id"),
         "term": F.col("term"),

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.quality import missing_columns, row_counts
-from tallyloom.operators.upkeep import create_partitioned_table, replace_partitions
+from tallyloom.operators.generations import Check, ConflictError, Generations, Run
+from tallyloom.operators.quality import missing_columns
 from tallyloom.plans import conn_to_psu, intern, intl_exp, learned, response, stud_attr, term_labels
 from tallyloom.plans.response import ResponseLookups
 from tallyloom.plans.schema import REQUIRED_COLUMNS
-from tallyloom.sources.sinks import refresh_table
+from tallyloom.sources.workspace import cut_lineage
 
 LABELS = "acadyear_labels"
 
@@ -71,52 +71,105 @@ def replace_terms(
     replaced: Iterable[str] = REPLACED_TABLES,
     include_null_key: bool = True,
     term_of: Callable[[str], Column] = F.col,
+    terms: DataFrame | None = None,
+    checks: Sequence[Check] = (),
 ) -> DataFrame:
     """Write tables into a database, replacing the rows of the stage's terms; returns the row counts.
 
-    A table in `replaced` for which there are no new rows at all is cleared for those terms if it exists.
+    All tables change in one step, after the rows are written and the checks hold (see Generations). A table in
+    `replaced` for which there are no new rows at all is cleared for those terms if it exists.
     `term_of` must give the terms as the tables hold them: F.col for the direct variants, strict_term or
-    lenient_term for the cleaned ones.
+    lenient_term for the cleaned ones. `terms` (column term) names the terms if they are not just those of the stage.
     """
-    spark = stage.sparkSession
-    keys = stage.select(term_of("term").alias("term"))
-    present = []
-    for name in dict.fromkeys([*replaced, *tables]):
-        table = f"{database}.{name}"
-        if name in tables:
-            create_partitioned_table(tables[name], table)
-        elif not spark.catalog.tableExists(table):
-            continue
-        rows = tables.get(name)
-        if rows is None:
-            rows = spark.table(table).drop("part_key").limit(0)
-        replace_partitions(table, keys, rows, include_null_key=include_null_key)
-        present.append(name)
-    return row_counts({name: spark.table(f"{database}.{name}") for name in present})
-
-
-def store_labels(stage: DataFrame, database: str) -> None:
-    """Append labels for the terms the stored dimension does not have yet; rows that are there stay."""
-    spark = stage.sparkSession
-    table = f"{database}.{LABELS}"
-    existing = spark.table(table) if spark.catalog.tableExists(table) else None
-    term_labels.additions(stage, existing).write.mode("append").format("parquet").saveAsTable(table)
-
-
-def run_full(stage: DataFrame, lookups: ResponseLookups, database: str, load_date: Column | None = None) -> DataFrame:
+    stored = Generations(stage.sparkSession, database)
+    with stored.begin() as run:
+        keys = _stage_terms(stage, term_of) if terms is None else terms
+        present = []
+        for name in dict.fromkeys([*replaced, *tables]):
+            if name in tables:
+                run.write(name, tables[name], **_metrics(tables[name]))
+            elif not stored.has(name):
+                continue
+            run.replace(name, keys, include_null_key=include_null_key)
+            present.append(name)
+        run.publish(checks)
+    return stored.row_counts(present)
+
+
+def _stage_terms(stage: DataFrame, term_of: Callable[[str], Column] = F.col) -> DataFrame:
+    """The distinct terms of a stage, computed once however many tables are replaced."""
+    return cut_lineage(stage.select(term_of("term").alias("term")).distinct())
+
+
+def _metrics(rows: DataFrame) -> dict[str, Column]:
+    """What is counted while the rows of a table are written, as far as it has the columns."""
+    wanted = {"no_id": "stud_id", "no_term": "term"}
+    return {name: F.count_if(F.col(c).isNull()) for name, c in wanted.items() if c in rows.columns}
+
+
+def _add_labels(run: Run, stage: DataFrame) -> None:
+    spark, table = run.tables.spark, f"{run.tables.database}.{LABELS}"
+    existing = spark.table(table) if run.tables.has(LABELS) else None
+    run.write(LABELS, term_labels.additions(stage, existing), key=None)
+
+
+def store_labels(stage: DataFrame, database: str, attempts: int = 5) -> None:
+    """Append labels for the terms the stored dimension does not have yet; rows that are there stay.
+
+    If another run stores labels meanwhile, the additions are computed again, so no term gets two labels.
+    """
+    stored = Generations(stage.sparkSession, database)
+    for left in reversed(range(attempts)):
+        try:
+            with stored.begin() as run:
+                _add_labels(run, stage)
+                run.publish()
+            return
+        except ConflictError:
+            if not left:
+                raise
+
+
+def share_without_id(most: float, table: str = "stud_attr") -> Check:
+    """At most this share of a table's stage rows may have been dropped or kept without a respondent id."""
+
+    def holds(metrics: Mapping[str, Mapping[str, int]]) -> bool:
+        read, own = metrics["stage"]["rows"], metrics[table]
+        return read - own["rows"] + own["no_id"] <= most * read
+
+    return Check(holds, f"more than {most:.0%} of the respondents have no id in {table}")
+
+
+def not_empty(*tables: str) -> Check:
+    return Check(lambda metrics: all(metrics[t]["rows"] > 0 for t in tables), f"no rows for {', '.join(tables)}")
+
+
+def run_full(
+    stage: DataFrame,
+    lookups: ResponseLookups,
+    database: str,
+    load_date: Column | None = None,
+    checks: Sequence[Check] = (),
+) -> DataFrame:
     """A stored full run: all eight tables in a database, and how many rows each has once it is loaded.
 
     The cleaned tables are refreshed as a whole, `response` is replaced for the terms of the stage as they were
-    delivered, and labels are added for new terms. Nothing is written if the stage lacks columns; a table whose
-    computation fails keeps its old rows. Running again with the same stage gives the same rows.
+    delivered, and labels are added for new terms; all become seen in one step. Nothing changes if the stage lacks
+    columns, a computation fails, or a check does not hold. Checks see what was counted while the rows were written,
+    and the rows of the stage (`metrics["stage"]["rows"]`). Running again with the same stage gives the same rows.
     """
     check_stage(stage)
-    spark = stage.sparkSession
     tables = full_tables(stage, lookups, load_date=load_date)
     del tables[LABELS]  # rows that are stored are not written again
-    for name, rows in tables.items():
-        if name != "response":
-            refresh_table(rows, f"{database}.{name}")
-    replace_terms(stage, {"response": tables["response"]}, database, replaced=["response"])
-    store_labels(stage, database)
-    return row_counts({name: spark.table(f"{database}.{name}") for name in (*tables, LABELS)})
+    stored = Generations(stage.sparkSession, database)
+    with stored.begin() as run:
+        for name, rows in tables.items():
+            run.write(name, rows, **_metrics(rows))
+            if name != "response":
+                run.refresh(name)
+        run.replace("response", _stage_terms(stage))
+        _add_labels(run, stage)
+        if checks:
+            run.metrics_of_input["stage"] = {"rows": stage.count()}  # reads no column
+        run.publish(checks)
+    return stored.row_counts([*tables, LABELS])

@@ -9,8 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions.terms import base_name
-from tallyloom.functions.text import ColumnOrName, column, windows_text
+from tallyloom.functions.text import ColumnOrName, column
 from tallyloom.operators.conditions import any_of
+from tallyloom.sources.paths import plain_path
+from tallyloom.sources.records import decoded, first_records, opens
+from tallyloom.sources.workspace import cut_lineage
 
 # Parts of header names that tell one questionnaire from the other.
 UNDERGRADUATE_MARKERS = ("plans_cleaned", "fe_college", "indicator_internship")
@@ -27,16 +30,6 @@ class DeliveryError(ValueError):
 _SCHEME = r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?"
 
 
-def literal_path(path: str) -> str:
-    """A path in which no character is taken for a wildcard."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
-def plain_path(path: Column) -> Column:
-    """A path as files are listed; Spark's metadata column has blanks and other characters as in %20."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-
-
 def file_id(path: ColumnOrName, root: str | None = None) -> Column:
     """Tells files apart wherever they lie: a digest of the path below `root`, or of the whole path of other files."""
     place = F.regexp_replace(column(path), _SCHEME, "")
@@ -107,12 +100,14 @@ def survey_type(header: ColumnOrName) -> Column:
 def inspect_files(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = "*.csv", root: str | None = None
 ) -> DataFrame:
-    """One row per file: path, root, file_id, file_name, header, is_utf8, has_line_breaks, lines, data_lines, fingerprint.
+    """One row per file: path, root, file_id, file_name, header, is_utf8, has_line_breaks, most_commas, lines, data_lines, fingerprint.
 
     A single aggregation over the raw lines, so large files are read in splits by many tasks and only one row
     per task and file is shuffled. The fingerprint is the same for files with the same lines, whatever their
     order. `has_line_breaks` tells of quoted fields that run over several lines, `data_lines` counts the lines
-    after the header that are not blank. Spark's file sources pass over files without a byte. `root` is for file_id.
+    after the header that are not blank, `most_commas` is the largest number of commas in a line. A header is the
+    first record, also if a name has a line break in it; such files (one path each comes to the driver) are looked at
+    again. Spark's file sources pass over files without a byte. `root` is for file_id.
     """
     reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     lines = reader.text(paths).select(
@@ -122,30 +117,40 @@ def inspect_files(
         # rows of a split are numbered in reading order
         F.monotonically_increasing_id().alias("line_id"),
     )
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    commas = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit(","), F.lit("")))
     first_line = F.min_by("value", F.when(F.col("block_start") == 0, F.col("line_id")))
     hashes = [F.xxhash64("value"), F.xxhash64(F.lit(1), F.col("value"))]
     files = lines.groupBy("path").agg(
         first_line.alias("header"),
         F.bool_and(F.is_valid_utf8("value")).alias("is_utf8"),
-        F.bool_or(quotes % 2 == 1).alias("has_line_breaks"),
+        F.bool_or(opens("value")).alias("has_line_breaks"),
+        F.max(commas).alias("most_commas"),
         F.count("*").alias("lines"),
         F.greatest(F.count_if(F.col("value").rlike(r"[^\x00-\x20]")) - 1, F.lit(0)).alias("data_lines"),
         *[F.sum(h.cast("decimal(20,0)")).alias(f"hash{i}") for i, h in enumerate(hashes)],
     )
     fingerprint = F.sha2(F.concat_ws(":", *[F.col(c).cast("string") for c in ("lines", "hash0", "hash1")]), 256)
-    return files.select(
+    found = files.select(
         "path",
         F.lit(root).cast("string").alias("root"),
         file_id("path", root).alias("file_id"),
         base_name("path").alias("file_name"),
-        F.when(F.col("is_utf8"), F.col("header")).otherwise(_decode_windows("header")).alias("header"),
+        "header",
         "is_utf8",
         "has_line_breaks",
+        "most_commas",
         "lines",
         "data_lines",
         fingerprint.alias("fingerprint"),
     )
+    found = cut_lineage(found)
+    broken = [row["path"] for row in found.where(opens("header")).select("path").collect()]
+    if broken:
+        whole = first_records(spark, broken).withColumnsRenamed({"path": "broken_path", "record": "whole_header"})
+        found = found.join(whole, F.col("path") == F.col("broken_path"), "left")
+        found = found.withColumn("header", F.coalesce("whole_header", "header")).drop("broken_path", "whole_header")
+    header = F.when(F.col("is_utf8"), F.col("header")).otherwise(decoded(F.col("header"), False))
+    return found.withColumn("header", header)
 
 
 def header_names(files: DataFrame) -> DataFrame:
@@ -166,9 +171,5 @@ def missing_from_headers(files: DataFrame, required: Iterable[str]) -> DataFrame
     return files.select("path", F.explode(missing).alias("column_name"))
 
 
-def _decode_windows(line: str) -> Column:
-    return windows_text(F.decode(F.col(line).cast("binary"), "ISO-8859-1"))
-
-
 def _contains_any(text: Column, markers: Iterable[str]) -> Column:
     return any_of(text.contains(marker) for marker in markers)

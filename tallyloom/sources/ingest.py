@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from tallyloom.functions.terms import base_name
 from tallyloom.functions.text import blank_to_null, null_text, windows_text
 from tallyloom.operators.sets import union_all
-from tallyloom.sources.deliveries import file_id, literal_path, plain_path
+from tallyloom.sources.deliveries import file_id
+from tallyloom.sources.paths import literal_path, plain_path
+from tallyloom.sources.records import data_records, decoded
 
 @dataclass(frozen=True)
 class IngestSpec:
@@ -103,13 +105,24 @@ def read_deliveries(spark: SparkSession, files: DataFrame, spec: IngestSpec | No
 
 
 def surplus_cells(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """The records with more cells than their file's header: FILE_ID, FILE_NAME, LOAD_TS, n_columns, n_cells, record."""
+    """The records with more cells than their file's header: FILE_ID, FILE_NAME, LOAD_TS, n_columns, n_cells, record.
+
+    Files none of whose lines has more commas than the header has are not read again.
+    """
     found = []
+    files = with_more_commas(files)
     for (header, is_utf8, has_line_breaks, root), paths in _alike(files).items():
         names = column_names(header)
         if not names:
             continue
-        raw = _raw_rows(spark, paths, names, is_utf8, has_line_breaks, _RECORD)
+        if has_line_breaks:
+            raw = data_records(spark, paths).withColumn(_RECORD, decoded(F.col("record"), is_utf8)).drop("record")
+            lineage, bare = _lineage(root, F.col("path")), F.regexp_replace(F.col(_RECORD), _QUOTED_CELL, "")
+            n_cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+            more = raw.select(*lineage, n_cells.alias("n_cells"), _RECORD).where(F.col("n_cells") > len(names))
+            found.append(more.select(*LINEAGE_COLUMNS, F.lit(len(names)).alias("n_columns"), "n_cells", F.col(_RECORD).alias("record")))
+            continue
+        raw = _raw_rows(spark, paths, names, is_utf8, _RECORD)
         bare = F.regexp_replace(F.col(_RECORD), _QUOTED_CELL, "")
         n_cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
         # Spark gives the record only where all cells are read, so the condition names them
@@ -124,6 +137,13 @@ def surplus_cells(spark: SparkSession, files: DataFrame) -> DataFrame:
     return spark.createDataFrame([], _LINEAGE_SCHEMA + ", n_columns int, n_cells int, record string")
 
 
+def with_more_commas(files: DataFrame) -> DataFrame:
+    """The files in which a record may have more cells than the header; records over several lines are not told from lines."""
+    commas = F.octet_length("header") - F.octet_length(F.replace(F.col("header"), F.lit(","), F.lit("")))
+    quoted = F.contains(F.col("header"), F.lit('"'))
+    return files.where(F.col("has_line_breaks") | quoted | (F.col("most_commas") > commas))
+
+
 def reconciled(files: DataFrame, rows: DataFrame) -> DataFrame:
     """Per file of inspect_files: file_id, file_name, data_lines, n_rows and whether they agree.
 
@@ -162,24 +182,23 @@ def _alike(files: DataFrame) -> dict[tuple, list[str]]:
     return groups
 
 
-def _lineage(root: str | None) -> list[Column]:
-    path = plain_path(F.col("_metadata.file_path"))
+def _lineage(root: str | None, path: Column | None = None) -> list[Column]:
+    path = plain_path(F.col("_metadata.file_path")) if path is None else path
     return [file_id(path, root).alias("FILE_ID"), base_name(path).alias("FILE_NAME"), F.current_timestamp().alias("LOAD_TS")]
 
 
-def _raw_rows(
-    spark: SparkSession, paths: Sequence[str], names: Sequence[str], is_utf8: bool, has_line_breaks: bool, record: str | None = None
-) -> DataFrame:
+def _text_schema(names: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+
+
+def _raw_rows(spark: SparkSession, paths: Sequence[str], names: Sequence[str], is_utf8: bool, record: str | None = None) -> DataFrame:
     """Cells as text; with `record`, also the text of the records whose number of cells is not the header's."""
-    kept = [*names, record] if record else names
     reader = (
-        spark.read.schema(T.StructType([T.StructField(name, T.StringType()) for name in kept]))
+        spark.read.schema(_text_schema([*names, record] if record else names))
         .option("header", True)
         .option("enforceSchema", True)
         .option("escape", '"')
         .option("encoding", "UTF-8" if is_utf8 else "ISO-8859-1")
-        # a file with line breaks inside fields cannot be split; all others can
-        .option("multiLine", has_line_breaks)
     )
     if record:
         reader = reader.option("columnNameOfCorruptRecord", record)
@@ -192,7 +211,14 @@ def _rows(
     names = column_names(header)
     if not names:
         return spark.createDataFrame([], _LINEAGE_SCHEMA)
-    rows = _raw_rows(spark, paths, names, is_utf8, has_line_breaks)
+    if has_line_breaks:
+        # Spark's reader would take such a file as one task
+        found = data_records(spark, paths)
+        columns = ", ".join(f"{_quoted(name)} STRING" for name in names)
+        cells = F.from_csv(decoded(F.col("record"), is_utf8), columns, {"escape": '"'})
+        parsed = found.select(cells.alias("cells"), "path")
+        return parsed.select(*[F.col(f"cells.{_quoted(name)}") for name in names], *_lineage(root, F.col("path")))
+    rows = _raw_rows(spark, paths, names, is_utf8)
     cells = [F.col(_quoted(name)) for name in names]
     if not is_utf8:
         cells = [windows_text(cell).alias(name) for cell, name in zip(cells, names, strict=True)]

@@ -1,8 +1,9 @@
 """Loading every delivery once.
 
-The ledger is a table of the files loaded so far, one row each: file_id, file_name, fingerprint, modified and length.
-A file is known by its place (file_id), so equal names in two folders are two files. It is spread over
-256 partitions by the id's first digits; a run rewrites only the partitions of its files.
+The ledger tells of the files loaded so far, one row each: file_id, file_name, fingerprint, modified and length. A file
+is known by its place (file_id), so equal names in two folders are two files. It is a view over a log (`<ledger>__log`) to
+which each run appends its files and nothing else; what the last run said about a file holds. A run looks only at the
+entries of the files it has found.
 """
 
 from __future__ import annotations
@@ -13,10 +14,14 @@ from typing import Literal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.operators.generations import with_partition_key
 from tallyloom.operators.lookup import exclude, restrict
-from tallyloom.operators.upkeep import PARTITION_COLUMN, create_partitioned_table, replace_partitions, with_partition_key
-from tallyloom.sources.deliveries import inspect_files, list_files, literal_path
-from tallyloom.sources.ingest import IngestSpec, read_deliveries, surplus_cells
+from tallyloom.operators.upkeep import create_partitioned_table, replace_partitions
+from tallyloom.sources.deliveries import inspect_files, list_files
+from tallyloom.sources.ingest import IngestSpec, read_deliveries, surplus_cells, with_more_commas
+from tallyloom.sources.log import COMPACT_AFTER_RUNS, Log, latest
+from tallyloom.sources.paths import literal_path
+from tallyloom.sources.term_index import note_terms
 from tallyloom.sources.workspace import cut_lineage
 
 Mode = Literal["skip", "replace", "force"]
@@ -29,6 +34,8 @@ _MATCH_ON = {
     "content": [("fingerprint",)],
     "name or content": [("file_id",), ("fingerprint",)],
 }
+#: Where records with more cells than their header go, unless a run says otherwise.
+SURPLUS_TABLE = "{stage}__surplus"
 _NOTED = ("file_id", "file_name", "fingerprint", "modified", "length")
 
 
@@ -41,10 +48,7 @@ def not_yet_loaded(files: DataFrame, ledger: DataFrame, known_by: KnownBy = "nam
 
 def _unknown(files: DataFrame, ledger: DataFrame, names: Sequence[str]) -> DataFrame:
     known = ledger.select(*[F.col(name).alias(f"known_{name}") for name in names]).distinct()
-    same = F.lit(True)
-    for name in names:
-        same = same & (F.col(name) == F.col(f"known_{name}"))
-    return exclude(files, known, same)
+    return exclude(files, known, [(name, f"known_{name}") for name in names])
 
 
 def files_to_load(
@@ -57,7 +61,7 @@ def files_to_load(
 def replace_files(target: DataFrame, new_rows: DataFrame, files: DataFrame) -> DataFrame:
     """`target` without the rows of `files` (column file_id), plus the new rows. Measures the ids."""
     ids = files.select(F.col("file_id").alias("replaced_file")).distinct()
-    return exclude(target, ids, F.col("FILE_ID") == F.col("replaced_file")).unionByName(new_rows)
+    return exclude(target, ids, [("FILE_ID", "replaced_file")]).unionByName(new_rows)
 
 
 def add_to_ledger(ledger: DataFrame, files: DataFrame) -> DataFrame:
@@ -66,13 +70,39 @@ def add_to_ledger(ledger: DataFrame, files: DataFrame) -> DataFrame:
     return _unknown(ledger.select(*names), files, ["file_id"]).unionByName(files.select(*names))
 
 
-def _note(spark: SparkSession, ledger_table: str, files: DataFrame) -> None:
-    notes = files.select(*_NOTED, F.left("file_id", F.lit(2)).alias("bucket"))
-    create_partitioned_table(notes, ledger_table, key="bucket")
-    buckets = notes.select(F.col("bucket").alias("noted_bucket")).distinct()
-    touched = restrict(spark.table(ledger_table), buckets, F.col(PARTITION_COLUMN) == F.col("noted_bucket"))
-    kept = _unknown(touched.drop(PARTITION_COLUMN), notes, ["file_id"])
-    replace_partitions(ledger_table, notes, kept.unionByName(notes), key="bucket")
+def _log_of(spark: SparkSession, ledger_table: str) -> Log:
+    return Log(spark, f"{ledger_table}__log")
+
+
+def entries_of(spark: SparkSession, ledger_table: str, files: DataFrame, *names: str) -> DataFrame | None:
+    """What the ledger says now of files that agree with `files` in one of the columns; None if there is no ledger.
+
+    Entries of other files are left out before anything is grouped.
+    """
+    log = _log_of(spark, ledger_table)
+    if not log.exists():
+        return None
+    rows = log.rows()
+    ids = None
+    for name in names:
+        wanted = files.select(F.col(name).alias("wanted")).distinct()
+        # a file may have had this content once and another one since
+        found = restrict(rows, wanted, [(name, "wanted")]).select(F.col("file_id").alias("entry_id")).distinct()
+        ids = found if ids is None else ids.union(found).distinct()
+    return latest(restrict(rows, ids, [("file_id", "entry_id")]), ["file_id"])
+
+
+def _note(spark: SparkSession, ledger_table: str, files: DataFrame, after_runs: int = COMPACT_AFTER_RUNS) -> None:
+    log = _log_of(spark, ledger_table)
+    log.append(files.select(*_NOTED))
+    if not spark.catalog.tableExists(ledger_table):
+        base = f"coalesce((SELECT max(part_run) FROM {log.table} WHERE kind = 'base'), -1)"
+        others = ", ".join(name for name in _NOTED if name != "file_id")
+        spark.sql(
+            f"CREATE VIEW {ledger_table} AS SELECT file_id, last.* FROM (SELECT file_id, max_by(struct({others}), run) AS last "
+            f"FROM {log.table} WHERE (kind = 'base' AND part_run = {base}) OR (kind = 'run' AND part_run > {base}) GROUP BY file_id)"
+        )
+    log.compact(lambda rows: latest(rows, ["file_id"]), after_runs)
 
 
 def _replace_rows(spark: SparkSession, table: str, rows: DataFrame, files: DataFrame, mode: Mode) -> None:
@@ -93,7 +123,8 @@ def load_deliveries(
     known_by: KnownBy = "name and content",
     pattern: str = "*.csv",
     root: str | None = None,
-    surplus_table: str | None = None,
+    surplus_table: str | None = SURPLUS_TABLE,
+    compact_after_runs: int = COMPACT_AFTER_RUNS,
 ) -> DataFrame:
     """Load files into a managed stage table, one partition per file, and note them in the ledger.
 
@@ -102,25 +133,31 @@ def load_deliveries(
     ledger: a file is noted only when its rows are there. Mode skip does not open files whose place, time of
     change and length are in the ledger. With `root`, files keep their identity when
     the inbox as a whole is moved; all runs on a ledger must name the same one, or none.
-    Records with more cells than the header are kept in `surplus_table`, if one is named.
+    Records with more cells than the header are kept whole in `surplus_table`, by default one named after the stage;
+    None leaves them out. The terms of each file are noted for `rebuild_terms` if the stage has a column `term`.
     """
     listing = list_files(spark, paths, pattern, root)
-    ledger = spark.table(ledger_table) if spark.catalog.tableExists(ledger_table) else None
-    if mode == "skip" and ledger is not None:
+    known = entries_of(spark, ledger_table, listing, "file_id") if mode == "skip" else None
+    if known is not None:
         # one path per new file comes to the driver, as in Spark's own file index
-        changed = _unknown(listing, ledger, ["file_id", "modified", "length"]).select("path").collect()
+        changed = _unknown(listing, known, ["file_id", "modified", "length"]).select("path").collect()
         paths = [literal_path(row["path"]) for row in changed]
     if not paths:
         return listing.limit(0)
     noted = listing.select("file_id", "modified", "length")
     inspected = inspect_files(spark, paths, pattern, root).join(noted, "file_id")
-    todo = inspected if ledger is None else files_to_load(inspected, ledger, mode, known_by)
+    matched = {name for names in _MATCH_ON[known_by] for name in names if name == "file_id" or len(names) == 1}
+    known = entries_of(spark, ledger_table, inspected, *sorted(matched)) if mode == "skip" else None
+    todo = inspected if known is None else files_to_load(inspected, known, mode, known_by)
     # one pass over the files decides what to load; later steps must not see other answers
     todo = cut_lineage(todo)
     if todo.isEmpty():
         return todo
     _replace_rows(spark, stage_table, read_deliveries(spark, todo, spec), todo, mode)
     if surplus_table is not None:
-        _replace_rows(spark, surplus_table, surplus_cells(spark, todo), todo, mode)
-    _note(spark, ledger_table, todo)
+        table = surplus_table.format(stage=stage_table)
+        if spark.catalog.tableExists(table) or not with_more_commas(todo).isEmpty():
+            _replace_rows(spark, table, surplus_cells(spark, todo), todo, mode)
+    note_terms(spark, stage_table, todo, compact_after_runs)
+    _note(spark, ledger_table, todo, compact_after_runs)
     return todo

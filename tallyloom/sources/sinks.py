@@ -6,7 +6,11 @@ import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tallyloom.operators.generations import Generations
+
+TOKEN_COLUMN = "run_token"
 JDBC_BATCH_ROWS = 1000
 SAMPLE_ROWS = 5
 
@@ -21,19 +25,33 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> No
     (df if columns is None else for_target(df, columns)).write.mode("append").parquet(path)
 
 
-def refresh_table(df: DataFrame, table: str) -> None:
-    """Replace all rows of a managed table. The new rows are stored under another name before the tables are exchanged."""
+def append_once(df: DataFrame, table: str, token: str) -> None:
+    """Add rows to a managed table under a token; a token that the table has already adds nothing.
+
+    The rows are one partition, named by the token, which appears as a whole. A repeated append, be it of a run
+    that does not know whether its first attempt went through, leaves the table as it is; two at once write one partition.
+    """
     spark = df.sparkSession
-    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "MANAGED":
-        raise ValueError(f"{table} is not a managed table")
-    incoming = f"{table}_incoming_{uuid.uuid4().hex}"
+    if not spark.catalog.tableExists(table):
+        layout = df.limit(0).withColumn(TOKEN_COLUMN, F.lit(""))
+        layout.write.partitionBy(TOKEN_COLUMN).format("parquet").mode("ignore").saveAsTable(table)
+    columns = [c for c in spark.table(table).columns if c != TOKEN_COLUMN]
+    view = f"rows_{uuid.uuid4().hex}"
+    df.select(*columns).createOrReplaceTempView(view)
     try:
-        df.write.format("parquet").saveAsTable(incoming)
-    except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {incoming}")
-        raise
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {incoming} RENAME TO {table}")
+        literal = "'" + token.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({TOKEN_COLUMN} = {literal}) IF NOT EXISTS SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def refresh_table(df: DataFrame, table: str) -> None:
+    """Replace all rows of a stored table in one step: readers see the old rows or the new ones (see Generations)."""
+    database, name = table.rsplit(".", 1)
+    with Generations(df.sparkSession, database).begin() as run:
+        run.write(name, df, key=None)
+        run.refresh(name)
+        run.publish()
 
 
 def full_refresh(df: DataFrame, path: str, columns: Sequence[str] | None = None) -> None:
@@ -52,6 +70,7 @@ def full_refresh(df: DataFrame, path: str, columns: Sequence[str] | None = None)
     except Exception:
         files.delete(new, True)
         raise
+    # two renames: use refresh_table where readers must never miss the table
     if files.exists(target) and not files.rename(target, old):
         raise OSError(f"cannot move {path} aside; the new rows are in {new.toString()}")
     if not files.rename(new, target):

@@ -13,13 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallyloom.operators.generations import PARTITION_COLUMN
 from tallyloom.operators.lookup import restrict
-from tallyloom.operators.upkeep import with_partition_key
 from tallyloom.plans.runs import replace_terms
-from tallyloom.sources.deliveries import LISTING_SCHEMA, literal_path
+from tallyloom.sources.deliveries import LISTING_SCHEMA
 from tallyloom.sources.ingest import IngestSpec
-from tallyloom.sources.ledger import load_deliveries
-from tallyloom.sources.workspace import cut_lineage
+from tallyloom.sources.ledger import SURPLUS_TABLE, load_deliveries
+from tallyloom.sources.paths import literal_path
+from tallyloom.sources.term_index import files_holding, index_of, note_rebuilt, note_terms, rows_of_files, touched_terms
+from tallyloom.sources.workspace import new_folder
 
 FILES_PER_BATCH = 200
 #: The file source passes over files that are older than this, counted back from the newest one it has seen.
@@ -53,11 +55,13 @@ def pick_up(
     pattern: str = "*.csv",
     files_per_batch: int = FILES_PER_BATCH,
     root: str | None = None,
+    surplus_table: str | None = SURPLUS_TABLE,
 ) -> StreamingQuery:
     """Load all files that arrived since the last call, then stop.
 
     Each batch replaces its files' partitions in the stage, so a batch that is run again after a failure leaves
     the same rows. `after_load` gets the files of the batch (path, file_name, ...) once their rows are stored.
+    Records with more cells than their header are kept as in load_deliveries.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
@@ -66,7 +70,7 @@ def pick_up(
         if not paths:
             return
         files = load_deliveries(
-            spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern, root=root
+            spark, paths, stage_table, ledger_table, spec, mode="replace", pattern=pattern, root=root, surplus_table=surplus_table
         )
         if after_load is not None:
             after_load(files)
@@ -89,22 +93,23 @@ def catch_up(
     after_load: Callable[[DataFrame], object] | None = None,
     pattern: str = "*.csv",
     root: str | None = None,
+    surplus_table: str | None = SURPLUS_TABLE,
 ) -> DataFrame:
     """Load what the stream passes over: files that were delivered again under a name it has seen.
 
     The folder's listing is compared with the ledger; only files that changed are read. Returns them.
     """
-    files = load_deliveries(spark, folder, stage_table, ledger_table, spec, pattern=pattern, root=root)
+    files = load_deliveries(
+        spark, folder, stage_table, ledger_table, spec, pattern=pattern, root=root, surplus_table=surplus_table
+    )
     if after_load is not None and not files.isEmpty():
         after_load(files)
     return files
 
 
 def stage_of_files(spark: SparkSession, stage_table: str, files: DataFrame) -> DataFrame:
-    """The stage rows of some files; only their partitions are read. Measures the file ids (one small job)."""
-    named = with_partition_key(files.select(F.col("file_id").alias("FILE_ID")), "FILE_ID")
-    names = named.select(F.col("part_key").alias("wanted_key"))
-    return restrict(spark.table(stage_table), names, F.col("part_key") == F.col("wanted_key")).drop("part_key")
+    """The stage rows of some files; only their partitions are read."""
+    return rows_of_files(spark, stage_table, files).drop(PARTITION_COLUMN)
 
 
 def rebuild_terms(
@@ -116,15 +121,32 @@ def rebuild_terms(
     replaced: Iterable[str],
     term_of: Callable[[str], Column] = F.col,
 ) -> DataFrame:
-    """Rebuild output tables for the terms that occur in new files, from all stage rows of those terms.
+    """Rebuild output tables for the terms that loaded files hold, or held before they were delivered again.
 
-    Rows of the same terms that earlier files brought are part of the result, so nothing is lost when a term is
-    spread over several deliveries. `term_of` gives a term as the tables hold it (see replace_terms): spellings
-    that become the same term are rebuilt together. Returns the row counts of the tables.
+    Rows of the same terms that other files brought are part of the result, so nothing is lost when a term is
+    spread over several deliveries; terms that only an earlier version of a file had lose its rows. The index of terms
+    says which files are to be read. Their rows of these terms are read from the stage once and kept beside it for
+    all tables of `build`. `term_of` gives a term as the tables hold it (see replace_terms): spellings that become
+    the same term are rebuilt together. Returns the row counts of the tables.
     """
-    arrived = stage_of_files(spark, stage_table, files)
-    # noted once: the stage may grow while the tables are rebuilt
-    terms = cut_lineage(arrived.select(term_of("term").alias("new_term")).distinct())
-    stage = spark.table(stage_table).drop("part_key")
-    touched = restrict(stage, terms, term_of("term").eqNullSafe(F.col("new_term")))
-    return replace_terms(touched, build(touched), database, replaced, term_of=term_of)
+    if not index_of(spark, stage_table).exists():
+        # a stage that was loaded before there was an index
+        note_terms(spark, stage_table, spark.table(stage_table).select(F.col("FILE_ID").alias("file_id")).distinct())
+    terms = touched_terms(spark, stage_table, files, database, term_of)
+    rows = stage_of_terms(spark, stage_table, terms, term_of)
+    kept = new_folder(spark, "touched")
+    rows.write.parquet(kept)
+    touched = spark.read.schema(rows.schema).parquet(kept)
+    counts = replace_terms(touched, build(touched), database, replaced, terms=terms)
+    note_rebuilt(spark, stage_table, files, database)
+    return counts
+
+
+def stage_of_terms(
+    spark: SparkSession, stage_table: str, terms: DataFrame, term_of: Callable[[str], Column] = F.col
+) -> DataFrame:
+    """The stage rows of some terms (column term, as `term_of` gives them), from the files that hold one of them."""
+    holding = files_holding(spark, stage_table, terms, term_of)
+    wanted = terms.select(F.col("term").alias("wanted_term"))
+    stage = stage_of_files(spark, stage_table, holding)
+    return restrict(stage, wanted, [(term_of("term"), "wanted_term")], null_safe=True)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators import lookup as lk
 from tallyloom.operators import quality, sets, upkeep
 from tallyloom.operators.conditions import any_not_blank
+from tallyloom.operators.generations import AuditError, Check, ConflictError, Generations
 from tallyloom.operators.unpivot import FlagColumn, unpivot_evidenced, unpivot_groups, unpivot_selected
 
 
@@ -106,13 +107,32 @@ def test_size_is_measured(spark):
     assert empty.measured_bytes == 0
 
 
-def test_exclude_both_ways(hot, spark):
-    known = spark.createDataFrame([("hot",), ("k1",)], "known string")
-    same = F.col("key") == F.col("known")
-    small = lk.exclude(hot, known, same)
-    large = lk.exclude(hot, known, same, broadcast_limit=-1, salt_by=["id"])
-    assert tuples(small) == tuples(large)
-    assert small.where("key IS NULL").count() == 1000
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_exclude_and_restrict_both_ways(hot, spark, null_safe):
+    known = spark.createDataFrame([("hot",), ("k1",), (None,)], "known string")
+    for join, nulls in ((lk.exclude, 0 if null_safe else 1000), (lk.restrict, 1000 if null_safe else 0)):
+        small = join(hot, known, [("key", "known")], null_safe)
+        large = join(hot, known, [("key", "known")], null_safe, broadcast_limit=-1, salt_by=["id"])
+        assert tuples(small) == tuples(large)
+        assert small.where("key IS NULL").count() == nulls
+
+
+def test_only_the_rows_of_frequent_keys_are_repeated(hot, spark):
+    sketch = lk.sketch_keys(hot, ["key"], share=0.1)[0]
+    assert len(sketch.hot) == 1 and sketch.null_share == pytest.approx(1 / 3, abs=0.01)
+    other = spark.createDataFrame([("hot", 1), ("hot", 2), (None, 3)] + [(f"k{i}", i) for i in range(1000)], "k string, v int")
+    copies = lk.repeated(other, ["k"], sketch.hot)
+    assert copies.count() == other.count() + 2 * (lk.SALTS - 1)
+    joined = lk.spread_join(hot, other, [("key", "k")], "left", salt_by=["id"], sketch=sketch)
+    text = plan(joined)
+    assert "BroadcastHashJoin" not in text and "isnotnull(" in text
+    # the rows without a key are read apart: the union has a branch without an exchange
+    assert joined.count() == 2000 + 1000 + 1000 and "Union" in text
+    no_hot = lk.spread_join(hot, other, [("key", "k")], "left", sketch=lk.KeySketch())
+    assert "Generate" not in plan(no_hot) and no_hot.count() == joined.count()
+    many = hot.withColumn("key", F.concat(F.lit("k"), F.col("id")))
+    assert lk.sketch_keys(many, ["key"])[0] == lk.KeySketch((), 0.0)
+    assert lk.sketch_keys(hot.limit(0), ["key"])[0] == lk.KeySketch((), 0.0)
 
 
 def test_missing_columns(spark):
@@ -193,6 +213,97 @@ def test_replace_partitions_refuses_external_tables(spark, database, tmp_path):
         upkeep.replace_partitions(f"{database}.outside", target, target)
 
 
+def read_all(spark, database, *names):
+    return {name: tuples(spark.table(f"{database}.{name}")) for name in names}
+
+
+def test_readers_see_all_old_rows_or_all_new_ones(spark, database):
+    stored = Generations(spark, database)
+    old = {"facts": spark.createDataFrame([("1", "A"), ("2", "B"), ("3", None), ("4", "it's"), ("5", "")], FACTS), "more": spark.createDataFrame([("1", "A")], FACTS)}
+    with stored.begin() as run:
+        for name, rows in old.items():
+            run.write(name, rows)
+        run.publish()
+    before = read_all(spark, database, *old)
+    assert before == {name: tuples(rows) for name, rows in old.items()}
+    lasting = spark.table(f"{database}.facts")
+    keys = spark.createDataFrame([("A",), (None,), ("it's",), ("",)], "term string")
+    new = {"facts": [("9", "A"), ("8", None)], "more": []}
+    with stored.begin() as run:
+        for name, rows in new.items():
+            run.write(name, spark.createDataFrame(rows, FACTS))
+            assert read_all(spark, database, *old) == before
+            run.replace(name, keys)
+            assert read_all(spark, database, *old) == before
+        run.publish()
+    assert read_all(spark, database, *old) == {"facts": [("2", "B"), ("8", None), ("9", "A")], "more": []}
+    # whoever planned before the switch still reads what was there
+    assert tuples(lasting) == before["facts"]
+    assert tuples(stored.row_counts(["facts", "more", "none"])) == [("facts", 3), ("more", 0), ("none", 0)]
+    text = plan(spark.table(f"{database}.facts"))
+    assert "dynamicpruning" in text and text.count("FileScan parquet") >= 2
+
+
+def test_rows_are_written_once_and_dead_generations_go(spark, database):
+    stored = Generations(spark, database)
+    for i in range(5):
+        with stored.begin() as run:
+            run.write("facts", spark.createDataFrame([(str(i), "A"), (str(i), f"only{i}")], FACTS))
+            run.refresh("facts")
+            run.publish()
+        assert tuples(spark.table(f"{database}.facts")) == [(str(i), "A"), (str(i), f"only{i}")]
+    kept = {row.generation for row in spark.table(f"{database}.facts__rows").select("generation").distinct().collect()}
+    assert len(kept) == 3 and stored.current() in kept
+    manifests = [t.name for t in spark.catalog.listTables(database) if t.name.startswith("live__")]
+    assert len(manifests) == 3
+    stored.clean(keep=0)
+    assert spark.table(f"{database}.facts__rows").select("generation").distinct().count() == 1
+    assert spark.table(f"{database}.facts").count() == 2
+
+
+def test_failed_and_refused_runs_change_nothing(spark, database):
+    stored = Generations(spark, database)
+    with stored.begin() as run:
+        run.write("facts", spark.createDataFrame([("1", "A")], FACTS))
+        run.publish()
+    broken = spark.createDataFrame([("1", "A")], FACTS).withColumn("stud_id", F.raise_error(F.lit("broken")).cast("string"))
+    with pytest.raises(Exception, match="broken"), stored.begin() as run:
+        run.write("other", spark.createDataFrame([("7", "A")], FACTS))
+        run.write("facts", broken)
+    too_few = Check(lambda metrics: metrics["facts"]["rows"] > 1 and metrics["facts"]["no_id"] == 0, "too few rows")
+    with pytest.raises(AuditError, match="too few rows"), stored.begin() as run:
+        run.write("facts", spark.createDataFrame([("2", "A")], FACTS), no_id=F.count_if(F.col("stud_id").isNull()))
+        run.refresh("facts")
+        run.publish([too_few])
+    assert run.metrics == {"facts": {"rows": 1, "no_id": 0}}
+    assert read_all(spark, database, "facts", "other") == {"facts": [("1", "A")], "other": []}
+    assert spark.table(f"{database}.facts__rows").count() == 1 and spark.table(f"{database}.other__rows").count() == 0
+
+
+def test_two_runs_at_once(spark, database):
+    stored = Generations(spark, database)
+    first, second = stored.begin(), stored.begin()
+    for run, who in ((first, "1"), (second, "2")):
+        run.write("facts", spark.createDataFrame([(who, "A")], FACTS))
+    first.publish()
+    with pytest.raises(ConflictError), second:
+        second.publish()
+    assert tuples(spark.table(f"{database}.facts")) == [("1", "A")]
+    assert spark.table(f"{database}.facts__rows").count() == 1
+
+
+def test_ranges_of_days(spark):
+    day = datetime.date
+    given = [day(2024, 1, d) for d in (1, 2, 3, 7, 9, 10)] + [day(2024, 2, 1), None, day(2024, 1, 2)]
+    arrivals = spark.createDataFrame([(d,) for d in given], "d date")
+    ranges = quality.day_ranges(arrivals, "d")
+    assert tuples(ranges) == sorted([(day(2024, 1, 1), day(2024, 1, 3)), (day(2024, 1, 7), day(2024, 1, 7)), (day(2024, 1, 9), day(2024, 1, 10)), (day(2024, 2, 1), day(2024, 2, 1))], key=str)
+    assert tuples(quality.days_between(ranges)) == tuples(quality.missing_days(arrivals, "d"))
+    wide = spark.createDataFrame([(day(2024, 1, 1), day(2024, 1, 20)), (day(2024, 1, 4), day(2024, 1, 5)), (day(2024, 1, 21), day(2024, 1, 21))], "first date, last date")
+    assert tuples(quality.merged_ranges(wide)) == [(day(2024, 1, 1), day(2024, 1, 21))]
+    assert quality.day_ranges(arrivals.where("d IS NULL"), "d").count() == 0
+
+
 def test_term_labels(spark):
     stage = spark.createDataFrame([("2235",), (" 2235 ",), ("02241",), ("ABCD",), (None,), ("  ",), ("2231",)], "term string")
     existing = spark.createDataFrame([(2235, 1999, "kept")], "term int, acad_year int, report_label string")

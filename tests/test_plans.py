@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harness import carrier
+from tallyloom.operators.generations import AuditError, Generations
 from tallyloom.plans import conn_to_psu, intern, intl_exp, learned, response, runs, stud_attr, term_labels
 from tallyloom.plans.schema import STAGE_SCHEMA, case_blind_flags
 
@@ -193,6 +194,21 @@ def test_flags_compare_exactly_unless_asked_otherwise(spark):
     assert stud_attr.direct(blind).select("indc_exp_AYEA").first()[0] == "Y"
 
 
+def test_audited_run_counts_without_a_second_scan(spark, sf_dir, database, lookups):
+    stage = carrier.stage(spark, sf_dir)
+    with pytest.raises(AuditError, match="no id in stud_attr"):
+        runs.run_full(stage, lookups, database, checks=[runs.share_without_id(0.0)])
+    assert not spark.catalog.tableExists(f"{database}.stud_attr") or spark.table(f"{database}.stud_attr").count() == 0
+    counts = runs.run_full(stage, lookups, database, checks=[runs.not_empty("response", "stud_attr")])
+    text = plan(counts)
+    assert "live__" in text and "__rows" not in text
+    found = dict(tuples(counts))
+    assert found["stud_attr"] == spark.table(f"{database}.stud_attr").count() > 0
+    with pytest.raises(AuditError):
+        runs.run_full(stage.limit(0), lookups, database, checks=[runs.not_empty("response")])
+    assert dict(tuples(Generations(spark, database).row_counts(list(found)))) == found
+
+
 def test_load_date_can_be_given(spark):
     stage = stage_of(spark, {"student_id": "1", "term": "2235", "int_exp_none": "Y"})
     given = F.lit("2024-01-01").cast("timestamp")

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.functions import lenient_term
-from tallyloom.plans import term_labels
-from tallyloom.sources import deliveries, ingest, ledger, sinks, workspace
+from tallyloom.operators.generations import ConflictError, Generations
+from tallyloom.plans import runs, term_labels
+from tallyloom.sources import deliveries, ingest, ledger, records, sinks, term_index, workspace
+from tallyloom.sources.term_index import index_of
 from tallyloom.streaming import pickup
 
 
@@ -301,4 +303,203 @@ def test_failed_refresh_of_a_table_keeps_the_old_rows(spark, database):
     assert spark.table(table).count() == 3
     sinks.refresh_table(spark.table(table).where("id > 0"), table)
     assert spark.table(table).count() == 2
-    assert [one.name for one in spark.catalog.listTables(database)] == ["kept"]
+    assert {one.name.split("__")[0] for one in spark.catalog.listTables(database)} == {"kept", "live"}
+
+
+def test_appends_of_one_token_add_nothing(spark, database):
+    table = f"{database}.kept"
+    for token, rows in (("a", 3), ("a", 5), ("it's", 2), ("it's", 2)):
+        sinks.append_once(spark.range(rows), table, token)
+    assert spark.table(table).count() == 5
+
+
+def test_labels_computed_twice_before_either_is_stored(spark, database):
+    stage = spark.createDataFrame([("2235",), ("2241",)], "term string")
+    stored = Generations(spark, database)
+    first, second = stored.begin(), stored.begin()
+    for run in (first, second):
+        runs._add_labels(run, stage)
+    first.publish()
+    with pytest.raises(ConflictError), second:
+        second.publish()
+    runs.store_labels(stage.union(spark.createDataFrame([("2251",)], "term string")), database)
+    assert tuples(spark.table(f"{database}.{runs.LABELS}").select("term")) == [(2235,), (2241,), (2251,)]
+
+
+def test_a_load_writes_only_new_ledger_files(spark, tmp_path, database):
+    stage, book = f"{database}.stage", f"{database}.ledger"
+
+    def files():
+        return set(spark.table(f"{book}__log").inputFiles())
+
+    before = set()
+    for i in range(7):
+        put(tmp_path, f"{i}.csv", f"STUDENT_ID,TERM,NOTE\n{i},2235,x\n")
+        put(tmp_path, "again.csv", f"STUDENT_ID,TERM,NOTE\nagain{i},2235,x\n")
+        ledger.load_deliveries(spark, str(tmp_path), stage, book, SPEC, compact_after_runs=3)
+        now = files()
+        assert len(now - before) >= 1 and (i in (5, 6) or before <= now)
+        before = now
+        assert spark.table(book).count() == i + 2
+    assert tuples(spark.table(book).groupBy("file_name").count().where("count > 1")) == []
+    assert tuples(spark.table(stage).select("STUDENT_ID")) == sorted([(str(i),) for i in range(7)] + [("again6",)])
+    base = spark.table(f"{book}__log").where("kind = 'base'")
+    assert base.count() > 0 and spark.table(f"{book}__log").where("kind = 'run'").select("part_run").distinct().count() < 7
+    assert ledger.load_deliveries(spark, str(tmp_path), stage, book, SPEC).count() == 0
+
+
+ODD_LINES = [
+    "plain,line", 'a,"open', "inside", 'close",b', '"q ""x""",', '5" pipe,6" pipe', '"a"b,"c', ',"', '",', '"",""', '"""', '""""', "", '"x"",', ',,"y""', 'a"b,"c"', '  "no",x', '"', "\r",
+]
+
+
+def plain_records(text):
+    """Records of a CSV text, a character at a time: a quote opens a cell only where the cell begins."""
+    out, record, inside, begins, i = [], "", False, True, 0
+    while i < len(text):
+        c = text[i]
+        if inside:
+            if c == '"' and text[i + 1 : i + 2] == '"':
+                record += '""'
+                i += 2
+                continue
+            if c == '"':
+                inside = False
+        elif c == '"' and begins:
+            inside = True
+        elif c == "\n":
+            out.append(record)
+            record, begins, i = "", True, i + 1
+            continue
+        begins = c == "," and not inside
+        record += c
+        i += 1
+    if inside and record.endswith("\n"):  # never closed: the end of the last line is no part of it
+        record = record[:-1]
+    return out + ([record] if record or inside else [])
+
+
+def test_records_equal_a_plain_scan(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    texts = []
+    for i in range(40):
+        lines = [rng.choice(ODD_LINES) for _ in range(rng.randrange(1, 60))]
+        texts.append("head,er\n" + "\n".join(lines) + "\n")
+        put(tmp_path, f"{i}.csv", texts[-1])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    for size in ("128m", "40"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            found = {}
+            for row in records.records(records.lines_of(spark, [str(tmp_path)])).collect():
+                found.setdefault(int(row.path.rsplit("/", 1)[1][:-4]), []).append(row.record)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+            spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+        for i, text in enumerate(texts):
+            wanted = [r[:-1] if r.endswith("\r") else r for r in plain_records(text)]
+            assert sorted(found[i]) == sorted(wanted), (size, text)
+
+
+def test_a_large_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
+    rows = "".join(f'{i},2235,"first {i}\n""second"", {i}\n"\n' for i in range(30_000))
+    put(tmp_path, "big.csv", 'STUDENT_ID,"TE\nRM",NOTE\n' + rows)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 10
+        files = deliveries.inspect_files(spark, str(tmp_path))
+        row = files.first()
+        assert row["header"] == 'STUDENT_ID,"TE\nRM",NOTE' and row["has_line_breaks"]
+        read = ingest.read_deliveries(spark, files)
+        assert read.columns[:3] == ["STUDENT_ID", "TE\nRM", "NOTE"] and read.count() == 30_000
+        text = read._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" in text and "FileScan csv" not in text
+        wrong = read.where((F.col("`TE\nRM`") != "2235") | (F.col("NOTE") != F.concat(F.lit("first "), "STUDENT_ID", F.lit('\n"second", '), "STUDENT_ID", F.lit("\n"))))
+        assert wrong.count() == 0 and read.select("STUDENT_ID").distinct().count() == 30_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_surplus_cells_are_kept_by_default(spark, tmp_path, database):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    tables = f"{database}.stage", f"{database}.ledger"
+
+    def run():
+        pickup.pick_up(spark, str(inbox), str(tmp_path / "cp"), *tables, SPEC).awaitTermination()
+
+    put(inbox, "clean.csv", "STUDENT_ID,TERM,NOTE\n1,2235,x\n")
+    run()
+    assert not spark.catalog.tableExists(f"{database}.stage__surplus")
+    put(inbox, "more.csv", 'STUDENT_ID,TERM,NOTE\n2,2235,x,y\n3,2235,"a,b"\n4,2235\n')
+    put(inbox, "lines.csv", 'STUDENT_ID,TERM,NOTE\n5,2235,"x\ny",z\n6,2235,"x\n,y"\n')
+    run()
+    found = spark.table(f"{database}.stage__surplus").select("FILE_NAME", "n_columns", "n_cells", "record")
+    assert tuples(found) == [("lines.csv", 3, 4, '5,2235,"x\ny",z'), ("more.csv", 3, 4, "2,2235,x,y")]
+    put(inbox, "more.csv", "STUDENT_ID,TERM,NOTE\n2,2235,x\n")
+    pickup.catch_up(spark, str(inbox), *tables, SPEC)
+    assert tuples(spark.table(f"{database}.stage__surplus").select("FILE_NAME")) == [("lines.csv",)]
+
+
+def test_terms_of_earlier_versions_are_rebuilt(spark, tmp_path, database):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    stage, book = f"{database}.stage", f"{database}.ledger"
+    spec = ingest.IngestSpec({"student_id": "student_id", "term": "term"})
+    out = f"{database}_out"
+    spark.sql(f"CREATE DATABASE {out} LOCATION '{tmp_path}/out'")
+    broken = [False]
+
+    def build(rows):
+        people = rows.select("student_id", lenient_term("term").alias("term"))
+        return {"people": people.withColumn("student_id", F.raise_error(F.lit("stop")).cast("string")) if broken[0] else people}
+
+    def load():
+        return ledger.load_deliveries(spark, str(inbox), stage, book, spec)
+
+    def rebuild(files):
+        pickup.rebuild_terms(spark, stage, files, build, out, ["people"], term_of=lenient_term)
+        return tuples(spark.table(f"{out}.people").select("student_id", "term"))
+
+    put(inbox, "a.csv", "student_id,term\n1,2235\n2,2238\n")
+    put(inbox, "b.csv", "student_id,term\n3, 2238 \n4,\n")
+    assert rebuild(load()) == [("1", "2235"), ("2", "2238"), ("3", "2238"), ("4", None)]
+    # 2235 is gone from a.csv, and so are its rows; 2238 keeps those of b.csv
+    put(inbox, "a.csv", "student_id,term\n1,2241\n")
+    assert rebuild(load()) == [("1", "2241"), ("3", "2238"), ("4", None)]
+    # two versions come between two rebuildings, the first of which fails: no term is forgotten
+    broken[0] = True
+    put(inbox, "a.csv", "student_id,term\n1,2245\n")
+    with pytest.raises(Exception, match="stop"):
+        rebuild(load())
+    broken[0] = False
+    put(inbox, "a.csv", "student_id,term\n5,2251\n")
+    assert rebuild(load()) == [("3", "2238"), ("4", None), ("5", "2251")]
+    put(inbox, "b.csv", "student_id,term\n")
+    assert rebuild(load()) == [("5", "2251")]
+    entries = index_of(spark, stage).rows()
+    log = index_of(spark, stage)
+    assert log.compact(term_index._still_needed, after_runs=1) and log.rows().count() < entries.count()
+    put(inbox, "a.csv", "student_id,term\n6,2261\n")
+    assert rebuild(load()) == [("6", "2261")]
+
+
+def test_rebuilding_reads_only_the_files_that_hold_the_terms(spark, tmp_path, database):
+    stage, book = f"{database}.stage", f"{database}.ledger"
+    spec = ingest.IngestSpec({"student_id": "student_id", "term": "term"})
+    for i in range(6):
+        put(tmp_path, f"{i}.csv", f"student_id,term\n{i},22{i // 2}5\n")
+    files = ledger.load_deliveries(spark, str(tmp_path), stage, book, spec)
+    one = files.where("file_name = '2.csv'")
+    terms = term_index.touched_terms(spark, stage, one, "nobody")
+    assert tuples(terms) == [("2215",)]
+    rows = pickup.stage_of_terms(spark, stage, terms)
+    assert tuples(rows.select("student_id")) == [("2",), ("3",)]
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [part_key" in text and len(rows.inputFiles()) >= 2
+    scan = [line for line in text.splitlines() if "FileScan parquet" in line and "student_id" in line]
+    assert len(scan) == 1 and scan[0].split("part_key")[2:]
