@@ -459,8 +459,8 @@ def _compacted(spark, sf_dir):
             _deliver(orders.where(F.col("folder") == folder).select("id").coalesce(2), f"{inbox}/day={folder}")
         ledger.load_deliveries(spark, inbox, stage, book, spec, compact_after_runs=2)
     rows = spark.table(stage).groupBy("FILE_ID", (F.col("id").cast("long") % 7).alias("folder")).agg(F.count("*").alias("n"))
-    noted = rows.join(spark.table(book).select("file_id"), F.col("FILE_ID") == F.col("file_id"), "left")
-    return noted.groupBy("folder").agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("file_id").isNotNull()).alias("noted"))
+    noted = rows.join(spark.table(book).select(F.col("file_id").alias("noted_id")), F.col("FILE_ID") == F.col("noted_id"), "left")
+    return noted.groupBy("folder").agg(F.sum("n").alias("n_rows"), F.bool_and(F.col("noted_id").isNotNull()).alias("noted"))
 
 
 def _missing_days_kept(spark, sf_dir):
