@@ -136,6 +136,8 @@ def load_deliveries(
     Records with more cells than the header are kept whole in `surplus_table`, by default one named after the stage;
     None leaves them out. The terms of each file are noted for `rebuild_terms` if the stage has a column `term`.
     """
+    if spark.catalog.tableExists(ledger_table) and not _log_of(spark, ledger_table).exists():
+        raise ValueError(f"{ledger_table} was stored before ledgers were logs; load into a new one")
     listing = list_files(spark, paths, pattern, root)
     known = entries_of(spark, ledger_table, listing, "file_id") if mode == "skip" else None
     if known is not None:
