@@ -21,6 +21,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -111,29 +112,54 @@ class Scorer:
 
     def _forget(self) -> None:
         self.row_of: dict[str, int] = {}
-        self.matrix = np.empty((1024, len(self.model.languages)))
+        self.matrix = np.empty((0, len(self.model.languages)))
+        self.gram_row_of: dict[str, int] = {}
+        self.grams: list[np.ndarray] = []
 
-    def _row(self, word: str) -> int:
-        row = self.row_of[word] = len(self.row_of)
-        if row == len(self.matrix):
-            self.matrix = np.concatenate([self.matrix, np.empty_like(self.matrix)])
-        self.matrix[row] = self.model.of_word(word)
+    def _gram_row(self, gram: str) -> int:
+        row = self.gram_row_of[gram] = len(self.grams)
+        self.grams.append(self.model.of_gram(gram, len(gram)))
         return row
 
+    def _add(self, new: list[str]) -> None:
+        """Rows for words that were not met before: known ones as they are, the others as means of their n-grams."""
+        rows = np.empty((len(new), len(self.model.languages)))
+        unknown: list[int] = []
+        of_grams: list[int] = []
+        sizes: list[int] = []
+        table, known = self.model.tables.get(0), self.gram_row_of.get
+        for i, word in enumerate(new):
+            own = table.get(word) if table else None
+            if own is not None:
+                rows[i] = own
+                continue
+            pieces = grams(word, LENGTHS[0])
+            of_grams += [row if (row := known(piece)) is not None else self._gram_row(piece) for piece in pieces]
+            unknown.append(i)
+            sizes.append(len(pieces))
+        if unknown:
+            size = np.array(sizes)
+            sums = np.add.reduceat(np.array(self.grams)[np.array(of_grams)], np.cumsum(size) - size)
+            rows[unknown] = sums / size[:, None]
+        self.matrix = np.concatenate([self.matrix, rows])
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """The language and score of every text."""
         if not self.model.languages:
             return ["und"] * len(texts), np.zeros(len(texts))
-        if len(self.row_of) > self.most:
+        if len(self.row_of) + len(self.grams) > self.most:
             self._forget()
         rows: list[int] = []
         counts = np.zeros(len(texts), dtype=np.int64)
-        known = self.row_of.get
+        row_of = self.row_of
         for i, text in enumerate(texts):
             if text:
                 found = words(text)
                 counts[i] = len(found)
-                rows += [row if (row := known(word)) is not None else self._row(word) for word in found]
+                # a word that was not met before gets the next row
+                rows += [row_of.setdefault(word, len(row_of)) for word in found]
+        if len(row_of) > len(self.matrix):
+            self._add(list(islice(row_of, len(self.matrix), None)))
         some = np.flatnonzero(counts)
         languages, scores = ["und"] * len(texts), np.zeros(len(texts))
         if not len(some):
