@@ -60,6 +60,38 @@ def test_pipeline_removes_near_copies_from_four_fifths_on(spark, sf_dir):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 5, 6]
 
 
+def test_pipeline_of_odd_rows(spark, sf_dir):
+    def prose(name, n=40):
+        return " ".join(f"{name}word{i}" for i in range(n))
+
+    secret = 'token = "c2VjcmV0MTIzNDU2Nzg5"'
+    texts = [
+        (1, None), (2, ""), (3, " \n"), (4, prose("a")), (4, prose("a")), (None, prose("a")), (9, prose("a")), (None, prose("b")),
+        (None, prose("b")), (5, f"{prose('c')} {secret}"), (6, prose("d", 30_000)), (7, "too short"), (8, prose("e")),
+    ]
+    rows = [(i, text, None if i == 8 else "en", None if i == 8 else "s", 0, place, "x", "y", 1) for place, (i, text) in enumerate(texts)]
+    names = "block long, place string, Row_Key string, epoch int"
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, lang string, source string, n_chars long, {names}")
+    after = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stored(stage(spark, after, sf_dir), name)
+        assert after.columns == docs.columns, name
+    left = {(r.doc_id, (r.text or "")[:2]) for r in after.collect()}
+    assert left == {(4, "aw"), (None, "bw"), (5, "cw"), (6, "dw"), (8, "ew")} and after.count() == 5
+    redacted = after.where("doc_id = 5").first()
+    assert redacted.text.endswith('<assign>"') and redacted.n_chars == len(redacted.text) and redacted.source == "s"
+    mixed = corpus_pipeline.mixture(spark, after, sf_dir)
+    assert mixed.columns == [*docs.columns, "block_", "place_", "epoch_"]
+    found = {(r.doc_id, r.block, r.source) for r in mixed.collect()}
+    assert found <= {(r.doc_id, r.block, r.source) for r in after.collect()} and {r[2] for r in found} == {None, "s"}
+
+
+def test_rows_that_differ_in_other_columns_stay_apart_in_the_mixture(spark):
+    docs = spark.createDataFrame([(1, "a b c", "en", "s"), (1, "a b c", "de", "s"), (1, "a b c", "de", "s")], "doc_id long, text string, lang string, source string")
+    mixed = mixing.mix_texts(docs, repetitions=1.0).collect()
+    assert sorted(r.lang for r in mixed) == ["de", "de", "en"]
+
+
 def test_pipeline_of_an_empty_table(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
