@@ -1,4 +1,12 @@
-"""The corpus pipeline: five stages from `documents` to a training mixture, each written as Parquet and read again."""
+"""The corpus pipeline: five stages from `documents` to a training mixture, each written as Parquet and read again.
+
+Defined cases: null, empty and blank texts have fewer than 20 words and go in the first stage. Rows that repeat an id, or lack
+one, are documents of their own; of those with equal or similar texts one stays, that with the smallest id, rows without an
+id last, and among rows that repeat the smallest id the first as they were numbered. Null languages and sources are kept;
+documents without a source are a source of their own. Texts of any length are worked on whole. Columns beyond those of
+`documents` are kept, whatever their names; the last stage adds `block`, `place` and `epoch`, with underscores behind a name
+that is taken. Rows that differ in any column stay apart in the mixture. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
