@@ -7,6 +7,7 @@ oracle starts from the same rows; what is compared is everything that happens af
 from __future__ import annotations
 
 from functools import cache
+from uuid import NAMESPACE_OID, uuid5
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -170,12 +171,24 @@ _LOOKUP_SOURCES = {
 }
 
 
+#: Rows of a file of the dealt orders.
+ROWS_PER_FILE = 200_000
+
+
+def dealt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as a stored table in files of equal size, which grow in number, whatever the layout of the given file."""
+
+    def dealt() -> DataFrame:
+        orders = table(spark, sf_dir, "orders")
+        files = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ROWS_PER_FILE))  # the count is in the footers
+        return orders.repartition(files)
+
+    return _stored(spark, sf_dir, "orders", dealt)
+
+
 def derived_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide stage over all orders, as a view."""
-    orders = table(spark, sf_dir, "orders")
-    if orders.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
-        orders = orders.repartition(spark.sparkContext.defaultParallelism)
-    return orders.selectExpr(*[f"{sql} AS {name}" for name, sql in stage_columns().items()])
+    """The wide stage over all orders, as a view: each query derives the columns it reads, and no others."""
+    return dealt_orders(spark, sf_dir).selectExpr(*[f"{sql} AS {name}" for name, sql in stage_columns().items()])
 
 
 _folders: dict[tuple[str, str, str], str] = {}
@@ -191,9 +204,13 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, frame) -> DataFrame:
     return spark.read.parquet(_folders[key])
 
 
-def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide stage over all orders as a stored table, which is what the library works on."""
-    return _stored(spark, sf_dir, "stage", lambda: derived_stage(spark, sf_dir))
+def stage(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The stage over all orders as a stored table, which is what the library works on.
+
+    A query that reads a few columns may name them: only they are derived and stored then.
+    """
+    name = "-".join(["stage", *columns]) if len(columns) < 4 else f"stage-{uuid5(NAMESPACE_OID, ' '.join(columns)).hex}"
+    return _stored(spark, sf_dir, name, lambda: derived_stage(spark, sf_dir).select(*columns or "*"))
 
 
 def lookup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,10 +16,13 @@ from tallyloom.plans import conn_to_psu, response, specs, stud_attr
 
 
 def _over_stage(name, inventory, outputs, inputs=()):
-    """A case that shows some stage columns and computed ones: {output: (maker of the column, DuckDB text)}."""
+    """A case that shows some stage columns and computed ones: {output: (maker of the column, DuckDB text)}.
+
+    If it shows any, the computed ones read no others.
+    """
 
     def run(spark, sf_dir):
-        rows = carrier.stage(spark, sf_dir)
+        rows = carrier.stage(spark, sf_dir, *(["id", *inputs] if inputs else []))
         return rows.select("id", *inputs, *[column().alias(out) for out, (column, _) in outputs.items()])
 
     computed = ", ".join(f"{sql} AS {out}" for out, (_, sql) in outputs.items())
@@ -64,7 +67,7 @@ def _nan_scrub(spark, sf_dir):
 
 
 def _academic_year(spark, sf_dir):
-    rows = carrier.stage(spark, sf_dir).select(fn.parse_term("term").alias("term_number"))
+    rows = carrier.stage(spark, sf_dir, "term").select(fn.parse_term("term").alias("term_number"))
     year = fn.academic_year("term_number")
     return (
         rows.where(F.col("term_number").isNotNull())
