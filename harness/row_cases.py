@@ -16,12 +16,12 @@ from tallyloom.plans import intern, intl_exp, response, specs
 S = carrier.stage_sql()
 
 
-def _ids(name, inventory, condition, sql_condition):
-    """Ids of the stage rows that meet a condition."""
+def _ids(name, inventory, condition, sql_condition, columns):
+    """Ids of the stage rows that meet a condition on some columns."""
     return Case(
         name,
         inventory,
-        lambda spark, sf_dir: carrier.stage(spark, sf_dir).where(condition()).select("id"),
+        lambda spark, sf_dir: carrier.stage(spark, sf_dir, "id", *columns).where(condition()).select("id"),
         f"{S}SELECT id FROM stage WHERE {sql_condition}",
     )
 
@@ -49,8 +49,9 @@ FILTERS = [
         "C1",
         lambda: conditions.not_blank("intern_count"),
         "nullif(trim(intern_count), '') IS NOT NULL",
+        ["intern_count"],
     ),
-    _ids("postgrad_info_present", "C2", lambda: F.col("Have_PostGrad_Info").isNotNull(), "Have_PostGrad_Info IS NOT NULL"),
+    _ids("postgrad_info_present", "C2", lambda: F.col("Have_PostGrad_Info").isNotNull(), "Have_PostGrad_Info IS NOT NULL", ["Have_PostGrad_Info"]),
     Case(
         "any_response_column",
         "C3",
@@ -71,6 +72,7 @@ FILTERS = [
         lambda: conditions.any_equals(specs.CONTACT_PRECEDENCE),
         "connect_assist = 'Y' OR connect_emp_panel = 'Y' OR connect_ldship = 'Y' OR connect_mentor = 'Y' "
         "OR connect_network = 'Y' OR connect_no = 'Y'",
+        specs.CONTACT_PRECEDENCE,
     ),
     Case(
         "respondent_id_present",
@@ -120,7 +122,7 @@ FILTERS = [
 
 def _join(key, build, values):
     def run(spark, sf_dir, **options):
-        rows = carrier.stage(spark, sf_dir).select("id", key)
+        rows = carrier.stage(spark, sf_dir, "id", key)
         return lookup_join(rows, build(spark, sf_dir), key, **options).select("id", key, *values)
 
     return run
@@ -343,7 +345,9 @@ def _answered_slot_sql(n):
 
 def _ticked(flags, count=None):
     def run(spark, sf_dir):
-        rows = carrier.stage(spark, sf_dir).withColumn("reported", count_truncated("intern_count"))
+        columns = [name for f in flags for name in (f.flag, f.definition, f.other_text) if name]
+        rows = carrier.stage(spark, sf_dir, *dict.fromkeys(["id", "intern_count", *columns]))
+        rows = rows.withColumn("reported", count_truncated("intern_count"))
         return unpivot_selected(rows, flags, ["id"], count=count)
 
     return run
