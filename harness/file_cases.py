@@ -67,7 +67,7 @@ def _deliver(rows, folder, encoding="UTF-8"):
 def _delivered(spark, sf_dir, condition=None):
     """A folder with the raw delivery of the stage, in separate files for three periods."""
     folder = new_folder(spark, "deliveries")
-    stage = carrier.stage(spark, sf_dir)
+    stage = carrier.derived_stage(spark, sf_dir)
     stage = stage if condition is None else stage.where(condition)
     for period, within in _PERIODS.items():
         _deliver(_raw(stage.where(within)), f"{folder}/period={period}")
@@ -105,12 +105,12 @@ _SPEC = ingest.IngestSpec(
 
 def _mapped(spark, sf_dir):
     """Header names are matched without case; a column nobody delivered is null."""
-    return ingest.map_header(_raw(carrier.stage(spark, sf_dir)), _SPEC.columns)
+    return ingest.map_header(_raw(carrier.derived_stage(spark, sf_dir)), _SPEC.columns)
 
 
 def _mixed_headers(spark, sf_dir):
     """Files whose columns stand in different orders and partly differ, loaded together."""
-    stage = carrier.stage(spark, sf_dir)
+    stage = carrier.derived_stage(spark, sf_dir)
     raw = _raw(stage)
     one, two = new_folder(spark, "headers"), new_folder(spark, "headers")
     _deliver(raw.where("id % 2 = 0").select("id", "STUDENT_ID", "TERM", "MAJOR"), one)
@@ -121,12 +121,12 @@ def _mixed_headers(spark, sf_dir):
 
 
 def _cast(spark, sf_dir):
-    rows = ingest.apply_casts(_raw(carrier.stage(spark, sf_dir)), ingest.RAW_STAGE.casts)
+    rows = ingest.apply_casts(_raw(carrier.derived_stage(spark, sf_dir)), ingest.RAW_STAGE.casts)
     return rows.select("id", F.col("SURVEY_DATE").cast("string").alias("SURVEY_DATE"), "INTERN_IND")
 
 
 def _defaulted(spark, sf_dir):
-    rows = ingest.apply_defaults(_raw(carrier.stage(spark, sf_dir)), ingest.RAW_STAGE.defaults)
+    rows = ingest.apply_defaults(_raw(carrier.derived_stage(spark, sf_dir)), ingest.RAW_STAGE.defaults)
     return rows.select("id", "INTERN_IND")
 
 
@@ -223,7 +223,7 @@ def _guarded(spark, sf_dir):
 
 def _classified_files(spark, sf_dir):
     """Kind of questionnaire by the header line of real files."""
-    stage = _raw(carrier.stage(spark, sf_dir))
+    stage = _raw(carrier.derived_stage(spark, sf_dir))
     folders = {
         "UG": stage.select("id", F.col("MAJOR").alias("Plans_Cleaned")),
         "PG": stage.select("id", F.col("MAJOR").alias("wc_PostGrad_1")),
@@ -270,7 +270,7 @@ def _picked_up(spark, sf_dir):
         )
 
     for condition in (_EARLY_SPARK, f"NOT ({_EARLY_SPARK})"):
-        rows = carrier.stage(spark, sf_dir).where(condition).select("id", "student_id", "term", *_ANSWERS)
+        rows = carrier.derived_stage(spark, sf_dir).where(condition).select("id", "student_id", "term", *_ANSWERS)
         _deliver(rows, folder)
         pickup.pick_up(
             spark, folder, checkpoint, stage_table, f"{database}.ledger", _STREAM_SPEC, refresh
@@ -290,7 +290,7 @@ def _labels_picked_up(spark, sf_dir):
 
     spec = ingest.IngestSpec(columns={"id": "id", "term": "term"})
     for condition in (_EARLY_SPARK, f"NOT ({_EARLY_SPARK})"):
-        _deliver(carrier.stage(spark, sf_dir).where(condition).select("id", "term"), folder)
+        _deliver(carrier.derived_stage(spark, sf_dir).where(condition).select("id", "term"), folder)
         pickup.pick_up(spark, folder, checkpoint, f"{database}.stage", f"{database}.ledger", spec, refresh).awaitTermination()
     return spark.table(labels).select(*term_labels.COLUMNS)
 
@@ -319,7 +319,7 @@ def _deliver_named(spark, rows, folder, name):
 def _odd_names(spark, sf_dir):
     """Folder and header names with blanks, wildcards, per cent signs and backticks."""
     folder = f"{new_folder(spark, 'deliveries')}/odd [x] 100% +1"
-    rows = _raw(carrier.stage(spark, sf_dir)).select("id", F.col("STUDENT_ID").alias("a`b"), F.col("MAJOR").alias("what?"))
+    rows = _raw(carrier.derived_stage(spark, sf_dir)).select("id", F.col("STUDENT_ID").alias("a`b"), F.col("MAJOR").alias("what?"))
     _deliver_named(spark, rows, folder, "in %20 {a,b}")
     parent = folder.rsplit("/", 1)[0]
     read = ingest.read_deliveries(spark, deliveries.inspect_files(spark, parent))
@@ -351,7 +351,7 @@ _TWO_COLUMNS_SQL = f"{S}SELECT CAST(id AS VARCHAR) AS id, nullif(plans_other, ''
 
 
 def _two_columns(spark, sf_dir):
-    return _raw(carrier.stage(spark, sf_dir)).select("id", "MAJOR")
+    return _raw(carrier.derived_stage(spark, sf_dir)).select("id", "MAJOR")
 
 
 def _same_names(spark, sf_dir):
@@ -414,7 +414,7 @@ def _term_moved(spark, sf_dir):
         build = lambda stage: {"intl_exp": intl_exp.cleaned(stage)}
         pickup.rebuild_terms(spark, tables[0], files, build, database, ["intl_exp"], term_of=lenient_term)
 
-    rows = carrier.stage(spark, sf_dir).select("id", "student_id", "term", *_ANSWERS)
+    rows = carrier.derived_stage(spark, sf_dir).select("id", "student_id", "term", *_ANSWERS)
     wrong = F.when(F.col("id") % 3 == 0, F.concat(F.lit("9"), F.col("id") % 5)).otherwise(F.col("term"))
     for delivered in (rows.withColumn("term", wrong), rows):
         _deliver_named(spark, delivered, inbox, "part")
