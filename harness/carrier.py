@@ -180,15 +180,23 @@ def dealt_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def dealt() -> DataFrame:
         orders = table(spark, sf_dir, "orders")
-        files = max(spark.sparkContext.defaultParallelism, -(-orders.count() // ROWS_PER_FILE))  # the count is in the footers
-        return orders.repartition(files)
+        return orders.repartition(_shares(orders))
 
     return _stored(spark, sf_dir, "orders", dealt)
 
 
+def _shares(orders: DataFrame) -> int:
+    """The number of shares of about ROWS_PER_FILE rows; the count is in the footers."""
+    return max(orders.sparkSession.sparkContext.defaultParallelism, -(-orders.count() // ROWS_PER_FILE))
+
+
 def derived_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide stage over all orders, as a view: each query derives the columns it reads, and no others."""
-    return dealt_orders(spark, sf_dir).selectExpr(*[f"{sql} AS {name}" for name, sql in stage_columns().items()])
+    return _derive(dealt_orders(spark, sf_dir))
+
+
+def _derive(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*[f"{sql} AS {name}" for name, sql in stage_columns().items()])
 
 
 _folders: dict[tuple[str, str, str], str] = {}
@@ -207,10 +215,16 @@ def _stored(spark: SparkSession, sf_dir: str, name: str, frame) -> DataFrame:
 def stage(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The stage over all orders as a stored table, which is what the library works on.
 
-    A query that reads a few columns may name them: only they are derived and stored then.
+    A query that reads a few columns may name them: only they are derived and stored then. Each task derives and stores
+    one share of the dealt orders: left to itself, the reader hands all of their small files to as many tasks as there are cores.
     """
+
+    def derived() -> DataFrame:
+        orders = dealt_orders(spark, sf_dir)
+        return _derive(orders.repartition(_shares(orders))).select(*columns or "*")
+
     name = "-".join(["stage", *columns]) if len(columns) < 4 else f"stage-{uuid5(NAMESPACE_OID, ' '.join(columns)).hex}"
-    return _stored(spark, sf_dir, name, lambda: derived_stage(spark, sf_dir).select(*columns or "*"))
+    return _stored(spark, sf_dir, name, derived)
 
 
 def lookup(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

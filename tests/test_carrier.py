@@ -29,3 +29,11 @@ def test_only_named_columns_are_stored(spark, folder):
     narrow, whole = carrier.stage(spark, folder, "id", "term"), carrier.stage(spark, folder)
     assert narrow.columns == ["id", "term"] and spark.read.parquet(*narrow.inputFiles()).columns == ["id", "term"]
     assert narrow.exceptAll(whole.select("id", "term")).isEmpty() and narrow.count() == whole.count() == 1002
+
+
+def test_stage_is_stored_in_shares_that_grow_in_number(spark, folder, monkeypatch):
+    monkeypatch.setattr(carrier, "ROWS_PER_FILE", 50)
+    for columns in ((), ("id", "term")):
+        stored = carrier.stage(spark, folder, *columns)
+        sizes = [row["count"] for row in stored.groupBy("_metadata.file_path").count().collect()]
+        assert len(sizes) == 21 and max(sizes) <= 100 and sum(sizes) == 1002
