@@ -3,8 +3,8 @@
 Spark reads such files with one task per file, as a split cannot know whether it begins inside a quoted cell. Here
 every line is a function from the state before it (inside a quoted cell or not) to the state after it; lines either keep
 the state, turn it round, or end in one state whatever came before. Running compositions of these functions, first over the
-lines of each split, then over the splits of each file, give the state before every line, and so the lines that begin a
-record. Lines of a record are put together again, and `from_csv` reads its cells.
+lines of each chunk (a part of a split of bounded size), then over the chunks of each file, give the state before every line,
+and so the lines that begin a record. Lines of a record are put together again, and `from_csv` reads its cells.
 
 A quote opens a quoted cell only where a cell begins; elsewhere it is an ordinary character, as in Spark's own reader.
 Line ends inside cells are kept as they are; at the end of a record a carriage return falls away. Blank lines outside
@@ -21,6 +21,10 @@ from pyspark.sql import functions as F
 from tallyloom.functions.text import windows_text
 from tallyloom.sources.paths import literal_path, plain_path
 
+#: The most lines that a window holds.
+CHUNK_LINES = 4096
+#: Text that a task gets, more or less.
+BYTES_PER_TASK = 8 * 1024 * 1024
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 _CELLS = rf'(?:(?:"{_INSIDE}"[^,]*+|[^",][^,]*+)?+,)*+'
 
@@ -48,12 +52,12 @@ def lines_of(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
-def _composed(rows: DataFrame, by: list[str], order: str, outside: Column, inside: Column) -> DataFrame:
+def _composed(rows: DataFrame, by: list[str], order: list[str], outside: Column, inside: Column) -> DataFrame:
     """Adds from_outside and from_inside: the state after each row if the first row of its group begins in that state.
 
     `outside` and `inside` (0 or 1) are the state after the row itself, by the state before it.
     """
-    running = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    running = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     turns = F.sum(F.when((F.col("_o") == 1) & (F.col("_i") == 0), 1).otherwise(0)).over(running)
     fixed = F.when(F.col("_o") == F.col("_i"), F.struct(F.col("_o").alias("state"), F.col("_turns").alias("turns")))
     last = F.last(fixed, ignorenulls=True).over(running)
@@ -66,39 +70,57 @@ def _composed(rows: DataFrame, by: list[str], order: str, outside: Column, insid
     return rows.withColumns({"from_outside": after(0), "from_inside": after(1)}).drop("_o", "_i", "_turns", "_fixed")
 
 
-def records(lines: DataFrame) -> DataFrame:
-    """path, is_first (whether it is the file's first record) and record of every record; `lines` is from lines_of."""
-    split = ["path", "block_start"]
-    in_split = Window.partitionBy(*split).orderBy("line_id")
-    own = _composed(lines, split, "line_id", opens("value").cast("int"), stays_open("value").cast("int"))
-    before = [F.lag(f"from_{state}").over(in_split).alias(f"before_{state}") for state in ("outside", "inside")]
-    own = own.select("*", *before)
-
-    # one row per split: its function as a whole
-    ends = own.groupBy(*split).agg(*[F.max_by(f"from_{state}", "line_id").alias(f"end_{state}") for state in ("outside", "inside")])
-    whole = _composed(ends, ["path"], "block_start", F.col("end_outside"), F.col("end_inside"))
-    state = F.coalesce(F.lag("from_outside").over(Window.partitionBy("path").orderBy("block_start")), F.lit(0))
-    begins = whole.select(*split, state.alias("state"))
-
-    known = own.join(begins.hint("merge"), split)  # lines are dealt out by split already
-    state = F.coalesce(F.when(F.col("state") == 0, F.col("before_outside")).otherwise(F.col("before_inside")), F.col("state"))
-    counted = known.withColumn("starts", (state == 0).cast("long"))
-    number = F.sum("starts").over(in_split.rowsBetween(Window.unboundedPreceding, 0))
-    numbered = counted.withColumn("number", number).select(*split, "line_id", "value", "number")
-
-    # lines before the first start of a split belong to the last record of an earlier one
-    totals = numbered.groupBy(*split).agg(F.max("number").alias("n"))
-    some = F.when(F.col("n") > 0, F.struct(F.col("block_start").alias("block"), F.col("n").alias("number")))
-    earlier = F.last(some, ignorenulls=True).over(Window.partitionBy("path").orderBy("block_start").rowsBetween(Window.unboundedPreceding, -1))
-    carried = totals.select(*split, earlier.alias("carried"))
-    placed = numbered.join(carried.hint("merge"), split)
-    here = F.struct(F.col("block_start").alias("block"), F.col("number"))
-    placed = placed.withColumn("of", F.when(F.col("number") > 0, here).otherwise(F.col("carried")))
+def tasks_for(spark: SparkSession, paths: Sequence[str]) -> int:
+    """The number of tasks that share the text of the files."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    found = [jvm.org.apache.hadoop.fs.Path(path) for path in paths]
+    n_bytes = sum(path.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(path).getLength() for path in found)
+    return max(context.defaultParallelism, -(-n_bytes // BYTES_PER_TASK))
+
+
+def records(lines: DataFrame, tasks: int | None = None) -> DataFrame:
+    """path, is_first (whether it is the file's first record) and record of every record; `lines` is from lines_of.
+
+    Lines are worked on in chunks, so that no window holds more than CHUNK_LINES of them, and dealt out to `tasks` tasks (see
+    tasks_for; the session's number of shuffle partitions, if it is not given).
+    """
+    shares = [] if tasks is None else [tasks]
+    chunk = ["path", "block_start", "chunk"]
+    dealt = lines.withColumn("chunk", F.expr(f"line_id div {CHUNK_LINES}")).repartition(*shares, *chunk)
+    own = _composed(dealt, chunk, ["line_id"], opens("value").cast("int"), stays_open("value").cast("int"))
+    # for both states a chunk can begin in: the state before each line, and how many records have begun
+    in_chunk = Window.partitionBy(*chunk).orderBy("line_id")
+    states = {"outside": 0, "inside": 1}
+    before = {f"starts_{name}": F.coalesce(F.lag(f"from_{name}").over(in_chunk), F.lit(start)) == 0 for name, start in states.items()}
+    running = in_chunk.rowsBetween(Window.unboundedPreceding, 0)
+    own = own.withColumns(before).withColumns({f"n_{name}": F.sum(F.col(f"starts_{name}").cast("long")).over(running) for name in states})
+    own = own.drop(*before)
+
+    # one row per chunk: its function as a whole, the state it begins in, and the last record that began before it
+    last = [F.max_by(f"from_{name}", "line_id").alias(f"end_{name}") for name in states]
+    ends = own.groupBy(*chunk).agg(*last, *[F.max(f"n_{name}").alias(f"n_{name}") for name in states])
+    whole = _composed(ends, ["path"], ["block_start", "chunk"], F.col("end_outside"), F.col("end_inside"))
+    in_file = Window.partitionBy("path").orderBy("block_start", "chunk")
+    top = F.lag("chunk").over(in_file).isNull()
+    whole = whole.withColumns({"state": F.coalesce(F.lag("from_outside").over(in_file), F.lit(0)), "top": top})
+    whole = whole.withColumn("n", F.when(F.col("state") == 0, F.col("n_outside")).otherwise(F.col("n_inside")))
+
+    def record_of(number: str) -> Column:
+        return F.when(F.col(number) > 0, F.struct("top", "block_start", "chunk", F.col(number).alias("number")))
+
+    earlier = F.last(record_of("n"), ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
+    begins = whole.select(*chunk, "state", "top", earlier.alias("carried"))
+
+    # lines before the first start of a chunk belong to the last record of an earlier one
+    known = own.join(begins.hint("merge"), chunk)  # lines are dealt out by chunk already
+    number = F.when(F.col("state") == 0, F.col("n_outside")).otherwise(F.col("n_inside"))
+    placed = known.withColumn("number", number).withColumn("of", F.coalesce(record_of("number"), F.col("carried")))
 
     parts = F.sort_array(F.collect_list(F.struct("block_start", "line_id", "value"))).alias("parts")
-    whole = placed.groupBy("path", "of").agg(parts)
+    together = placed.select("path", "of", "block_start", "line_id", "value").repartition(*shares, "path", "of")
+    whole = together.groupBy("path", "of").agg(parts)
     text = F.regexp_replace(F.array_join(F.col("parts.value"), "\n"), r"\r\z", "")
-    is_first = (F.col("of.block") == 0) & (F.col("of.number") == 1)
+    is_first = F.col("of.top") & (F.col("of.number") == 1)
     return whole.select("path", is_first.alias("is_first"), text.alias("record"))
 
 
@@ -108,10 +130,10 @@ def decoded(record: Column, is_utf8: bool) -> Column:
 
 def first_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """path and record of the first record of every file."""
-    return records(lines_of(spark, paths)).where("is_first").select("path", "record")
+    return records(lines_of(spark, paths), tasks_for(spark, paths)).where("is_first").select("path", "record")
 
 
 def data_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """path and record of all records but the first of every file and those that are blank."""
-    found = records(lines_of(spark, paths)).where(~F.col("is_first"))
+    found = records(lines_of(spark, paths), tasks_for(spark, paths)).where(~F.col("is_first"))
     return found.where(F.col("record").rlike(r"[^\x00-\x20]")).select("path", "record")

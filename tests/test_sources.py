@@ -404,6 +404,35 @@ def test_records_equal_a_plain_scan(spark, tmp_path):
             assert sorted(found[i]) == sorted(wanted), (size, text)
 
 
+def test_records_run_over_chunks_of_lines(spark, tmp_path, monkeypatch):
+    import random
+
+    rng = random.Random(5)
+    monkeypatch.setattr(records, "CHUNK_LINES", 3)
+    texts = []
+    for i in range(20):
+        texts.append("head,er\n" + "\n".join(rng.choice(ODD_LINES) for _ in range(rng.randrange(1, 60))) + "\n")
+        put(tmp_path, f"{i}.csv", texts[-1])
+    found, heads = {}, []
+    for row in records.records(records.lines_of(spark, [str(tmp_path)])).collect():
+        found.setdefault(int(row.path.rsplit("/", 1)[1][:-4]), []).append(row.record)
+        heads += [row.record] if row.is_first else []
+    for i, text in enumerate(texts):
+        assert sorted(found[i]) == sorted(r[:-1] if r.endswith("\r") else r for r in plain_records(text)), text
+    assert heads == ["head,er"] * 20
+
+
+def test_tasks_for_lines_grow_with_the_text(spark, tmp_path, monkeypatch):
+    put(tmp_path, "big.csv", "head,er\n" + 'a,"b\nc"\n' * 5000)
+    monkeypatch.setattr(records, "BYTES_PER_TASK", 1000)
+    paths = [str(tmp_path / "big.csv")]
+    assert records.tasks_for(spark, paths) == 41
+    monkeypatch.setattr(records, "CHUNK_LINES", 100)
+    found = records.records(records.lines_of(spark, paths), 41)
+    shares = [row["count"] for row in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(shares) == 5001 and len(shares) > 35
+
+
 def test_a_large_file_with_line_breaks_is_read_by_many_tasks(spark, tmp_path):
     rows = "".join(f'{i},2235,"first {i}\n""second"", {i}\n"\n' for i in range(30_000))
     put(tmp_path, "big.csv", 'STUDENT_ID,"TE\nRM",NOTE\n' + rows)
