@@ -42,10 +42,14 @@ class AuditError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
-    """A condition on the metrics of a run (table -> metric -> value), and what to say if it does not hold."""
+    """A condition on the metrics of a run (table -> metric -> value), and what to say if it does not hold.
+
+    `reads` names all tables whose metrics it looks at; such a check can be made as soon as those are written.
+    """
 
     holds: Callable[[Mapping[str, Mapping[str, int]]], bool]
     message: str
+    reads: tuple[str, ...] = ()
 
 
 def with_partition_key(df: DataFrame, key: str = "term") -> DataFrame:
@@ -199,13 +203,22 @@ class Run:
             found = found.unionByName(counts.withColumns({"table_name": F.lit(name), "generation": F.lit(self.number)}))
         return found
 
-    def publish(self, checks: Sequence[Check] = (), clean: bool = True) -> None:
-        """Makes the rows seen, in one step, if all checks hold and no other run was quicker."""
-        spark, tables = self.tables.spark, self.tables
+    def audit(self, checks: Sequence[Check]) -> None:
+        """Raises if some of the checks do not hold."""
         metrics = {**self.metrics_of_input, **self.metrics}
         failed = [check.message for check in checks if not check.holds(metrics)]
         if failed:
             raise AuditError("; ".join(failed))
+
+    def audit_early(self, checks: Sequence[Check]) -> None:
+        """Makes the checks that say what they read and for which all of that is counted; the others wait for publish."""
+        known = {*self.metrics_of_input, *self.metrics}
+        self.audit([check for check in checks if check.reads and known.issuperset(check.reads)])
+
+    def publish(self, checks: Sequence[Check] = (), clean: bool = True) -> None:
+        """Makes the rows seen, in one step, if all checks hold and no other run was quicker."""
+        spark, tables = self.tables.spark, self.tables
+        self.audit(checks)
         old = spark.table(f"{tables.database}.live__{self.before}")
         if self._refreshed:
             old = old.where(~F.col("table_name").isin(*self._refreshed))

@@ -137,11 +137,11 @@ def share_without_id(most: float, table: str = "stud_attr") -> Check:
         read, own = metrics["stage"]["rows"], metrics[table]
         return read - own["rows"] + own["no_id"] <= most * read
 
-    return Check(holds, f"more than {most:.0%} of the respondents have no id in {table}")
+    return Check(holds, f"more than {most:.0%} of the respondents have no id in {table}", ("stage", table))
 
 
 def not_empty(*tables: str) -> Check:
-    return Check(lambda metrics: all(metrics[t]["rows"] > 0 for t in tables), f"no rows for {', '.join(tables)}")
+    return Check(lambda metrics: all(metrics[t]["rows"] > 0 for t in tables), f"no rows for {', '.join(tables)}", tables)
 
 
 def run_full(
@@ -156,20 +156,23 @@ def run_full(
     The cleaned tables are refreshed as a whole, `response` is replaced for the terms of the stage as they were
     delivered, and labels are added for new terms; all become seen in one step. Nothing changes if the stage lacks
     columns, a computation fails, or a check does not hold. Checks see what was counted while the rows were written,
-    and the rows of the stage (`metrics["stage"]["rows"]`). Running again with the same stage gives the same rows.
+    and the rows of the stage (`metrics["stage"]["rows"]`). Tables that checks read are written first, and a check is made
+    as soon as it can be, so a run that fails one does not write the rest. Running again with the same stage gives the same rows.
     """
     check_stage(stage)
     tables = full_tables(stage, lookups, load_date=load_date)
     del tables[LABELS]  # rows that are stored are not written again
     stored = Generations(stage.sparkSession, database)
+    audited = [name for check in sorted(checks, key=lambda check: len(check.reads)) for name in check.reads if name in tables]
     with stored.begin() as run:
-        for name, rows in tables.items():
-            run.write(name, rows, **_metrics(rows))
+        if checks:
+            run.metrics_of_input["stage"] = {"rows": stage.count()}  # reads no column
+        for name in dict.fromkeys([*audited, *tables]):
+            run.write(name, tables[name], **_metrics(tables[name]))
+            run.audit_early(checks)
             if name != "response":
                 run.refresh(name)
         run.replace("response", _stage_terms(stage))
         _add_labels(run, stage)
-        if checks:
-            run.metrics_of_input["stage"] = {"rows": stage.count()}  # reads no column
         run.publish(checks)
     return stored.row_counts([*tables, LABELS])

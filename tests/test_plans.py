@@ -1,10 +1,12 @@
 """Builders: output columns, decisions on odd answers, and the shape of the physical plans."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from harness import carrier
-from tallyloom.operators.generations import AuditError, Generations
+from tallyloom.operators.generations import AuditError, Check, Generations
 from tallyloom.plans import conn_to_psu, intern, intl_exp, learned, response, runs, stud_attr, term_labels
 from tallyloom.plans.schema import STAGE_SCHEMA, case_blind_flags
 
@@ -209,6 +211,25 @@ def test_audited_run_counts_without_a_second_scan(spark, sf_dir, database, looku
     assert dict(tuples(Generations(spark, database).row_counts(list(found)))) == found
 
 
+def test_run_that_fails_a_check_does_not_write_the_tables_after_it(spark, sf_dir, database, lookups):
+    stage, stored = carrier.stage(spark, sf_dir), Generations(spark, database)
+    with pytest.raises(AuditError, match="no id in stud_attr"):
+        runs.run_full(stage, lookups, database, checks=[runs.not_empty("intern"), runs.share_without_id(0.0)])
+    assert stored.has("stud_attr") and not stored.has("response")
+    # a check that does not say what it reads is made when all is written
+    wrong = Check(lambda metrics: metrics["response"]["rows"] == 0, "rows in response")
+    with pytest.raises(AuditError, match="^rows in response$"):
+        runs.run_full(stage, lookups, database, checks=[wrong])
+    assert stored.has("response") and stored.manifest().count() == 0
+
+
+def test_builders_stay_small_enough_to_be_compiled(spark, sf_dir, lookups):
+    # the virtual machine interprets methods of 8,000 bytes and more for good
+    for name, table in runs.full_tables(carrier.stage(spark, sf_dir), lookups).items():
+        text = table._sc._jvm.PythonSQLUtils.explainString(table._jdf.queryExecution(), "codegen")
+        assert all(int(size) < 8000 for size in re.findall(r"maxMethodCodeSize:(\d+)", text)), name
+
+
 def test_load_date_can_be_given(spark):
     stage = stage_of(spark, {"student_id": "1", "term": "2235", "int_exp_none": "Y"})
     given = F.lit("2024-01-01").cast("timestamp")
