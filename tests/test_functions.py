@@ -110,6 +110,22 @@ def test_strip_matches_python(spark):
     assert values(spark, fn.strip, texts) == [text.strip() for text in texts]
 
 
+def test_strip_with_and_without_the_short_cut(spark):
+    ends = ["", "!", "~", "a", "~~", "\x7f", "\x00", "\u00e9", "\u212a", "\U0001f600", *WHITESPACE]
+    texts = [f"{first}{middle}{last}" for first in ends for middle in ("", " ", "x y") for last in ends]
+    assert values(spark, fn.strip, texts) == [text.strip(WHITESPACE) for text in texts]
+    wanted = [(text.strip(WHITESPACE)[-9:].rjust(9, "0") if text.strip(WHITESPACE) else None) for text in texts]
+    assert values(spark, fn.strict_id, texts) == wanted
+
+
+def test_ids_are_not_searched_for_white_space_again_and_again(spark):
+    stripped = spark.range(1).select(F.col("id").cast("string").alias("v")).select(fn.strict_id("v").alias("id"))
+    optimized = stripped._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= optimized.lower().count("trim(") <= 2
+    # text without outer white space does not come to the search at all
+    assert "CASE WHEN" in optimized
+
+
 def test_windows_text(spark):
     raw = bytes(b for b in range(0x80, 0x100) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D))
     assert values(spark, lambda c: windows_text(F.col(c)), [raw.decode("latin-1")]) == [raw.decode("cp1252")]
