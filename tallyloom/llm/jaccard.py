@@ -22,7 +22,7 @@ a hash with a probability of N * N / 2 ** 65 (about 0.03 for 10 ** 9), and one s
 Defined cases: texts that are null, or have no words, have empty sets and are linked with nothing; rows that repeat an
 id are compared one by one; rows without an id are linked like any others and get the smallest id of their component, or
 none where no row has one; columns besides `doc_id` and `text` are not read by `components`, and kept by `keep_one`. For `keep_one` every row
-is a document of its own, whatever its id.
+is a document of its own, whatever its id. It stores digests of rows, not the rows, so the table must not change meanwhile.
 """
 
 from __future__ import annotations
@@ -110,7 +110,7 @@ def _extra(n: Column) -> Column:
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, content (hash of the text), n_grams, the class (h1, h2) and the first n-grams (upper halves) by their hashes."""
+    """The columns but `text`, content (its hash), n_grams, the class (h1, h2) and the first n-grams (upper halves) by their hashes."""
 
     @F.pandas_udf("n_grams long, h1 long, h2 long, first array<int>")
     def outline(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -124,8 +124,9 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
             yield pd.DataFrame(rows, columns=["n_grams", "h1", "h2", "first"])
             del rows
 
-    found = docs.select("doc_id", F.xxhash64("text").alias("content"), outline("text").alias("o"))
-    return found.select("doc_id", "content", "o.*")
+    others = [c for c in docs.columns if c != "text"]
+    found = docs.select(*others, F.xxhash64("text").alias("content"), outline("text").alias("o"))
+    return found.select(*others, "content", "o.*")
 
 
 def _survivors(classes: DataFrame, percent: int) -> DataFrame:
@@ -140,8 +141,11 @@ def _survivors(classes: DataFrame, percent: int) -> DataFrame:
     return kept.where(F.col("n_found") >= _extra(smallest)).drop("n_found")
 
 
-def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) -> DataFrame:
-    """h1, representative, n_grams and the set's shared n-grams in global order: structs of order and gram."""
+def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int, repeats: bool) -> DataFrame:
+    """h1, representative, n_grams and the set's shared n-grams in global order: structs of df and gram.
+
+    `repeats` tells whether rows repeat both id and text.
+    """
     wanted = survivors.select("h1", "h2", "representative", "content")
     same_text = F.xxhash64("text") == F.col("content")
 
@@ -150,6 +154,8 @@ def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) ->
         return found.select("h1", "h2", "text")
 
     texts = texts_of(wanted.where("representative is not null"), F.col("doc_id") == F.col("representative"))
+    if repeats:
+        texts = texts.dropDuplicates(["h1", "h2"])
     nameless = wanted.where("representative is null")
     if not nameless.isEmpty():
         # Classes whose rows all lack an id: any number of rows may have the text.
@@ -168,12 +174,17 @@ def _ordered_sets(docs: DataFrame, survivors: DataFrame, n: int, limit: int) ->
     grams = stored(texts.select("h1", "h2", "text").mapInPandas(sets_of, "h1 long, gram long"), "survivors-grams")
     frequency = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1").withColumnRenamed("gram", "shared")
     common = grams.join(frequency, F.col("gram") == F.col("shared"))
-    top = (1 << _DF_BITS) - 1
-    order = F.shiftleft(F.least("df", F.lit(top)), 63 - _DF_BITS).bitwiseOR(F.shiftrightunsigned("gram", _DF_BITS + 1))
-    ordered = common.groupBy("h1").agg(F.sort_array(F.collect_set(F.struct(order.alias("place"), "gram"))).alias("ordered"))
+    df = F.least("df", F.lit((1 << _DF_BITS) - 1)).cast("int").alias("df")
+    ordered = common.groupBy("h1").agg(F.sort_array(F.collect_set(F.struct(df, "gram"))).alias("ordered"))
     return survivors.drop("h2", "content").join(ordered.hint("merge"), "h1")
 
 
+def _place(g: str) -> Column:
+    """A number that grows with the global order of structs of df and gram: all of df, and the upper bits of gram."""
+    upper = F.shiftrightunsigned(f"{g}.gram", _DF_BITS + 1).bitwiseXOR(F.lit(1 << (62 - _DF_BITS)))  # grams are signed
+    return F.shiftleft(F.col(f"{g}.df").cast("long"), 63 - _DF_BITS).bitwiseOR(upper)
+
+
 def _sketches(ordered: str) -> list[Column]:
     """The sketch of a set of structs with a gram, as columns k0 to k3."""
 
@@ -206,10 +217,9 @@ def _size_band(n: Column, percent: int) -> Column:
 def _fragments(sets: DataFrame, fragments: int) -> DataFrame:
     """h1, fragment and the n-grams of the set in it. The global order is cut where equal numbers of n-grams lie between."""
     cuts = [i / fragments for i in range(1, fragments)]
-    places = sets.select(F.explode("ordered.place").alias("place"))
-    pivots = places.agg(F.percentile_approx("place", cuts)).first()[0] or []
     rows = sets.select("h1", F.explode("ordered").alias("g"))
-    fragment = reduce(lambda total, cut: total + (F.col("g.place") >= cut).cast("int"), pivots, F.lit(0))
+    pivots = rows.agg(F.percentile_approx(_place("g"), cuts)).first()[0] or []
+    fragment = reduce(lambda total, cut: total + (_place("g") >= cut).cast("int"), pivots, F.lit(0))
     return rows.groupBy("h1", fragment.alias("fragment")).agg(F.collect_list("g.gram").alias("grams"))
 
 
@@ -328,13 +338,19 @@ def _crossing_pairs(index: DataFrame, labels: DataFrame, percent: int) -> DataFr
 
 def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: int = FRAGMENTS, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """doc_id, n_shingles (the size of its set) and component_id (the smallest id reachable by links) of every row."""
+    return _components(docs.select("doc_id", "text"), n, percent, fragments, limit)
+
+
+def _components(docs: DataFrame, n: int, percent: int, fragments: int, limit: int) -> DataFrame:
+    """What `components` returns, and further columns of `docs`, which are read once."""
     rows = stored(_classes(docs, n, percent), "first-grams")
     one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content")).alias("one")
     classes = rows.groupBy("h1", "h2", "n_grams").agg(one, F.first("first").alias("first"))
     named = [F.col("one.doc_id").alias("representative"), F.col("one.content").alias("content")]
     classes = stored(classes.select("h1", "h2", "n_grams", *named, "first"), "classes")
     survivors = stored(_survivors(classes, percent), "survivors")
-    sets = stored(_ordered_sets(docs, survivors, n, limit), "ordered-sets")
+    repeats = not rows.where("n_grams > 0").groupBy("doc_id", "content").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    sets = stored(_ordered_sets(docs, survivors, n, limit, repeats), "ordered-sets")
     segments = stored(_fragments(sets, fragments), "segments")
 
     # Of the necessary first n-grams, those that occur in this set alone come first and lead nowhere.
@@ -364,20 +380,41 @@ def components(docs: DataFrame, n: int = N, percent: int = PERCENT, fragments: i
     )
     joined = rows.drop("first", "content").join(of_class.hint("merge"), (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left")
     component = F.when(F.col("n_grams") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return joined.select("doc_id", F.col("n_grams").alias("n_shingles"), component.alias("component_id"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    return joined.select("doc_id", F.col("n_grams").alias("n_shingles"), component.alias("component_id"), *others)
+
+
+def _digest(docs: DataFrame) -> Column:
+    """Two hashes that only rows alike in all columns share."""
+    cells = []
+    for field in docs.schema:
+        cell = F.col(f"`{field.name}`")
+        nested = field.dataType.typeName() in ("array", "map", "struct", "variant")
+        cells += [F.to_json(F.struct(cell)) if nested else cell, cell.isNull()]  # a hash passes over nulls
+    return F.struct(*[F.xxhash64(F.lit(seed), *cells).alias(f"d{seed}") for seed in (1, 2)])
 
 
 def keep_one(docs: DataFrame, n: int = N, percent: int = PERCENT, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """One row of each component with its own columns: that with the smallest id, rows without an id last.
 
-    Rows are told apart by a stored key, so rows that repeat an id, or have none, are copies like any others.
+    Every row counts, whatever its id: rows are told apart by a digest of all their columns, which need not be stored with
+    them, and numbered as they are first read. Of rows alike in all columns any one stays.
     """
     key = unused(docs.columns, "row_key")
-    keyed = stored(docs.withColumn(key, F.monotonically_increasing_id()), "keyed-rows")
-    found = stored(components(keyed.select(F.col(key).alias("doc_id"), "text"), n, percent, limit=limit), "row-components")
-    ids = keyed.select(F.col(key).alias("row_key"), F.col("doc_id").alias("of_id"))
-    named = found.join(ids.hint("merge"), F.col("doc_id") == F.col("row_key"))
-    first = F.min(F.struct(F.col("of_id").isNull().alias("none"), "of_id", "row_key")).alias("first")
-    winners = named.groupBy("component_id").agg(first).select("first.row_key")
-    gone = found.select(F.col("doc_id").alias("copied_row")).join(winners.hint("merge"), F.col("copied_row") == F.col("row_key"), "left_anti")
-    return join_small(keyed, stored(gone, "copies"), F.col(f"`{key}`") == F.col("copied_row"), "left_anti", limit).drop(key)
+    keyed = docs.withColumn(key, _digest(docs))
+    number = F.monotonically_increasing_id().alias("number")
+    rows = keyed.select(F.col(f"`{key}`").alias("doc_id"), "text", F.col("doc_id").alias("of_id"), number)
+    linked = stored(_components(rows, n, percent, FRAGMENTS, limit).where("n_shingles > 0"), "row-components")
+    first = F.min(F.struct(F.col("of_id").isNull().alias("none"), "of_id", "number", "doc_id")).alias("first")
+    winners = linked.groupBy("component_id").agg(first).select(F.col("first.doc_id").alias("winner"))
+    counts = linked.groupBy("doc_id").agg(F.count("*").alias("n"))
+    judged = counts.join(winners.hint("merge"), F.col("doc_id") == F.col("winner"), "left").where("winner is null or n > 1")
+    judged = stored(judged, "copies")
+    gone = judged.where("winner is null").select(F.col("doc_id").alias("copied_row"))
+    kept = join_small(keyed, gone, F.col(f"`{key}`") == F.col("copied_row"), "left_anti", limit)
+    repeated = judged.where("winner is not null").select(F.col("doc_id").alias("repeated_row"))
+    if repeated.isEmpty():
+        return kept.drop(key)
+    alike = F.col(f"`{key}`") == F.col("repeated_row")
+    one_each = join_small(kept, repeated, alike, "left_semi", limit).dropDuplicates([key])
+    return join_small(kept, repeated, alike, "left_anti", limit).unionByName(one_each).drop(key)

@@ -5,6 +5,7 @@ import math
 import random
 import re
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -22,7 +23,7 @@ from tallyloom.llm import (
     secret_scan,
     token_counts,
 )
-from tallyloom.llm.common import read
+from tallyloom.llm.common import read, stored
 from tallyloom.sources.workspace import new_folder
 
 DOCS = "doc_id long, text string, lang string, source string, n_words string, words string, block long"
@@ -365,6 +366,41 @@ def test_one_row_of_each_component_stays_whatever_the_ids(spark):
         assert sorted(kept, key=str) == sorted([(7, "a0"), (None, "b0"), (3, "c0"), (9, "d0"), (None, ""), (None, ""), (5, "e0")], key=str)
 
 
+def test_keep_one_stores_no_texts(spark, tmp_path, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"{rng.getrandbits(40):x}" for _ in range(400)), "en", "s") for i in range(300)]
+    frame(spark, rows).write.parquet(str(tmp_path / "docs"))
+    folders = []
+
+    def noted(df, purpose):
+        folders.append(stored(df, purpose))
+        return folders[-1]
+
+    monkeypatch.setattr(jaccard, "stored", noted)
+    assert jaccard.keep_one(spark.read.parquet(str(tmp_path / "docs"))).count() == len(rows)
+    assert not any("text" in one.columns for one in folders)
+
+    def size(files):
+        return sum(Path(f.removeprefix("file://")).stat().st_size for f in files)
+
+    written = sum(size(one.inputFiles()) for one in folders)
+    assert written < 0.6 * size(spark.read.parquet(str(tmp_path / "docs")).inputFiles())
+
+
+def test_keep_one_of_rows_alike_in_all_columns(spark):
+    base = [f"w{i}" for i in range(60)]
+    text, near, other = " ".join(base), " ".join([*base, "end"]), " ".join(f"o{i}" for i in range(60))
+    rows = [(3, text, {"k": 1}, None, "a"), (3, text, {"k": 1}, "a", None)] + [(3, text, {"k": 1}, None, "a")] * 2
+    rows += [(None, other, None, None, None)] * 3 + [(4, near, {}, "a", "a")] * 2 + [(None, None, None, None, None)] * 2
+    schema = "doc_id long, text string, row_key map<string,int>, x string, y string"
+    docs = spark.createDataFrame(rows, schema).coalesce(1)
+    for limit in (1 << 24, 0):
+        kept = jaccard.keep_one(docs, limit=limit)
+        assert kept.columns == docs.columns
+        found = sorted(map(str, (tuple(r) for r in kept.collect())))
+        assert found == sorted(map(str, [rows[0], rows[4], rows[-1], rows[-1]]))
+
+
 def test_rows_without_an_id_link_others(spark):
     base = [f"w{i}" for i in range(200)]
     a, x, b = base, base[12:] + [f"x{i}" for i in range(12)], base[24:] + [f"x{i}" for i in range(24)]
