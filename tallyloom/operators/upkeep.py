@@ -34,20 +34,22 @@ def create_partitioned_table(df: DataFrame, table: str, key: str = "term") -> No
 
 
 def replace_partitions(
-    table: str, stage: DataFrame, new_rows: DataFrame, key: str = "term", include_null_key: bool = True
+    table: str, stage: DataFrame, new_rows: DataFrame, key: str = "term", include_null_key: bool = True, clustered: bool = False
 ) -> None:
     """Persisted form of replace_by_key for a managed table made by create_partitioned_table.
 
     Only the partitions of the stage's keys are touched. The new rows are written beside the table first, so a
     failing computation leaves the table as it was; running again after any failure gives the right rows. Between the two
-    steps of the exchange a reader misses the keys; `Generations` has no such gap and writes rows once.
+    steps of the exchange a reader misses the keys; `Generations` has no such gap and writes rows once. Rows are gathered by
+    key before they are written, unless they are `clustered`: each task has rows of few keys, or all of a key.
     """
     spark = new_rows.sparkSession
     if spark.catalog.getTable(table).tableType != "MANAGED":
         raise ValueError(f"{table} is not a managed table: dropping its partitions would leave the files in place")
     incoming = f"{table}_incoming_{uuid.uuid4().hex}"
     try:
-        spread = with_partition_key(new_rows, key).hint("rebalance", PARTITION_COLUMN)
+        spread = with_partition_key(new_rows, key)
+        spread = spread if clustered else spread.hint("rebalance", PARTITION_COLUMN)
         spread.write.mode("overwrite").partitionBy(PARTITION_COLUMN).format("parquet").saveAsTable(incoming)
 
         keys = with_partition_key(stage.select(key).distinct(), key).select(PARTITION_COLUMN)

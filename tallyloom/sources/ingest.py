@@ -7,12 +7,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.terms import base_name
 from tallyloom.functions.text import blank_to_null, null_text, windows_text
+from tallyloom.operators.quality import observed, watch
 from tallyloom.operators.sets import union_all
 from tallyloom.sources.deliveries import file_id
 from tallyloom.sources.paths import literal_path, plain_path
@@ -87,44 +88,49 @@ def shape(df: DataFrame, spec: IngestSpec, keep: Sequence[str] = ()) -> DataFram
     return apply_casts(apply_defaults(map_header(df, spec.columns, keep), spec.defaults), spec.casts)
 
 
-def read_deliveries(spark: SparkSession, files: DataFrame, spec: IngestSpec | None = None) -> DataFrame:
+def read_deliveries(
+    spark: SparkSession, files: DataFrame, spec: IngestSpec | None = None, counted: dict[tuple, Observation] | None = None
+) -> DataFrame:
     """The rows of all files with FILE_ID, FILE_NAME and LOAD_TS; all-text columns unless `spec` says otherwise.
 
     `files` comes from inspect_files. Files with the same header and encoding are read together, each file with
     the column order of its own header. Of equal header names the second is called `name_2`, a column without a
     name by its place. Cells beyond the header are left out here and found by surplus_cells. The driver handles
-    one short row per file, as Spark's file index does.
+    one short row per file, as Spark's file index does. `counted` gets a counter for each group of files whose records run over
+    several lines: how many have surplus cells, known once the rows were written, for surplus_cells.
     """
     groups = _alike(files)
     if not groups:
         raise ValueError("no files to read")
-    parts = [_rows(spark, paths, *group) for group, paths in groups.items()]
+    parts = [_rows(spark, paths, *group, counted) for group, paths in groups.items()]
     if spec is not None:
         return union_all([shape(part, spec, keep=LINEAGE_COLUMNS) for part in parts])
     return reduce(lambda rows, part: rows.unionByName(part, allowMissingColumns=True), parts)
 
 
-def surplus_cells(spark: SparkSession, files: DataFrame) -> DataFrame:
+def surplus_cells(spark: SparkSession, files: DataFrame, counted: Mapping[tuple, Observation] | None = None) -> DataFrame:
     """The records with more cells than their file's header: FILE_ID, FILE_NAME, LOAD_TS, n_columns, n_cells, record.
 
-    Files none of whose lines has more commas than the header has are not read again.
+    Files none of whose lines has more commas than the header has are not read again, nor are groups of files of which
+    `counted` (from read_deliveries, when its rows were written) says that no record has surplus cells.
     """
     found = []
     files = with_more_commas(files)
-    for (header, is_utf8, has_line_breaks, root), paths in _alike(files).items():
+    for group, paths in _alike(files).items():
+        header, is_utf8, has_line_breaks, root = group
         names = column_names(header)
         if not names:
             continue
+        if counted and group in counted and observed(counted[group], "surplus")["surplus"] == 0:
+            continue
         if has_line_breaks:
             raw = data_records(spark, paths).withColumn(_RECORD, decoded(F.col("record"), is_utf8)).drop("record")
-            lineage, bare = _lineage(root, F.col("path")), F.regexp_replace(F.col(_RECORD), _QUOTED_CELL, "")
-            n_cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+            lineage, n_cells = _lineage(root, F.col("path")), _n_cells(F.col(_RECORD))
             more = raw.select(*lineage, n_cells.alias("n_cells"), _RECORD).where(F.col("n_cells") > len(names))
             found.append(more.select(*LINEAGE_COLUMNS, F.lit(len(names)).alias("n_columns"), "n_cells", F.col(_RECORD).alias("record")))
             continue
         raw = _raw_rows(spark, paths, names, is_utf8, _RECORD)
-        bare = F.regexp_replace(F.col(_RECORD), _QUOTED_CELL, "")
-        n_cells = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+        n_cells = _n_cells(F.col(_RECORD))
         # Spark gives the record only where all cells are read, so the condition names them
         length = F.length(F.concat_ws("", *[F.col(_quoted(name)) for name in names]))
         cells = raw.select(*_lineage(root), n_cells.alias("n_cells"), length.alias("length"), _RECORD)
@@ -174,6 +180,14 @@ def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _commas(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(","), F.lit("")))
+
+
+def _n_cells(record: Column) -> Column:
+    return _commas(F.regexp_replace(record, _QUOTED_CELL, "")) + 1
+
+
 def _alike(files: DataFrame) -> dict[tuple, list[str]]:
     """Paths by header, encoding, line breaks and inbox."""
     groups: dict[tuple, list[str]] = {}
@@ -206,7 +220,13 @@ def _raw_rows(spark: SparkSession, paths: Sequence[str], names: Sequence[str], i
 
 
 def _rows(
-    spark: SparkSession, paths: Sequence[str], header: str, is_utf8: bool, has_line_breaks: bool, root: str | None
+    spark: SparkSession,
+    paths: Sequence[str],
+    header: str,
+    is_utf8: bool,
+    has_line_breaks: bool,
+    root: str | None,
+    counted: dict[tuple, Observation] | None = None,
 ) -> DataFrame:
     names = column_names(header)
     if not names:
@@ -214,6 +234,11 @@ def _rows(
     if has_line_breaks:
         # Spark's reader would take such a file as one task
         found = data_records(spark, paths)
+        if counted is not None:
+            record = decoded(F.col("record"), is_utf8)
+            # quoted cells are looked for only in records with enough commas
+            surplus = F.count_if((_commas(record) >= len(names)) & (_n_cells(record) > len(names)))
+            found, counted[header, is_utf8, has_line_breaks, root] = watch(found, surplus=surplus)
         columns = ", ".join(f"{_quoted(name)} STRING" for name in names)
         cells = F.from_csv(decoded(F.col("record"), is_utf8), columns, {"escape": '"'})
         parsed = found.select(cells.alias("cells"), "path")

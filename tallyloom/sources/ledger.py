@@ -105,12 +105,15 @@ def _note(spark: SparkSession, ledger_table: str, files: DataFrame, after_runs:
     log.compact(lambda rows: latest(rows, ["file_id"]), after_runs)
 
 
-def _replace_rows(spark: SparkSession, table: str, rows: DataFrame, files: DataFrame, mode: Mode) -> None:
-    create_partitioned_table(rows, table, key="FILE_ID")
+def _replace_rows(
+    spark: SparkSession, table: str, rows: DataFrame, files: DataFrame, mode: Mode, clustered: bool = False
+) -> None:
+    # a layout without the plan of `rows`: counters in it are to fill while the rows are written
+    create_partitioned_table(spark.createDataFrame([], rows.schema), table, key="FILE_ID")
     if mode == "force":
         with_partition_key(rows, "FILE_ID").select(*spark.table(table).columns).write.insertInto(table)
     else:
-        replace_partitions(table, files.select(F.col("file_id").alias("FILE_ID")), rows, key="FILE_ID")
+        replace_partitions(table, files.select(F.col("file_id").alias("FILE_ID")), rows, key="FILE_ID", clustered=clustered)
 
 
 def load_deliveries(
@@ -155,11 +158,13 @@ def load_deliveries(
     todo = cut_lineage(todo)
     if todo.isEmpty():
         return todo
-    _replace_rows(spark, stage_table, read_deliveries(spark, todo, spec), todo, mode)
+    counted = None if surplus_table is None else {}
+    # readers go through the files in their order, so the rows of a file come to few tasks
+    _replace_rows(spark, stage_table, read_deliveries(spark, todo, spec, counted), todo, mode, clustered=True)
     if surplus_table is not None:
         table = surplus_table.format(stage=stage_table)
         if spark.catalog.tableExists(table) or not with_more_commas(todo).isEmpty():
-            _replace_rows(spark, table, surplus_cells(spark, todo), todo, mode)
+            _replace_rows(spark, table, surplus_cells(spark, todo, counted), todo, mode)
     note_terms(spark, stage_table, todo, compact_after_runs)
     _note(spark, ledger_table, todo, compact_after_runs)
     return todo

@@ -4,7 +4,9 @@ Spark reads such files with one task per file, as a split cannot know whether it
 every line is a function from the state before it (inside a quoted cell or not) to the state after it; lines either keep
 the state, turn it round, or end in one state whatever came before. Running compositions of these functions, first over the
 lines of each chunk (a part of a split of bounded size), then over the chunks of each file, give the state before every line,
-and so the lines that begin a record. Lines of a record are put together again, and `from_csv` reads its cells.
+and so the lines that begin a record. Lines of a record are put together again, and `from_csv` reads its cells. Lines are
+shuffled twice and no more: by chunk, then by the stretch of the file in which their record begins. A task gets a few
+stretches, each with a good part of its text, so a table by file can be written from there without another shuffle.
 
 A quote opens a quoted cell only where a cell begins; elsewhere it is an ordinary character, as in Spark's own reader.
 Line ends inside cells are kept as they are; at the end of a record a carriage return falls away. Blank lines outside
@@ -25,6 +27,8 @@ from tallyloom.sources.paths import literal_path, plain_path
 CHUNK_LINES = 4096
 #: Text that a task gets, more or less.
 BYTES_PER_TASK = 8 * 1024 * 1024
+#: A task gets so many stretches of files, on average.
+STRETCHES_PER_TASK = 2
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
 _CELLS = rf'(?:(?:"{_INSIDE}"[^,]*+|[^",][^,]*+)?+,)*+'
 
@@ -82,11 +86,15 @@ def records(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     """path, is_first (whether it is the file's first record) and record of every record; `lines` is from lines_of.
 
     Lines are worked on in chunks, so that no window holds more than CHUNK_LINES of them, and dealt out to `tasks` tasks (see
-    tasks_for; the session's number of shuffle partitions, if it is not given).
+    tasks_for; the session's number of shuffle partitions, if it is not given). The records come in stretches of their
+    files, dealt out in turn.
     """
-    shares = [] if tasks is None else [tasks]
+    tasks = tasks or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunk = ["path", "block_start", "chunk"]
-    dealt = lines.withColumn("chunk", F.expr(f"line_id div {CHUNK_LINES}")).repartition(*shares, *chunk)
+    numbered = lines.withColumn("chunk", F.expr(f"line_id div {CHUNK_LINES}"))
+    # the join below asks this of one of its sides; asked of both, the shuffled lines are the same and serve both
+    numbered = numbered.where(" AND ".join(f"{name} IS NOT NULL" for name in chunk))
+    dealt = numbered.repartition(tasks, *chunk)
     own = _composed(dealt, chunk, ["line_id"], opens("value").cast("int"), stays_open("value").cast("int"))
     # for both states a chunk can begin in: the state before each line, and how many records have begun
     in_chunk = Window.partitionBy(*chunk).orderBy("line_id")
@@ -98,18 +106,23 @@ def records(lines: DataFrame, tasks: int | None = None) -> DataFrame:
 
     # one row per chunk: its function as a whole, the state it begins in, and the last record that began before it
     last = [F.max_by(f"from_{name}", "line_id").alias(f"end_{name}") for name in states]
-    ends = own.groupBy(*chunk).agg(*last, *[F.max(f"n_{name}").alias(f"n_{name}") for name in states])
+    n_bytes = F.sum(F.octet_length("value") + 1).alias("n_bytes")
+    ends = own.groupBy(*chunk).agg(*last, *[F.max(f"n_{name}").alias(f"n_{name}") for name in states], n_bytes)
     whole = _composed(ends, ["path"], ["block_start", "chunk"], F.col("end_outside"), F.col("end_inside"))
     in_file = Window.partitionBy("path").orderBy("block_start", "chunk")
     top = F.lag("chunk").over(in_file).isNull()
     whole = whole.withColumns({"state": F.coalesce(F.lag("from_outside").over(in_file), F.lit(0)), "top": top})
     whole = whole.withColumn("n", F.when(F.col("state") == 0, F.col("n_outside")).otherwise(F.col("n_inside")))
+    earlier_rows = in_file.rowsBetween(Window.unboundedPreceding, -1)
+    stretch = F.expr(f"coalesce(bytes_before, 0) div {max(1, BYTES_PER_TASK // STRETCHES_PER_TASK)}")
+    share = F.pmod(F.xxhash64("path") + stretch, F.lit(tasks)).cast("int")
+    whole = whole.withColumn("bytes_before", F.sum("n_bytes").over(earlier_rows)).withColumn("share", share)
 
     def record_of(number: str) -> Column:
-        return F.when(F.col(number) > 0, F.struct("top", "block_start", "chunk", F.col(number).alias("number")))
+        return F.when(F.col(number) > 0, F.struct("share", "top", "block_start", "chunk", F.col(number).alias("number")))
 
-    earlier = F.last(record_of("n"), ignorenulls=True).over(in_file.rowsBetween(Window.unboundedPreceding, -1))
-    begins = whole.select(*chunk, "state", "top", earlier.alias("carried"))
+    earlier = F.last(record_of("n"), ignorenulls=True).over(earlier_rows)
+    begins = whole.select(*chunk, "state", "top", "share", earlier.alias("carried"))
 
     # lines before the first start of a chunk belong to the last record of an earlier one
     known = own.join(begins.hint("merge"), chunk)  # lines are dealt out by chunk already
@@ -117,8 +130,8 @@ def records(lines: DataFrame, tasks: int | None = None) -> DataFrame:
     placed = known.withColumn("number", number).withColumn("of", F.coalesce(record_of("number"), F.col("carried")))
 
     parts = F.sort_array(F.collect_list(F.struct("block_start", "line_id", "value"))).alias("parts")
-    together = placed.select("path", "of", "block_start", "line_id", "value").repartition(*shares, "path", "of")
-    whole = together.groupBy("path", "of").agg(parts)
+    together = placed.select(F.col("of.share").alias("share"), "path", "of", "block_start", "line_id", "value")
+    whole = together.repartitionById(tasks, F.col("share")).groupBy("share", "path", "of").agg(parts)
     text = F.regexp_replace(F.array_join(F.col("parts.value"), "\n"), r"\r\z", "")
     is_first = F.col("of.top") & (F.col("of.number") == 1)
     return whole.select("path", is_first.alias("is_first"), text.alias("record"))

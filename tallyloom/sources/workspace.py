@@ -37,3 +37,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path nobody has used yet inside the shared folder."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by new_folder, once nothing reads it any more."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

@@ -21,7 +21,7 @@ from tallyloom.sources.ingest import IngestSpec
 from tallyloom.sources.ledger import SURPLUS_TABLE, load_deliveries
 from tallyloom.sources.paths import literal_path
 from tallyloom.sources.term_index import files_holding, index_of, note_rebuilt, note_terms, rows_of_files, touched_terms
-from tallyloom.sources.workspace import new_folder
+from tallyloom.sources.workspace import new_folder, remove_folder
 
 FILES_PER_BATCH = 200
 #: The file source passes over files that are older than this, counted back from the newest one it has seen.
@@ -126,7 +126,7 @@ def rebuild_terms(
     Rows of the same terms that other files brought are part of the result, so nothing is lost when a term is
     spread over several deliveries; terms that only an earlier version of a file had lose its rows. The index of terms
     says which files are to be read. Their rows of these terms are read from the stage once and kept beside it for
-    all tables of `build`. `term_of` gives a term as the tables hold it (see replace_terms): spellings that become
+    all tables of `build`, until those are published. `term_of` gives a term as the tables hold it (see replace_terms): spellings that become
     the same term are rebuilt together. Returns the row counts of the tables.
     """
     if not index_of(spark, stage_table).exists():
@@ -138,6 +138,7 @@ def rebuild_terms(
     rows.write.parquet(kept)
     touched = spark.read.schema(rows.schema).parquet(kept)
     counts = replace_terms(touched, build(touched), database, replaced, terms=terms)
+    remove_folder(spark, kept)
     note_rebuilt(spark, stage_table, files, database)
     return counts
 

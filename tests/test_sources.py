@@ -532,3 +532,46 @@ def test_rebuilding_reads_only_the_files_that_hold_the_terms(spark, tmp_path, da
     assert "PartitionFilters: [part_key" in text and len(rows.inputFiles()) >= 2
     scan = [line for line in text.splitlines() if "FileScan parquet" in line and "student_id" in line]
     assert len(scan) == 1 and scan[0].split("part_key")[2:]
+
+
+def test_records_over_several_lines_are_shuffled_twice_and_loaded_in_one_pass(spark, tmp_path, database, monkeypatch):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    text = "".join(f'{i},2235,"first, {i}\nsecond"\n' for i in range(3000))
+    for name in "ab":
+        put(inbox, f"{name}.csv", "STUDENT_ID,TERM,NOTE\n" + text)
+    monkeypatch.setattr(records, "CHUNK_LINES", 100)
+    monkeypatch.setattr(records, "BYTES_PER_TASK", 8_000)
+    calls, real = [], records.records
+    monkeypatch.setattr(records, "records", lambda *a: calls.append(real(*a)) or calls[-1])
+    stage, book = f"{database}.stage", f"{database}.ledger"
+    ledger.load_deliveries(spark, str(inbox), stage, book, SPEC)
+    # the cells are read once; that no record has surplus cells was counted meanwhile
+    assert len(calls) == 1 and spark.table(f"{stage}__surplus").count() == 0
+    assert spark.table(stage).count() == 6000 and spark.table(stage).where("NOTE NOT LIKE 'first, %\nsecond'").isEmpty()
+    # rows go from where their records were put together to the files of their table: few pieces of a file each
+    assert spark.table(stage).select(F.col("_metadata.file_path")).distinct().count() < 130
+    calls[0].collect()
+    plan = calls[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    shuffled = [line for line in plan.splitlines() if " Exchange " in line and "value" in plan.splitlines()[plan.splitlines().index(line) + 1]]
+    assert "ReusedExchange" in plan and plan.count("FileScan text") == 1 and len(shuffled) == 2
+
+    # and where a record has surplus cells, the group of its file is looked at again
+    put(inbox, "c.csv", "STUDENT_ID,TERM,NOTE\n" + '1,2235,"x\ny"\n2,2235,"p, q\nr",more\n')
+    ledger.load_deliveries(spark, str(inbox), stage, book, SPEC)
+    assert len(calls) == 3 and tuples(spark.table(f"{stage}__surplus").select("FILE_NAME", "record")) == [("c.csv", '2,2235,"p, q\nr",more')]
+    # nor is there one in a file without records
+    put(inbox, "d.csv", 'STUDENT_ID,TERM,"NO\nTE"\n')
+    ledger.load_deliveries(spark, str(inbox), stage, book, SPEC)
+    assert spark.table(stage).count() == 6002 and spark.table(f"{stage}__surplus").count() == 1
+
+
+def test_rebuilding_leaves_nothing_in_the_shared_folder(spark, tmp_path, database):
+    put(tmp_path, "a.csv", "STUDENT_ID,TERM,NOTE\n1,2235,x\n")
+    stage, shared = f"{database}.stage", workspace.shared_folder(spark)
+    files = ledger.load_deliveries(spark, str(tmp_path), stage, f"{database}.ledger", SPEC)
+    before = {name for name in os.listdir(shared) if name.startswith("touched-")}
+    build = lambda rows: {"people": rows.select("STUDENT_ID", F.col("TERM").alias("term"))}
+    pickup.rebuild_terms(spark, stage, files, build, database, ["people"], term_of=lenient_term)
+    assert tuples(spark.table(f"{database}.people")) == [("1", "2235")]
+    assert {name for name in os.listdir(shared) if name.startswith("touched-")} == before
